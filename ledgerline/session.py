@@ -17,7 +17,8 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "ledgerline") -> SparkSession:
+                  app_name: str = "ledgerline",
+                  extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Local session with the settings the tests and the benchmark assume.
 
     AQE (coalescing + skew-join splitting) stays on so that a hot join key is
@@ -37,6 +38,11 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("LEDGERLINE_DRIVER_MEMORY", "8g"))
     )
+    for key, value in (extra_conf or {}).items():
+        builder = builder.config(key, value)
+    for item in filter(None, os.environ.get("LEDGERLINE_SPARK_CONF", "").split(",")):
+        key, _, value = item.partition("=")
+        builder = builder.config(key.strip(), value.strip())
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
