@@ -15,6 +15,7 @@ from ledgerline.operators.products import (
     discount_vs_revenue,
     product_totals,
     top_products,
+    top_products_from_totals,
     top_products_table,
 )
 from ledgerline.operators.quotes import (
@@ -38,7 +39,7 @@ __all__ = [
     "ALL", "Filters", "apply_filters", "filter_sessions", "filter_transactions",
     "health_counts", "inventory_value", "filter_domain", "kpi_summary", "monthly_revenue",
     "revenue_by", "revenue_by_category", "revenue_by_region", "row_counts",
-    "discount_vs_revenue", "product_totals", "top_products", "top_products_table",
+    "discount_vs_revenue", "product_totals", "top_products", "top_products_from_totals", "top_products_table",
     "asset_cards", "history_of_top", "latest_snapshot", "price_history", "top_assets",
     "share_of_total", "activity_heatmap", "activity_long", "device_trend", "mom_growth",
     "mom_growth_clean", "revenue_over_time",

@@ -38,10 +38,14 @@ def top_products(txn: DataFrame, n: int = 10) -> DataFrame:
     partial ``WindowGroupLimit`` in every task before the single-partition
     exchange, so only about ``n`` rows per task travel to the final window.
     """
+    return top_products_from_totals(product_totals(txn), n)
+
+
+def top_products_from_totals(totals: DataFrame, n: int = 10) -> DataFrame:
+    """``top_products`` on an existing ``product_totals`` frame (decimal revenue)."""
     if n < 1:
         raise ValueError("n must be at least 1")
-    ranked = product_totals(txn).withColumn(
-        "rank", F.rank().over(Window.orderBy(F.desc("total_revenue"))))
+    ranked = totals.withColumn("rank", F.rank().over(Window.orderBy(F.desc("total_revenue"))))
     return (ranked.filter(F.col("rank") <= n)
             .select(F.col("rank").cast(LongType()).alias("rank"), *PRODUCT_KEYS,
                     F.col("total_revenue").cast(DoubleType()).alias("total_revenue"),

@@ -28,8 +28,12 @@ def load_transactions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_sessions(spark: SparkSession, path: str) -> DataFrame:
-    """Sessions CSV with header; ``timestamp`` parsed as wall-clock time."""
-    return _csv(spark, path, SESS, timestampNTZFormat="yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+    """Sessions CSV with header; ``timestamp`` parsed as wall-clock time.
+
+    Up to nine fraction digits are accepted (pandas writes nanoseconds);
+    Spark keeps microseconds.
+    """
+    return _csv(spark, path, SESS, timestampNTZFormat="yyyy-MM-dd HH:mm:ss[.SSSSSSSSS]")
 
 
 def load_inventory(spark: SparkSession, path: str) -> DataFrame:
