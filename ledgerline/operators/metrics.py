@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType
 
@@ -89,22 +89,30 @@ def revenue_by_category(txn: DataFrame) -> DataFrame:
 
 
 def filter_domain(txn: DataFrame, column: str) -> DataFrame:
-    """Choices of a filter list: ``All`` at position 0, then sorted distinct values.
+    """Choices of one filter list: ``All`` at position 0, then sorted distinct values."""
+    return filter_domains(txn, [column]).drop("field")
 
-    ``distinct`` is a partial + final aggregate; the numbering window runs on
-    the distinct values only.
-    """
-    values = txn.select(F.col(column).cast(StringType()).alias("value")).dropna().distinct()
-    numbered = values.select(
-        F.row_number().over(_ordered_by_value()).cast(LongType()).alias("position"), "value")
-    first = txn.sparkSession.range(1).select(F.lit(0).cast(LongType()).alias("position"),
-                                             F.lit("All").alias("value"))
-    return first.unionByName(numbered).orderBy("position")
 
+def filter_domains(txn: DataFrame, columns) -> DataFrame:
+    """``(field, position, value)`` for several filter lists in one pass over ``txn``.
 
-def _ordered_by_value():
-    from pyspark.sql import Window
-    return Window.orderBy(F.col("value"))
+    Each row contributes one ``(field, value)`` pair per column; ``distinct``
+    runs as a partial + final aggregate, so a column with few values (region)
+    ships a handful of rows per task whatever the table size.  Numbering then
+    runs per field over the distinct values only.  ``All`` comes first.
+    """
+    columns = list(columns)
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("field"), F.col(c).cast(StringType()).alias("value"))
+        for c in columns]))
+    values = (txn.select(pairs.alias("p")).select("p.field", "p.value")
+              .dropna(subset=["value"]).distinct())
+    order = Window.partitionBy("field").orderBy("value")
+    numbered = values.select("field", F.row_number().over(order).cast(LongType()).alias("position"),
+                             "value")
+    firsts = txn.sparkSession.createDataFrame(
+        [(c, 0, "All") for c in columns], "field string, position bigint, value string")
+    return firsts.unionByName(numbered).orderBy("field", "position")
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -183,10 +183,7 @@ def q_health_share(spark, sf):
 
 
 def q_filter_domain(spark, sf):
-    txn = _txn(spark, sf, "region", "category")
-    region = ops.filter_domain(txn, "region").select(F.lit("region").alias("field"), "*")
-    category = ops.filter_domain(txn, "category").select(F.lit("category").alias("field"), "*")
-    return region.unionByName(category)
+    return ops.filter_domains(_txn(spark, sf, "region", "category"), ["region", "category"])
 
 
 def q_row_counts(spark, sf):

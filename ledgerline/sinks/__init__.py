@@ -1,5 +1,12 @@
 """Sinks: CSV/Parquet writers, write-if-absent, persistence."""
 
-from ledgerline.sinks.writers import persist_tables, write_all_if_absent, write_csv, write_parquet
+from ledgerline.sinks.writers import (
+    persist_tables,
+    register_quotes_table,
+    write_all_if_absent,
+    write_csv,
+    write_parquet,
+)
 
-__all__ = ["persist_tables", "write_all_if_absent", "write_csv", "write_parquet"]
+__all__ = ["persist_tables", "register_quotes_table", "write_all_if_absent", "write_csv",
+           "write_parquet"]

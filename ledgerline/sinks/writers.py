@@ -8,6 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.sources.files import path_exists
+from ledgerline.sources.schemas import QUOTES
 
 TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -62,3 +63,15 @@ def persist_tables(frames: Mapping[str, DataFrame], warm: Iterable[str] | None =
     for name in (warm if warm is not None else out.keys()):
         out[name].count()
     return out
+
+
+def register_quotes_table(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """Expose the quote history folder as a catalog table (``CREATE TABLE IF NOT EXISTS``).
+
+    The table is external (Parquet at ``path``) with the fixed 8-column
+    schema, so SQL users can query it by name; the ingest stream keeps
+    appending to the same folder and readers see every committed batch.
+    """
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source="parquet", schema=QUOTES)
+    return spark.table(name)

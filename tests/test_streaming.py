@@ -78,3 +78,25 @@ def test_land_batch_groups_rows_per_document(spark, tmp_root):
     sizes = docs.select(F.size("data").alias("n"))
     assert sizes.agg(F.max("n")).collect()[0][0] <= 100
     assert sizes.agg(F.sum("n")).collect()[0][0] == raw.count()
+
+
+def test_cli_once_exit_status(spark, tmp_root):
+    from ledgerline.streaming.__main__ import main as cli
+    landing, table, ckpt = f"{tmp_root}/landing", f"{tmp_root}/table", f"{tmp_root}/ckpt"
+    os.makedirs(landing)
+    import unittest.mock as mock
+    with mock.patch.object(spark, "stop"):  # keep the shared test session alive
+        assert cli(["--landing", landing, "--table", table, "--checkpoint", ckpt, "--once"]) == 1
+        _land_text(spark, f"{landing}/b1", [{"data": [{"id": "a", "symbol": "A", "priceUsd": "1"}]}])
+        assert cli(["--landing", landing, "--table", table, "--checkpoint", ckpt, "--once"]) == 0
+
+
+def test_history_table_by_name(spark, tmp_root):
+    from ledgerline.sinks.writers import register_quotes_table
+    landing, table, ckpt = f"{tmp_root}/landing", f"{tmp_root}/table", f"{tmp_root}/ckpt"
+    _land_text(spark, f"{landing}/b1", [{"data": [{"id": "a", "symbol": "A", "priceUsd": "1"}]}])
+    ingest_once(spark, landing, table, ckpt, timeout_seconds=300)
+    name = "quotes_history_" + os.path.basename(tmp_root).replace("-", "_")
+    df = register_quotes_table(spark, name, table)
+    assert len(df.columns) == 8
+    assert spark.sql(f"SELECT count(*) AS n FROM {name}").collect()[0].n == 1
