@@ -4,6 +4,10 @@ Sums of money are exact decimal sums rounded to cents and returned as
 double; ratios are double quotients rounded HALF_UP.  Every aggregate is a
 partial (map-side) + final hash aggregate, so a hot group key costs one
 partial row per task, not a skewed shuffle.
+
+Sum/count aggregates also accept transactions rolled up per order (a
+``line_count`` column next to summed ``revenue``), see
+``sources.adapters.order_rollup``.
 """
 
 from __future__ import annotations
@@ -16,6 +20,26 @@ from pyspark.sql.types import DoubleType, LongType, StringType
 
 from ledgerline.functions.expressions import half_up, mean_of, money_total, month_key, ratio
 
+LINE_COUNT = "line_count"
+
+
+def line_count(df: DataFrame):
+    """Count of transaction lines: ``count(transaction_id)`` on line-level rows,
+    or the sum of ``line_count`` on rows rolled up per order."""
+    if LINE_COUNT in df.columns:
+        return F.sum(LINE_COUNT)
+    return F.count("transaction_id")
+
+
+def measure_mean(df: DataFrame, name: str):
+    """Mean of a measure: ``sum / count`` on line rows; on rolled-up rows
+    ``sum(name) / sum(name_count)`` (the rollup keeps both)."""
+    count_col = f"{name}_count"
+    if count_col in df.columns:
+        return ratio(F.sum(name), F.sum(count_col))
+    return mean_of(name)
+
+
 KPI_COLUMNS = ("total_revenue", "total_orders", "avg_order_value", "avg_discount",
                "total_sessions", "conversion_rate")
 
@@ -65,7 +89,7 @@ def monthly_revenue(txn: DataFrame, with_orders: bool = True) -> DataFrame:
     month = F.col("year_month") if "year_month" in txn.columns else month_key("date")
     aggs = [money_total("revenue").alias("revenue")]
     if with_orders:
-        aggs.append(F.count("transaction_id").alias("orders"))
+        aggs.append(line_count(txn).alias("orders"))
     return txn.groupBy(month.alias("year_month")).agg(*aggs)
 
 
@@ -73,7 +97,7 @@ def revenue_by(txn: DataFrame, key: str, with_orders: bool = True) -> DataFrame:
     """Revenue (and order lines) per ``key``, revenue descending."""
     aggs = [money_total("revenue").alias("revenue_dec")]
     if with_orders:
-        aggs.append(F.count("transaction_id").alias("orders"))
+        aggs.append(line_count(txn).alias("orders"))
     out = (txn.groupBy(key).agg(*aggs)
            .withColumn("revenue", F.col("revenue_dec").cast(DoubleType())))
     cols = [key, "revenue"] + (["orders"] if with_orders else [])

@@ -1,7 +1,10 @@
 """Product-level views: discount vs revenue, top-N products.
 
 Grouping keys are ``(product_id, category)`` as in the reference, so one
-product may appear once per category it was sold under.
+product may appear once per category it was sold under.  The operators take
+line-level transactions or rows already rolled up per product (see
+``sources.adapters.product_rollup``): totals are sums either way, counts
+sum ``line_count`` and means divide by the kept ``*_count`` columns.
 """
 
 from __future__ import annotations
@@ -10,7 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType
 
-from ledgerline.functions.expressions import format_money, half_up, mean_of, money_total
+from ledgerline.functions.expressions import format_money, half_up, money_total
+from ledgerline.operators.metrics import line_count, measure_mean
 
 PRODUCT_KEYS = ("product_id", "category")
 
@@ -18,7 +22,7 @@ PRODUCT_KEYS = ("product_id", "category")
 def discount_vs_revenue(txn: DataFrame) -> DataFrame:
     """Per product x category: mean discount (1 dp), revenue, units sold."""
     return (txn.groupBy(*PRODUCT_KEYS)
-            .agg(half_up(mean_of("discount_pct"), 1).alias("avg_discount"),
+            .agg(half_up(measure_mean(txn, "discount_pct"), 1).alias("avg_discount"),
                  money_total("revenue").cast(DoubleType()).alias("total_revenue"),
                  F.sum("units").cast(LongType()).alias("total_units")))
 
@@ -28,7 +32,7 @@ def product_totals(txn: DataFrame) -> DataFrame:
     return (txn.groupBy(*PRODUCT_KEYS)
             .agg(money_total("revenue").alias("total_revenue"),
                  F.sum("units").cast(LongType()).alias("total_units"),
-                 F.count("transaction_id").alias("orders")))
+                 line_count(txn).alias("orders")))
 
 
 def top_products(txn: DataFrame, n: int = 10) -> DataFrame:

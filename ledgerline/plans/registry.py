@@ -129,17 +129,21 @@ def q_kpi_summary_filtered(spark, sf):
     return ops.kpi_summary(t, s)
 
 
+def _orders(spark, sf, *cols):
+    return A.order_rollup(spark, sf, cols)
+
+
 def q_monthly_revenue(spark, sf):
-    m = ops.monthly_revenue(_txn(spark, sf, "transaction_id", "revenue", "year_month"))
+    m = ops.monthly_revenue(_orders(spark, sf, "year_month"))
     return m.withColumn("revenue", F.col("revenue").cast(DoubleType()))
 
 
 def q_revenue_by_region(spark, sf):
-    return ops.revenue_by_region(_txn(spark, sf, "transaction_id", "revenue", "region"))
+    return ops.revenue_by_region(_orders(spark, sf, "region"))
 
 
 def q_revenue_by_category(spark, sf):
-    return ops.revenue_by_category(_txn(spark, sf, "revenue", "category"))
+    return ops.revenue_by_category(A.product_rollup(spark, sf))
 
 
 def q_activity_long(spark, sf):
@@ -165,8 +169,7 @@ def q_device_trend_daily(spark, sf):
 
 
 def q_discount_vs_revenue(spark, sf):
-    return ops.discount_vs_revenue(
-        _txn(spark, sf, "product_id", "category", "discount_pct", "revenue", "units"))
+    return ops.discount_vs_revenue(A.product_rollup(spark, sf))
 
 
 def q_inventory_health_counts(spark, sf):
@@ -174,7 +177,7 @@ def q_inventory_health_counts(spark, sf):
 
 
 def q_category_share(spark, sf):
-    cat = ops.revenue_by_category(_txn(spark, sf, "revenue", "category"))
+    cat = ops.revenue_by_category(A.product_rollup(spark, sf))
     return ops.share_of_total(cat, "category", "revenue")
 
 
@@ -197,20 +200,19 @@ def q_row_counts(spark, sf):
 # --- windows, top-k ------------------------------------------------------
 
 def q_revenue_over_time(spark, sf):
-    return ops.revenue_over_time(_txn(spark, sf, "transaction_id", "revenue", "year_month"))
+    return ops.revenue_over_time(_orders(spark, sf, "year_month"))
 
 
 def q_mom_growth(spark, sf):
-    return ops.mom_growth(_txn(spark, sf, "revenue", "year_month"))
+    return ops.mom_growth(_orders(spark, sf, "year_month"))
 
 
 def q_mom_growth_clean(spark, sf):
-    return ops.mom_growth_clean(ops.mom_growth(_txn(spark, sf, "revenue", "year_month")))
+    return ops.mom_growth_clean(ops.mom_growth(_orders(spark, sf, "year_month")))
 
 
 def q_top_products(spark, sf):
-    return ops.top_products(
-        _txn(spark, sf, "transaction_id", "product_id", "category", "revenue", "units"), n=10)
+    return ops.top_products(A.product_rollup(spark, sf), n=10)
 
 
 def q_top_products_table(spark, sf):
