@@ -67,3 +67,22 @@ def test_lineitem_is_shuffled_once_without_broadcast(spark, build):
     assert len(exchanges) == 1, "\n".join(between)
     assert re.search(r"HashAggregate\(keys=\[l_(orderkey|partkey)", "\n".join(between))
     assert indent > 0
+
+
+def test_cents_revenue_equals_decimal_revenue_on_every_line(spark):
+    from pyspark.sql import functions as F
+    li = A.table(spark, SF_MID, "lineitem")
+    dec = F.round(F.col("l_extendedprice").cast("decimal(18,2)")
+                  * (F.lit(1) - F.col("l_discount").cast("decimal(5,2)")), 2)
+    cents = A.line_revenue_cents()
+    bad = li.filter((dec * 100).cast("bigint") != cents).count()
+    assert bad == 0
+
+
+def test_cents_half_up_away_from_zero(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(10.05, 0.5), (-10.05, 0.5), (0.01, 0.5), (-0.01, 0.5)],
+                               "l_extendedprice double, l_discount double")
+    # 10.05 x 0.5 = 5.025 -> 5.03 ; -5.025 -> -5.03 ; 0.005 -> 0.01 ; -0.005 -> -0.01
+    got = [r.c for r in df.select(A.line_revenue_cents().alias("c")).collect()]
+    assert got == [503, -503, 1, -1]
