@@ -147,8 +147,3 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
-
-
-def ratio_pct(numerator, denominator, digits: int = 2):
-    """HALF_UP percentage of two columns (NULL when the denominator is 0)."""
-    return half_up(ratio(numerator, denominator) * F.lit(100.0), digits)

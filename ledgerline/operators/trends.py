@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType
 
-from ledgerline.functions.expressions import DAY_ORDER, direction, half_up, month_key
+from ledgerline.functions.expressions import DAY_ORDER, direction, format_percent, half_up
 from ledgerline.operators.metrics import monthly_revenue
 
 HOURS = tuple(range(24))
@@ -107,7 +107,6 @@ def mom_growth(txn: DataFrame) -> DataFrame:
 
 def mom_growth_clean(mom: DataFrame) -> DataFrame:
     """Growth rows with a value, plus the bar colour class and signed label."""
-    from ledgerline.functions.expressions import format_percent
     return (mom.dropna(subset=["growth_pct"])
             .withColumn("direction", direction("growth_pct"))
             .withColumn("label", format_percent("growth_pct", 1, signed=True)))

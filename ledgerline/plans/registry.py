@@ -6,7 +6,6 @@ a lazy DataFrame.  Column names and types match the oracle SQL exactly.
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -21,7 +20,6 @@ from ledgerline.session import scratch_dir
 from ledgerline.sinks.writers import write_csv, write_parquet
 from ledgerline.sources import adapters as A
 from ledgerline.sources.files import load_inventory, load_quotes, load_sessions, load_transactions
-from ledgerline.sources.schemas import QUOTE_COLUMNS
 from ledgerline.streaming.ingest import ingest_once, land_batch
 
 QueryFn = Callable[[SparkSession, str], DataFrame]

@@ -17,7 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.functions.expressions import parse_number
 from ledgerline.sources.schemas import (
-    QUOTE_COLUMNS,
     QUOTE_NUMBER_FIELDS,
     QUOTE_TEXT_FIELDS,
     RAW_QUOTE,
@@ -137,7 +136,3 @@ def ingest_once(spark: SparkSession, landing_dir: str, table_path: str, checkpoi
     finally:
         if query.isActive:
             query.stop()
-
-
-def history_columns() -> tuple[str, ...]:
-    return QUOTE_COLUMNS
