@@ -5,12 +5,14 @@ from ledgerline.operators.inventory import health_counts, inventory_value
 from ledgerline.operators.metrics import (
     filter_domain,
     filter_domains,
+    kpi_cards,
     kpi_summary,
     monthly_revenue,
     revenue_by,
     revenue_by_category,
     revenue_by_region,
     row_counts,
+    with_money_label,
 )
 from ledgerline.operators.products import (
     discount_vs_revenue,
@@ -38,7 +40,7 @@ from ledgerline.operators.trends import (
 
 __all__ = [
     "ALL", "Filters", "apply_filters", "filter_sessions", "filter_transactions",
-    "health_counts", "inventory_value", "filter_domain", "filter_domains", "kpi_summary", "monthly_revenue",
+    "health_counts", "inventory_value", "filter_domain", "filter_domains", "kpi_cards", "kpi_summary", "monthly_revenue", "with_money_label",
     "revenue_by", "revenue_by_category", "revenue_by_region", "row_counts",
     "discount_vs_revenue", "product_totals", "top_products", "top_products_from_totals", "top_products_table",
     "asset_cards", "history_of_top", "latest_snapshot", "price_history", "top_assets",

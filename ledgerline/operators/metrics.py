@@ -18,7 +18,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType
 
-from ledgerline.functions.expressions import half_up, mean_of, money_total, month_key, ratio
+from ledgerline.functions.expressions import (
+    format_money,
+    half_up,
+    mean_of,
+    money_total,
+    month_key,
+    ratio,
+)
 
 LINE_COUNT = "line_count"
 
@@ -80,6 +87,28 @@ def kpi_summary(txn: DataFrame, sess: DataFrame) -> DataFrame:
     return t.unionByName(s).agg(*[F.max(c).alias(c) for c in KPI_COLUMNS])
 
 
+def kpi_cards(kpis: DataFrame) -> DataFrame:
+    """Display text of the four headline cards, formatted as the dashboard shows them.
+
+    ``$1,234`` revenue, ``1,234`` orders, ``$1,234.56`` average order value
+    and the conversion rate as its plain decimal text plus ``%``.  NULL KPIs
+    (empty filter result) stay NULL instead of failing.
+    """
+    orders = F.col("total_orders")
+    rate = F.col("conversion_rate")
+    return kpis.select(
+        format_money("total_revenue", 0).alias("total_revenue_text"),
+        F.when(orders.isNotNull(), F.format_number(orders, 0)).alias("total_orders_text"),
+        format_money("avg_order_value", 2).alias("avg_order_value_text"),
+        F.when(rate.isNotNull(), F.concat(rate.cast(StringType()), F.lit("%")))
+        .alias("conversion_rate_text"))
+
+
+def with_money_label(df: DataFrame, value: str, label: str = "label") -> DataFrame:
+    """Add the bar label ``$1,234`` (whole dollars) of a money column."""
+    return df.withColumn(label, format_money(value, 0))
+
+
 def monthly_revenue(txn: DataFrame, with_orders: bool = True) -> DataFrame:
     """Per ``year_month``: revenue (decimal, cents) and order-line count.
 

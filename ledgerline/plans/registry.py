@@ -120,6 +120,19 @@ def q_kpi_summary(spark, sf):
     return ops.kpi_summary(txn, sess)
 
 
+def q_kpi_cards(spark, sf):
+    return ops.kpi_cards(q_kpi_summary(spark, sf))
+
+
+def q_region_bar_labels(spark, sf):
+    return ops.with_money_label(q_revenue_by_region(spark, sf), "revenue")
+
+
+def q_market_cap_labels(spark, sf):
+    top = ops.top_assets(ops.latest_snapshot(A.quotes(spark, sf)), 10)
+    return ops.with_money_label(top.select("symbol", "marketCapUsd"), "marketCapUsd")
+
+
 def q_kpi_summary_filtered(spark, sf):
     txn = _txn(spark, sf, "transaction_id", "revenue", "discount_pct", "date", "region", "category")
     sess = _sess(spark, sf, "session_id", "converted", "timestamp", "region")
@@ -345,6 +358,21 @@ SELECT t.*, s.* FROM
           {_hu(_mean('converted') + ' * CAST(100 AS DOUBLE)', 2)} AS conversion_rate FROM sess
    WHERE timestamp >= TIMESTAMP '1997-01-01 00:00:00' AND timestamp <= TIMESTAMP '1997-12-31 00:00:00'
      AND region = 'AMERICA') s""")),
+    Query("kpi_cards", q_kpi_cards, O.both_sql(f"""
+SELECT {_money_text('total_revenue', 0)} AS total_revenue_text,
+       format('{{:,}}', total_orders) AS total_orders_text,
+       {_money_text('avg_order_value', 2)} AS avg_order_value_text,
+       CAST(conversion_rate AS VARCHAR) || '%' AS conversion_rate_text
+FROM (SELECT {_money('revenue')} AS total_revenue, count(transaction_id) AS total_orders,
+             {_hu(_mean('revenue'), 2)} AS avg_order_value FROM txn) t,
+     (SELECT {_hu(_mean('converted') + ' * CAST(100 AS DOUBLE)', 2)} AS conversion_rate FROM sess) s""")),
+    Query("region_bar_labels", q_region_bar_labels, O.txn_sql(
+        f"SELECT region, revenue, orders, {_money_text('revenue', 0)} AS label FROM "
+        f"(SELECT region, {_money('revenue')} AS revenue, count(transaction_id) AS orders "
+        "FROM txn GROUP BY region) r")),
+    Query("market_cap_labels", q_market_cap_labels, O.snapshot_sql(
+        f"SELECT symbol, marketCapUsd, {_money_text('marketCapUsd', 0)} AS label FROM "
+        "(SELECT * FROM snapshot ORDER BY marketCapUsd DESC NULLS LAST, symbol ASC NULLS LAST LIMIT 10) s")),
     Query("monthly_revenue", q_monthly_revenue, O.txn_sql(
         f"SELECT year_month, {_money('revenue')} AS revenue, count(transaction_id) AS orders "
         "FROM txn GROUP BY year_month")),

@@ -234,3 +234,15 @@ def test_parse_number_and_line_revenue(spark):
     assert [r.n for r in rows] == [12.5, None, None]
     # 3 x 10.00 x 0.9 x 1.5 = 40.50 ; 2 x 9.99 x 1.3 = 25.974 -> 25.97 ; 1.00
     assert [r.rev for r in rows] == [Decimal("40.50"), Decimal("25.97"), Decimal("1.00")]
+
+
+def test_kpi_cards_match_python_formatting(spark):
+    kpis = spark.createDataFrame(
+        [(1234567.5, 12345, 15.125, 18.0), (None, 0, None, None)],
+        "total_revenue double, total_orders bigint, avg_order_value double, conversion_rate double")
+    rows = ops.kpi_cards(kpis).collect()
+    r = rows[0]
+    assert (r.total_revenue_text, r.total_orders_text, r.avg_order_value_text, r.conversion_rate_text) == (
+        f"${1234567.5:,.0f}", f"{12345:,}", f"${15.125:,.2f}", f"{18.0}%")
+    empty = rows[1]
+    assert (empty.total_revenue_text, empty.total_orders_text, empty.conversion_rate_text) == (None, "0", None)
