@@ -33,17 +33,23 @@ def activity_heatmap(sess: DataFrame) -> DataFrame:
     Seven rows Monday..Sunday (``day_index`` 1..7) and one column per hour
     ``h00``..``h23``; an empty cell is NULL and a weekday without sessions is
     an all-NULL row.  The pivot values are fixed, so Spark plans a single
-    aggregation (no extra job to discover them); the weekday frame is a
-    seven-row constant joined to at most seven pivoted rows.
+    aggregation (no extra job to discover them).  Reindexing to the seven
+    weekdays is a union with a seven-row template followed by a per-day
+    ``max`` (at most 7 + 7 rows), so no join is needed at any scale.
     """
+    hours = [hour_column(h) for h in HOURS]
     pivoted = (sess.groupBy("day_of_week")
                .pivot("hour", list(HOURS))
                .agg(F.count("session_id")))
-    pivoted = pivoted.select("day_of_week", *[
+    counted = pivoted.select("day_of_week", F.lit(None).cast(IntegerType()).alias("day_index"), *[
         F.col(str(h)).cast(LongType()).alias(hour_column(h)) for h in HOURS])
-    days = _weekday_frame(sess)
-    return (days.join(pivoted, "day_of_week", "left")
-            .select("day_of_week", "day_index", *[hour_column(h) for h in HOURS])
+    template = _weekday_frame(sess).select(
+        "day_of_week", "day_index", *[F.lit(None).cast(LongType()).alias(c) for c in hours])
+    return (template.unionByName(counted)
+            .groupBy("day_of_week")
+            .agg(F.max("day_index").alias("day_index"), *[F.max(c).alias(c) for c in hours])
+            .filter(F.col("day_index").isNotNull())
+            .select("day_of_week", "day_index", *hours)
             .orderBy("day_index"))
 
 
