@@ -39,9 +39,30 @@ def half_up(col: Column | str, digits: int) -> Column:
     return F.round(_c(col).cast(_RATIO_DECIMAL), digits).cast(DoubleType())
 
 
+# Money sums run on integer cents split into a high and a low part, each
+# summed in a long accumulator: ``lo`` < 2^20, so its sum cannot overflow
+# below 8.8e12 rows, and ``hi`` is the rest.  This stays exact for any table
+# size and avoids the per-row BigDecimal updates of a wide decimal sum.
+_SPLIT = 1 << 20
+_FAST_CENTS_LIMIT = 1e13  # below this a double holds the cent value exactly
+
+
+def money_cents(col: Column | str) -> Column:
+    """A money value (at most two decimals) as exact integer cents (long)."""
+    c = _c(col)
+    fast = F.rint(c.cast(DoubleType()) * F.lit(100.0)).cast("long")
+    exact = (c.cast(DecimalType(38, 2)) * F.lit(100)).cast("long")
+    return F.when(F.abs(c) < F.lit(_FAST_CENTS_LIMIT), fast).otherwise(exact)
+
+
 def money_total(col: Column | str) -> Column:
-    """Exact decimal sum of a money column, rounded to cents (decimal)."""
-    return F.round(F.sum(_c(col)), 2)
+    """Exact sum of a money column as decimal(38,2); NULL when there is no value."""
+    cents = money_cents(col)
+    lo = F.pmod(cents, F.lit(_SPLIT))
+    hi = F.call_function("div", cents - lo, F.lit(_SPLIT))
+    total = (F.sum(hi).cast(DecimalType(38, 0)) * F.lit(_SPLIT)
+             + F.sum(lo).cast(DecimalType(38, 0)))
+    return (total * F.lit(Decimal("0.01"))).cast(DecimalType(38, 2))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -246,3 +246,20 @@ def test_kpi_cards_match_python_formatting(spark):
         f"${1234567.5:,.0f}", f"{12345:,}", f"${15.125:,.2f}", f"{18.0}%")
     empty = rows[1]
     assert (empty.total_revenue_text, empty.total_orders_text, empty.conversion_rate_text) == (None, "0", None)
+
+
+def test_money_total_is_exact(spark):
+    import random
+    from ledgerline.functions.expressions import money_total
+    rng = random.Random(7)
+    values = [Decimal(rng.randint(-10**9, 10**9)) / 100 for _ in range(5000)]
+    values += [Decimal("99999999999999.99"), Decimal("-12345678901234.56"), Decimal("0.01"), None]
+    df = spark.createDataFrame([(v, i % 3) for i, v in enumerate(values)], "m decimal(28,2), g int")
+    got = {r.g: r.t for r in df.groupBy("g").agg(money_total("m").alias("t")).collect()}
+    for g in range(3):
+        want = sum((v for i, v in enumerate(values) if i % 3 == g and v is not None), Decimal(0))
+        assert got[g] == want
+    empty = spark.createDataFrame([], "m decimal(18,2)").agg(money_total("m").alias("t")).collect()
+    assert empty[0].t is None
+    only_null = spark.createDataFrame([(None,)], "m decimal(18,2)").agg(money_total("m").alias("t")).collect()
+    assert only_null[0].t is None
