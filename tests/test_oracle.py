@@ -56,3 +56,22 @@ def test_query_matches_oracle(spark, duck, name):
     orows = cur.fetchall()
     ocols = [d[0] for d in cur.description]
     assert _canon(df.columns, srows) == _canon(ocols, orows)
+
+
+TIME_SENSITIVE = ["activity_heatmap", "device_trend_daily", "filtered_sess", "filtered_sess_fullday",
+                  "latest_snapshot", "txn_enrich", "monthly_revenue", "kpi_summary", "quotes_stream_ingest"]
+
+
+@pytest.mark.parametrize("name", TIME_SENSITIVE)
+def test_query_is_independent_of_session_zone_and_ansi(spark, duck, name):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = E.queries()[name](spark, SF_SMALL)
+        srows = [tuple(r) for r in df.collect()]
+        cols = df.columns
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.conf.unset("spark.sql.ansi.enabled")
+    cur = duck.execute(E.oracle_sql()[name])
+    assert _canon(cols, srows) == _canon([d[0] for d in cur.description], cur.fetchall())
