@@ -38,6 +38,14 @@ def line_count(df: DataFrame):
     return F.count("transaction_id")
 
 
+def session_count(df: DataFrame):
+    """Count of sessions: ``count(session_id)`` on raw rows, or the sum of
+    ``session_count`` on rows rolled up per user and key."""
+    if "session_count" in df.columns:
+        return F.sum("session_count")
+    return F.count("session_id")
+
+
 def measure_mean(df: DataFrame, name: str):
     """Mean of a measure: ``sum / count`` on line rows; on rolled-up rows
     ``sum(name) / sum(name_count)`` (the rollup keeps both)."""
@@ -64,8 +72,8 @@ def transaction_kpis(txn: DataFrame) -> DataFrame:
 def session_kpis(sess: DataFrame) -> DataFrame:
     """One row: session count and conversion rate in percent."""
     return sess.agg(
-        F.count("session_id").alias("total_sessions"),
-        half_up(mean_of("converted") * F.lit(100.0), 2).alias("conversion_rate"),
+        session_count(sess).alias("total_sessions"),
+        half_up(measure_mean(sess, "converted") * F.lit(100.0), 2).alias("conversion_rate"),
     )
 
 

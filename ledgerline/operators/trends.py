@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType
 
 from ledgerline.functions.expressions import DAY_ORDER, direction, format_percent, half_up
-from ledgerline.operators.metrics import monthly_revenue
+from ledgerline.operators.metrics import monthly_revenue, session_count
 
 HOURS = tuple(range(24))
 
@@ -24,7 +24,7 @@ def hour_column(h: int) -> str:
 def activity_long(sess: DataFrame) -> DataFrame:
     """Sessions per (day_of_week, hour)."""
     return (sess.groupBy("day_of_week", "hour")
-            .agg(F.count("session_id").alias("sessions")))
+            .agg(session_count(sess).alias("sessions")))
 
 
 def activity_heatmap(sess: DataFrame) -> DataFrame:
@@ -40,7 +40,7 @@ def activity_heatmap(sess: DataFrame) -> DataFrame:
     hours = [hour_column(h) for h in HOURS]
     pivoted = (sess.groupBy("day_of_week")
                .pivot("hour", list(HOURS))
-               .agg(F.count("session_id")))
+               .agg(session_count(sess)))
     counted = pivoted.select("day_of_week", F.lit(None).cast(IntegerType()).alias("day_index"), *[
         F.col(str(h)).cast(LongType()).alias(hour_column(h)) for h in HOURS])
     template = _weekday_frame(sess).select(

@@ -166,8 +166,8 @@ def q_activity_heatmap(spark, sf):
 
 
 def q_activity_heatmap_region(spark, sf):
-    sess = ops.filter_sessions(_sess(spark, sf, "session_id", "day_of_week", "hour", "region"),
-                               region="EUROPE")
+    # Counted per user and cell first, then joined to the user's region.
+    sess = ops.filter_sessions(A.session_rollup(spark, sf, ("day_of_week", "hour")), region="EUROPE")
     return ops.activity_heatmap(sess)
 
 

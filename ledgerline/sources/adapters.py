@@ -280,6 +280,44 @@ def sessions(spark: SparkSession, sf_dir: str,
     return ev.select([exprs[c].alias(c) for c in wanted])
 
 
+SESSION_ROLLUP_KEYS = ("day_of_week", "hour", "device")
+
+
+def session_rollup(spark: SparkSession, sf_dir: str, keys: Iterable[str] = ("day_of_week", "hour"),
+                   with_region: bool = True) -> DataFrame:
+    """Sessions rolled up per user and session-level keys *before* the region join.
+
+    Region is an attribute of the user, so counts per (user, weekday, hour)
+    can be taken first and joined to the customer regions afterwards: the
+    join then sees at most one row per user and cell (168 for a heatmap)
+    instead of one per event.  Output: the keys, ``region`` (if asked for),
+    ``session_count``, ``converted`` (sum) and ``converted_count``; the
+    session operators read these like the raw rows.
+    """
+    keys = tuple(keys)
+    unknown = set(keys) - set(SESSION_ROLLUP_KEYS)
+    if unknown:
+        raise ValueError(f"not session rollup keys: {sorted(unknown)}")
+    ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "props")
+    k = F.get_json_object(F.col("props"), "$.k").cast(IntegerType())
+    key_exprs = {
+        "day_of_week": weekday_name(F.col("ts")),
+        "hour": F.hour(F.col("ts")),
+        "device": F.element_at(F.array(*[F.lit(d) for d in DEVICES]), F.pmod(k, F.lit(3)) + 1),
+    }
+    converted = (F.col("event_type") == "purchase").cast(IntegerType())
+    per_user = (ev.groupBy("user_id", *[key_exprs[c].alias(c) for c in keys])
+                .agg(F.count(F.lit(1)).alias("session_count"),
+                     F.sum(converted).alias("converted"),
+                     F.count(converted).alias("converted_count")))
+    cols = [*keys, "session_count", "converted", "converted_count"]
+    if with_region:
+        per_user = per_user.join(customer_regions(spark, sf_dir),
+                                 F.col("user_id") == F.col("c_custkey"))
+        cols.insert(len(keys), F.col("r_name").alias("region"))
+    return per_user.select(*cols)
+
+
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical inventory, one row per ``part`` row."""
     p = table(spark, sf_dir, "part")

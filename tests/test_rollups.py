@@ -86,3 +86,17 @@ def test_cents_half_up_away_from_zero(spark):
     # 10.05 x 0.5 = 5.025 -> 5.03 ; -5.025 -> -5.03 ; 0.005 -> 0.01 ; -0.005 -> -0.01
     got = [r.c for r in df.select(A.line_revenue_cents().alias("c")).collect()]
     assert got == [503, -503, 1, -1]
+
+
+def test_session_rollup_matches_raw_sessions(spark):
+    raw = A.sessions(spark, SF_MID, ["session_id", "day_of_week", "hour", "region", "converted", "device"])
+    rolled = A.session_rollup(spark, SF_MID, ("day_of_week", "hour"))
+    for region in ("EUROPE", "ASIA"):
+        assert same(ops.activity_heatmap(ops.filter_sessions(raw, region=region)),
+                    ops.activity_heatmap(ops.filter_sessions(rolled, region=region)))
+    assert same(ops.activity_long(raw), ops.activity_long(rolled))
+    by_user = A.session_rollup(spark, SF_MID, ())
+    from ledgerline.operators.metrics import session_kpis
+    assert same(session_kpis(raw), session_kpis(by_user))
+    by_device = A.session_rollup(spark, SF_MID, ("device",), with_region=False)
+    assert by_device.groupBy("device").sum("session_count").count() == 3
