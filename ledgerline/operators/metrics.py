@@ -34,7 +34,7 @@ def line_count(df: DataFrame):
     """Count of transaction lines: ``count(transaction_id)`` on line-level rows,
     or the sum of ``line_count`` on rows rolled up per order."""
     if LINE_COUNT in df.columns:
-        return F.sum(LINE_COUNT)
+        return F.coalesce(F.sum(LINE_COUNT), F.lit(0).cast(LongType()))  # a count is 0, never NULL
     return F.count("transaction_id")
 
 
@@ -42,7 +42,7 @@ def session_count(df: DataFrame):
     """Count of sessions: ``count(session_id)`` on raw rows, or the sum of
     ``session_count`` on rows rolled up per user and key."""
     if "session_count" in df.columns:
-        return F.sum("session_count")
+        return F.coalesce(F.sum("session_count"), F.lit(0).cast(LongType()))  # a count is 0, never NULL
     return F.count("session_id")
 
 

@@ -134,9 +134,12 @@ def q_market_cap_labels(spark, sf):
 
 
 def q_kpi_summary_filtered(spark, sf):
+    start, end, region, category = "1997-01-01", "1997-12-31", "AMERICA", "STANDARD"
     txn = _txn(spark, sf, "transaction_id", "revenue", "discount_pct", "date", "region", "category")
-    sess = _sess(spark, sf, "session_id", "converted", "timestamp", "region")
-    t, s = ops.apply_filters(txn, sess, "1997-01-01", "1997-12-31", "AMERICA", "STANDARD")
+    t = ops.filter_transactions(txn, start, end, region, category)
+    # Sessions: date range on the raw events, counted per user, then the region.
+    by_user = A.session_rollup(spark, sf, (), prefilter=lambda ev: ops.filter_sessions(ev, start, end))
+    s = ops.filter_sessions(by_user, region=region)
     return ops.kpi_summary(t, s)
 
 

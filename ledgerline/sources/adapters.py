@@ -21,7 +21,7 @@ Join plan, chosen for a large cluster:
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -284,7 +284,8 @@ SESSION_ROLLUP_KEYS = ("day_of_week", "hour", "device")
 
 
 def session_rollup(spark: SparkSession, sf_dir: str, keys: Iterable[str] = ("day_of_week", "hour"),
-                   with_region: bool = True) -> DataFrame:
+                   with_region: bool = True,
+                   prefilter: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Sessions rolled up per user and session-level keys *before* the region join.
 
     Region is an attribute of the user, so counts per (user, weekday, hour)
@@ -292,13 +293,19 @@ def session_rollup(spark: SparkSession, sf_dir: str, keys: Iterable[str] = ("day
     join then sees at most one row per user and cell (168 for a heatmap)
     instead of one per event.  Output: the keys, ``region`` (if asked for),
     ``session_count``, ``converted`` (sum) and ``converted_count``; the
-    session operators read these like the raw rows.
+    session operators read these like the raw rows.  ``prefilter`` runs on
+    the raw events (column ``timestamp``) before they are counted, e.g. a
+    date range from ``operators.filter_sessions``.
     """
     keys = tuple(keys)
     unknown = set(keys) - set(SESSION_ROLLUP_KEYS)
     if unknown:
         raise ValueError(f"not session rollup keys: {sorted(unknown)}")
-    ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "props")
+    ev = table(spark, sf_dir, "events").select(
+        "user_id", F.col("ts").alias("timestamp"), "event_type", "props")
+    if prefilter is not None:
+        ev = prefilter(ev)
+    ev = ev.withColumnRenamed("timestamp", "ts")
     k = F.get_json_object(F.col("props"), "$.k").cast(IntegerType())
     key_exprs = {
         "day_of_week": weekday_name(F.col("ts")),

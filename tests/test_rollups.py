@@ -100,3 +100,22 @@ def test_session_rollup_matches_raw_sessions(spark):
     assert same(session_kpis(raw), session_kpis(by_user))
     by_device = A.session_rollup(spark, SF_MID, ("device",), with_region=False)
     assert by_device.groupBy("device").sum("session_count").count() == 3
+
+
+def test_session_rollup_prefilter_keeps_filter_semantics(spark):
+    raw = A.sessions(spark, SF_MID, ["session_id", "timestamp", "region", "converted"])
+    f = dict(start_date="2024-01-03", end_date="2024-01-17")
+    rolled = A.session_rollup(spark, SF_MID, (), prefilter=lambda ev: ops.filter_sessions(ev, **f))
+    from ledgerline.operators.metrics import session_kpis
+    for region in (None, "AMERICA"):
+        assert same(session_kpis(ops.filter_sessions(raw, region=region, **f)),
+                    session_kpis(ops.filter_sessions(rolled, region=region)))
+
+
+def test_rolled_up_counts_are_zero_on_empty_input(spark):
+    from ledgerline.operators.metrics import session_kpis
+    rolled = A.session_rollup(spark, SF_MID, ()).filter("region = 'NOWHERE'")
+    r = session_kpis(rolled).collect()[0]
+    assert (r.total_sessions, r.conversion_rate) == (0, None)
+    orders = A.order_rollup(spark, SF_MID, ["region"]).filter("region = 'NOWHERE'")
+    assert orders.agg(ops.metrics.line_count(orders).alias("n")).collect()[0].n == 0
