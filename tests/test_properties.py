@@ -98,3 +98,15 @@ def test_operators_run_on_generated_tables(spark):
     assert ops.revenue_over_time(txn).count() == 24
     assert ops.activity_heatmap(sess).count() == 7
     assert ops.device_trend(sess).count() == 24 * 3
+
+
+def test_adapter_column_subsets_agree_with_full_tables(spark):
+    full = A.transactions(spark, SF_MID)
+    for cols in (["transaction_id", "revenue"], ["transaction_id", "product_id", "category", "units"],
+                 ["transaction_id", "date", "region", "year_month"], ["transaction_id", "customer_id"]):
+        part = A.transactions(spark, SF_MID, cols)
+        assert part.exceptAll(full.select(*cols)).count() == 0
+        assert part.count() == full.count()
+    sess_full = A.sessions(spark, SF_MID)
+    for cols in (["session_id", "device"], ["session_id", "region", "hour"]):
+        assert A.sessions(spark, SF_MID, cols).exceptAll(sess_full.select(*cols)).count() == 0
