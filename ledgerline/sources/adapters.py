@@ -17,6 +17,14 @@ Join plan, chosen for a large cluster:
   line rows on ``l_partkey`` that region/date queries avoid).
 * ``orders`` is not joined at all when neither date, customer nor region is
   needed (product/category views read ``lineitem`` and ``part`` only).
+
+Eager aggregation (``order_rollup``, ``product_rollup``, ``session_rollup``):
+when a query's keys and filters are attributes of the order, the part or the
+user, the fact rows are aggregated on that key *before* the join.  The
+partial aggregate runs map-side, the one shuffle on the key is reused by the
+join, and the join sees one row per order / part / (user, cell) instead of
+one per line or event.  Sums, counts and means stay exact (the rollups carry
+``line_count`` / ``session_count`` and ``*_count`` columns).
 """
 
 from __future__ import annotations
