@@ -47,16 +47,29 @@ _SPLIT = 1 << 20
 _FAST_CENTS_LIMIT = 1e13  # below this a double holds the cent value exactly
 
 
+def _cents_sql(c: str) -> str:
+    return (f"CASE WHEN abs({c}) < {_FAST_CENTS_LIMIT!r} "
+            f"THEN CAST(rint(CAST({c} AS DOUBLE) * 100D) AS BIGINT) "
+            f"ELSE CAST(CAST({c} AS DECIMAL(38,2)) * 100 AS BIGINT) END")
+
+
 def money_cents(col: Column | str) -> Column:
     """A money value (at most two decimals) as exact integer cents (long)."""
-    c = _c(col)
-    fast = F.rint(c.cast(DoubleType()) * F.lit(100.0)).cast("long")
-    exact = (c.cast(DecimalType(38, 2)) * F.lit(100)).cast("long")
-    return F.when(F.abs(c) < F.lit(_FAST_CENTS_LIMIT), fast).otherwise(exact)
+    if isinstance(col, str):
+        return F.expr(_cents_sql(_q(col)))
+    fast = F.rint(col.cast(DoubleType()) * F.lit(100.0)).cast("long")
+    exact = (col.cast(DecimalType(38, 2)) * F.lit(100)).cast("long")
+    return F.when(F.abs(col) < F.lit(_FAST_CENTS_LIMIT), fast).otherwise(exact)
 
 
 def money_total(col: Column | str) -> Column:
     """Exact sum of a money column as decimal(38,2); NULL when there is no value."""
+    if isinstance(col, str):
+        cents = _cents_sql(_q(col))
+        lo = f"pmod({cents}, {_SPLIT})"
+        hi = f"(({cents}) - {lo}) div {_SPLIT}"
+        total = f"CAST(sum({hi}) AS DECIMAL(38,0)) * {_SPLIT} + CAST(sum({lo}) AS DECIMAL(38,0))"
+        return F.expr(f"CAST(({total}) * 0.01BD AS DECIMAL(38,2))")
     cents = money_cents(col)
     lo = F.pmod(cents, F.lit(_SPLIT))
     hi = F.call_function("div", cents - lo, F.lit(_SPLIT))
@@ -70,10 +83,17 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast(DoubleType()), denominator.cast(DoubleType()))
 
 
+def _q(name: str) -> str:
+    """A column name as a quoted SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def mean_of(col: Column | str) -> Column:
     """Average of the non-NULL values as double(sum) / count (NULL when none)."""
-    c = _c(col)
-    return ratio(F.sum(c), F.count(c))
+    if isinstance(col, str):
+        c = _q(col)
+        return F.expr(f"try_divide(CAST(sum({c}) AS DOUBLE), CAST(count({c}) AS DOUBLE))")
+    return ratio(F.sum(col), F.count(col))
 
 
 # --- P1-P3: dates -----------------------------------------------------------
@@ -85,11 +105,11 @@ def month_key(col: Column | str) -> Column:
 
 def with_date_parts(txn: DataFrame, date_col: str = "date") -> DataFrame:
     """Add ``year_month`` (text), ``month_num`` and ``year``."""
-    d = F.col(date_col)
+    d = f"`{date_col}`"
     return txn.withColumns({
-        "year_month": month_key(d),
-        "month_num": F.month(d),
-        "year": F.year(d),
+        "year_month": F.expr(f"date_format({d}, 'yyyy-MM')"),
+        "month_num": F.expr(f"month({d})"),
+        "year": F.expr(f"year({d})"),
     })
 
 
@@ -174,8 +194,8 @@ def direction(col: Column | str) -> Column:
 
 def decimals_to_double(df: DataFrame) -> DataFrame:
     """Cast every decimal column to double (result tables carry doubles)."""
-    return df.select([
-        F.col(f.name).cast(DoubleType()).alias(f.name)
-        if isinstance(f.dataType, DecimalType) else F.col(f.name)
+    return df.selectExpr(*[
+        f"CAST({_q(f.name)} AS DOUBLE) AS {_q(f.name)}" if isinstance(f.dataType, DecimalType)
+        else _q(f.name)
         for f in df.schema.fields
     ])

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ALL = "All"
@@ -61,19 +62,27 @@ class Filters:
                              self.category, end_day_inclusive=self.end_day_inclusive)
 
 
+def _where(df: DataFrame, conditions: list[Column]) -> DataFrame:
+    """Apply all conditions as one conjunctive filter (one plan node, one analysis)."""
+    if not conditions:
+        return df
+    return df.filter(reduce(lambda a, b: a & b, conditions))
+
+
 def filter_transactions(txn: DataFrame, start_date=None, end_date=None,
                         region: str | None = None, category: str | None = None) -> DataFrame:
     """Inclusive date range on ``date``, region and category equality."""
     start, end = parse_day(start_date), parse_day(end_date)
+    conditions = []
     if start is not None:
-        txn = txn.filter(F.col("date") >= F.lit(start))
+        conditions.append(F.col("date") >= F.lit(start))
     if end is not None:
-        txn = txn.filter(F.col("date") <= F.lit(end))
+        conditions.append(F.col("date") <= F.lit(end))
     if _active(region):
-        txn = txn.filter(F.col("region") == F.lit(region))
+        conditions.append(F.col("region") == F.lit(region))
     if _active(category):
-        txn = txn.filter(F.col("category") == F.lit(category))
-    return txn
+        conditions.append(F.col("category") == F.lit(category))
+    return _where(txn, conditions)
 
 
 def filter_sessions(sess: DataFrame, start_date=None, end_date=None,
@@ -86,16 +95,17 @@ def filter_sessions(sess: DataFrame, start_date=None, end_date=None,
     """
     start, end = parse_day(start_date), parse_day(end_date)
     ts = F.col("timestamp")
+    conditions = []
     if start is not None:
-        sess = sess.filter(ts >= F.lit(start).cast("timestamp_ntz"))
+        conditions.append(ts >= F.lit(start).cast("timestamp_ntz"))
     if end is not None:
         if end_day_inclusive:
-            sess = sess.filter(ts < F.lit(end + _dt.timedelta(days=1)).cast("timestamp_ntz"))
+            conditions.append(ts < F.lit(end + _dt.timedelta(days=1)).cast("timestamp_ntz"))
         else:
-            sess = sess.filter(ts <= F.lit(end).cast("timestamp_ntz"))
+            conditions.append(ts <= F.lit(end).cast("timestamp_ntz"))
     if _active(region):
-        sess = sess.filter(F.col("region") == F.lit(region))
-    return sess
+        conditions.append(F.col("region") == F.lit(region))
+    return _where(sess, conditions)
 
 
 def apply_filters(txn: DataFrame, sess: DataFrame, start_date=None, end_date=None,

@@ -34,7 +34,7 @@ def line_count(df: DataFrame):
     """Count of transaction lines: ``count(transaction_id)`` on line-level rows,
     or the sum of ``line_count`` on rows rolled up per order."""
     if LINE_COUNT in df.columns:
-        return F.coalesce(F.sum(LINE_COUNT), F.lit(0).cast(LongType()))  # a count is 0, never NULL
+        return F.expr(f"coalesce(sum({LINE_COUNT}), 0L)")  # a count is 0, never NULL
     return F.count("transaction_id")
 
 
@@ -42,7 +42,7 @@ def session_count(df: DataFrame):
     """Count of sessions: ``count(session_id)`` on raw rows, or the sum of
     ``session_count`` on rows rolled up per user and key."""
     if "session_count" in df.columns:
-        return F.coalesce(F.sum("session_count"), F.lit(0).cast(LongType()))  # a count is 0, never NULL
+        return F.expr("coalesce(sum(session_count), 0L)")  # a count is 0, never NULL
     return F.count("session_id")
 
 
@@ -51,7 +51,7 @@ def measure_mean(df: DataFrame, name: str):
     ``sum(name) / sum(name_count)`` (the rollup keeps both)."""
     count_col = f"{name}_count"
     if count_col in df.columns:
-        return ratio(F.sum(name), F.sum(count_col))
+        return F.expr(f"try_divide(CAST(sum(`{name}`) AS DOUBLE), CAST(sum(`{count_col}`) AS DOUBLE))")
     return mean_of(name)
 
 
@@ -84,15 +84,12 @@ def kpi_summary(txn: DataFrame, sess: DataFrame) -> DataFrame:
     NULL half of each column) instead of being cross-joined.  Empty input
     gives NULL sums/averages and zero counts.
     """
-    t = transaction_kpis(txn)
-    s = session_kpis(sess)
-    t = t.select(*t.columns, F.lit(None).cast(LongType()).alias("total_sessions"),
-                 F.lit(None).cast(DoubleType()).alias("conversion_rate"))
-    s = s.select(F.lit(None).cast(DoubleType()).alias("total_revenue"),
-                 F.lit(None).cast(LongType()).alias("total_orders"),
-                 F.lit(None).cast(DoubleType()).alias("avg_order_value"),
-                 F.lit(None).cast(DoubleType()).alias("avg_discount"), *s.columns)
-    return t.unionByName(s).agg(*[F.max(c).alias(c) for c in KPI_COLUMNS])
+    t = transaction_kpis(txn).selectExpr(
+        "*", "CAST(NULL AS BIGINT) AS total_sessions", "CAST(NULL AS DOUBLE) AS conversion_rate")
+    s = session_kpis(sess).selectExpr(
+        "CAST(NULL AS DOUBLE) AS total_revenue", "CAST(NULL AS BIGINT) AS total_orders",
+        "CAST(NULL AS DOUBLE) AS avg_order_value", "CAST(NULL AS DOUBLE) AS avg_discount", "*")
+    return t.unionByName(s).agg(*[F.expr(f"max({c}) AS {c}") for c in KPI_COLUMNS])
 
 
 def kpi_cards(kpis: DataFrame) -> DataFrame:

@@ -41,23 +41,23 @@ def activity_heatmap(sess: DataFrame) -> DataFrame:
     pivoted = (sess.groupBy("day_of_week")
                .pivot("hour", list(HOURS))
                .agg(session_count(sess)))
-    counted = pivoted.select("day_of_week", F.lit(None).cast(IntegerType()).alias("day_index"), *[
-        F.col(str(h)).cast(LongType()).alias(hour_column(h)) for h in HOURS])
-    template = _weekday_frame(sess).select(
-        "day_of_week", "day_index", *[F.lit(None).cast(LongType()).alias(c) for c in hours])
+    counted = pivoted.selectExpr("day_of_week", "CAST(NULL AS INT) AS day_index", *[
+        f"CAST(`{h}` AS BIGINT) AS {hour_column(h)}" for h in HOURS])
+    template = _weekday_frame(sess).selectExpr(
+        "day_of_week", "day_index", *[f"CAST(NULL AS BIGINT) AS {c}" for c in hours])
     return (template.unionByName(counted)
             .groupBy("day_of_week")
-            .agg(F.max("day_index").alias("day_index"), *[F.max(c).alias(c) for c in hours])
-            .filter(F.col("day_index").isNotNull())
+            .agg(F.expr("max(day_index) AS day_index"), *[F.expr(f"max({c}) AS {c}") for c in hours])
+            .filter("day_index IS NOT NULL")
             .select("day_of_week", "day_index", *hours)
             .orderBy("day_index"))
 
 
 def _weekday_frame(like: DataFrame) -> DataFrame:
-    names = F.array(*[F.lit(d) for d in DAY_ORDER])
-    return like.sparkSession.range(1, len(DAY_ORDER) + 1).select(
-        F.element_at(names, F.col("id").cast(IntegerType())).alias("day_of_week"),
-        F.col("id").cast(IntegerType()).alias("day_index"))
+    names = ", ".join(f"'{d}'" for d in DAY_ORDER)
+    return like.sparkSession.range(1, len(DAY_ORDER) + 1).selectExpr(
+        f"element_at(array({names}), CAST(id AS INT)) AS day_of_week",
+        "CAST(id AS INT) AS day_index")
 
 
 GRAINS = {"month": ("year_month", "yyyy-MM"), "day": ("day", "yyyy-MM-dd")}

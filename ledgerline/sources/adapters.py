@@ -39,8 +39,9 @@ from pyspark.sql.types import DecimalType, DoubleType, IntegerType, LongType, St
 
 from ledgerline.functions.expressions import (
     DAY_ORDER,
-    stock_health,
-    weekday_name,
+    HEALTH_LOW,
+    HEALTH_OK,
+    HEALTH_OUT,
     with_date_parts,
 )
 from ledgerline.sources.schemas import MONEY, PERCENT, QUOTE_COLUMNS, TXN, TXN_DERIVED
@@ -96,22 +97,42 @@ def _money(col: Column) -> Column:
 # Rolled-up revenue keeps the type an exact decimal sum of money would have.
 ROLLED_MONEY = DecimalType(28, 2)
 
-
-def _cents(col: Column) -> Column:
-    """Money given as double with at most two decimals -> exact integer cents."""
-    return F.rint(col * F.lit(100.0)).cast(LongType())
+# Column expressions are written as Spark SQL text and applied with
+# ``selectExpr``/``F.expr``: Catalyst sees the same expressions, and the
+# driver builds each one with one JVM call instead of one per sub-expression.
+_DEC_DISCOUNT = "CAST(l_discount AS DECIMAL(5,2))"
+_LINE_REVENUE = (f"CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - {_DEC_DISCOUNT}), 2) "
+                 "AS DECIMAL(18,2))")
+_LINE_DISCOUNT = f"CAST({_DEC_DISCOUNT} * 100 AS DECIMAL(5,1))"
+# price_c x (100 - discount_c) is exact in units of 1/10000; integral division
+# by 100 with half-up rounding (away from zero) gives the cents of _LINE_REVENUE.
+_X = ("(CAST(rint(l_extendedprice * 100D) AS BIGINT)"
+      " * (100 - CAST(rint(l_discount * 100D) AS BIGINT)))")
+_LINE_REVENUE_CENTS = f"CASE WHEN {_X} >= 0 THEN ({_X} + 50) div 100 ELSE -((50 - {_X}) div 100) END"
+_K = "CAST(get_json_object(props, '$.k') AS INT)"
+_DEVICE = ("element_at(array(" + ", ".join(f"'{d}'" for d in DEVICES) + f"), pmod({_K}, 3) + 1)")
+
+_TXN_SQL = {
+    "transaction_id": "concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING))",
+    "date": "CAST(o_orderdate AS DATE)",
+    "region": "r_name",
+    "category": "p_type",
+    "product_id": "concat('PROD-', CAST(l_partkey AS STRING))",
+    "units": "CAST(l_quantity AS INT)",
+    "unit_price": "CAST(CAST(l_extendedprice / l_quantity AS DECIMAL(38,10)) AS DECIMAL(18,2))",
+    "discount_pct": _LINE_DISCOUNT,
+    "customer_id": "concat('CUST-', CAST(o_custkey AS STRING))",
+    "revenue": _LINE_REVENUE,
+}
 
 
-def line_revenue_cents(price: str = "l_extendedprice", discount: str = "l_discount") -> Column:
-    """round(price x (1 - discount), 2) in integer cents, HALF_UP, long arithmetic only.
+def line_revenue_cents() -> Column:
+    """round(l_extendedprice x (1 - l_discount), 2) as exact integer cents (long arithmetic).
 
-    ``price_c x (100 - discount_c)`` is exact in units of 1/10000; dividing by
-    100 with half-up rounding (away from zero) gives the same cents as the
-    decimal formula used for line rows, without per-row decimal objects.
+    Prices and discounts carry at most two decimals (TPC-H money), so
+    ``rint(x * 100)`` is their exact cent value.
     """
-    x = _cents(F.col(price)) * (F.lit(100) - _cents(F.col(discount)))
-    div = lambda a: F.call_function("div", a, F.lit(100))  # noqa: E731  (integral division)
-    return F.when(x >= 0, div(x + F.lit(50))).otherwise(-div(F.lit(50) - x))
+    return F.expr(_LINE_REVENUE_CENTS)
 
 
 def cents_to_money(col: Column) -> Column:
@@ -119,6 +140,13 @@ def cents_to_money(col: Column) -> Column:
     return (col.cast(DecimalType(20, 0)) * F.lit(Decimal("0.01"))).cast(ROLLED_MONEY)
 
 
+_CENTS_TO_MONEY = "CAST(CAST(revenue_cents AS DECIMAL(20,0)) * 0.01BD AS DECIMAL(28,2)) AS revenue"
+
+
+def _select_sql(df: DataFrame, exprs: dict[str, str], names: Iterable[str]) -> DataFrame:
+    return df.selectExpr(*[f"{exprs[c]} AS `{c}`" for c in names])
+
+
 def transactions(spark: SparkSession, sf_dir: str,
                  columns: Iterable[str] | None = None) -> DataFrame:
     """Canonical transactions, one row per ``lineitem`` row.
@@ -146,26 +174,10 @@ def transactions(spark: SparkSession, sf_dir: str,
         lines = lines.join(table(spark, sf_dir, "part").select("p_partkey", "p_type"),
                            F.col("l_partkey") == F.col("p_partkey"))
 
-    price = F.col("l_extendedprice")
-    discount = F.col("l_discount").cast(DecimalType(5, 2))
-    exprs: dict[str, Column] = {
-        "transaction_id": F.concat_ws("-", F.col("l_orderkey").cast(StringType()),
-                                      F.col("l_linenumber").cast(StringType())),
-        "date": F.col("o_orderdate").cast("date") if need & _ORDER_COLUMNS else None,
-        "region": F.col("r_name") if "region" in need else None,
-        "category": F.col("p_type") if "category" in need else None,
-        "product_id": F.concat(F.lit("PROD-"), F.col("l_partkey").cast(StringType())),
-        "units": F.col("l_quantity").cast(IntegerType()),
-        "unit_price": _money((price / F.col("l_quantity")).cast(DecimalType(38, 10))),
-        "discount_pct": (discount * F.lit(100)).cast(PERCENT),
-        "customer_id": (F.concat(F.lit("CUST-"), F.col("o_custkey").cast(StringType()))
-                        if need & _ORDER_COLUMNS else None),
-        "revenue": _money(F.round(_money(price) * (F.lit(1) - discount), 2)),
-    }
     base_cols = [c for c in wanted if c not in TXN_DERIVED]
     if need & set(TXN_DERIVED) and "date" not in base_cols:
         base_cols.append("date")
-    out = lines.select([exprs[c].alias(c) for c in base_cols])
+    out = _select_sql(lines, _TXN_SQL, base_cols)
     if need & set(TXN_DERIVED):
         out = with_date_parts(out)
     return out.select(*wanted)
@@ -196,24 +208,19 @@ def order_rollup(spark: SparkSession, sf_dir: str, columns: Iterable[str] = ())
         raise ValueError(f"not order-level columns: {sorted(unknown)}")
     per_order = (table(spark, sf_dir, "lineitem")
                  .groupBy("l_orderkey")
-                 .agg(F.sum(line_revenue_cents()).alias("revenue_cents"),
-                      F.count(F.lit(1)).alias("line_count")))
+                 .agg(F.expr(f"sum({_LINE_REVENUE_CENTS}) AS revenue_cents"),
+                      F.expr("count(1) AS line_count")))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     if "region" in wanted:
         orders = (orders.join(customer_regions(spark, sf_dir),
                               F.col("o_custkey") == F.col("c_custkey"))
                   .drop("c_custkey"))
     joined = per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    exprs = {
-        "date": F.col("o_orderdate").cast("date"),
-        "customer_id": F.concat(F.lit("CUST-"), F.col("o_custkey").cast(StringType())),
-        "region": F.col("r_name") if "region" in wanted else None,
-    }
     base = [c for c in wanted if c not in TXN_DERIVED]
     if set(wanted) & set(TXN_DERIVED) and "date" not in base:
         base.append("date")
-    out = joined.select(*[exprs[c].alias(c) for c in base],
-                        cents_to_money(F.col("revenue_cents")).alias("revenue"), "line_count")
+    out = joined.selectExpr(*[f"{_TXN_SQL[c]} AS `{c}`" for c in base], _CENTS_TO_MONEY,
+                            "line_count")
     if set(wanted) & set(TXN_DERIVED):
         out = with_date_parts(out)
     return out.select(*wanted, "revenue", "line_count")
@@ -234,26 +241,36 @@ def product_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     (sum) and ``discount_pct_count`` (non-NULL count) - operators turn these
     back into totals and means.
     """
-    discount = F.col("l_discount").cast(DecimalType(5, 2))
-    line_discount = (discount * F.lit(100)).cast(PERCENT)
     per_part = (table(spark, sf_dir, "lineitem")
                 .groupBy("l_partkey")
-                .agg(F.sum(line_revenue_cents()).alias("revenue_cents"),
-                     F.sum(F.col("l_quantity").cast(IntegerType())).alias("units"),
-                     F.count(F.lit(1)).alias("line_count"),
-                     F.sum(line_discount).alias("discount_pct"),
-                     F.count(line_discount).alias("discount_pct_count")))
+                .agg(F.expr(f"sum({_LINE_REVENUE_CENTS}) AS revenue_cents"),
+                     F.expr("sum(CAST(l_quantity AS INT)) AS units"),
+                     F.expr("count(1) AS line_count"),
+                     F.expr(f"sum({_LINE_DISCOUNT}) AS discount_pct"),
+                     F.expr(f"count({_LINE_DISCOUNT}) AS discount_pct_count")))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     return (per_part.join(part, F.col("l_partkey") == F.col("p_partkey"))
-            .select(F.concat(F.lit("PROD-"), F.col("l_partkey").cast(StringType())).alias("product_id"),
-                    F.col("p_type").alias("category"),
-                    cents_to_money(F.col("revenue_cents")).alias("revenue"),
-                    "units", "line_count", "discount_pct", "discount_pct_count"))
+            .selectExpr(f"{_TXN_SQL['product_id']} AS product_id", "p_type AS category",
+                        _CENTS_TO_MONEY, "units", "line_count", "discount_pct",
+                        "discount_pct_count"))
 
 
 SESS_COLUMNS = ("session_id", "timestamp", "user_id", "device", "page_views",
                 "session_duration_s", "converted", "region", "hour", "day_of_week")
 
+_SESS_SQL = {
+    "session_id": "CAST(event_id AS STRING)",
+    "timestamp": "ts",
+    "user_id": "concat('USR-', CAST(user_id AS STRING))",
+    "device": _DEVICE,
+    "page_views": f"CAST(pmod({_K}, 19) + 1 AS INT)",
+    "session_duration_s": "least(1800, greatest(5, CAST(value * 10 AS INT)))",
+    "converted": "CAST(event_type = 'purchase' AS INT)",
+    "region": "r_name",
+    "hour": "hour(ts)",
+    "day_of_week": "date_format(ts, 'EEEE')",
+}
+
 
 def sessions(spark: SparkSession, sf_dir: str,
              columns: Iterable[str] | None = None) -> DataFrame:
@@ -271,21 +288,7 @@ def sessions(spark: SparkSession, sf_dir: str,
     if "region" in wanted:
         ev = (ev.join(customer_regions(spark, sf_dir), F.col("user_id") == F.col("c_custkey"))
               .drop("c_custkey"))
-    k = F.get_json_object(F.col("props"), "$.k").cast(IntegerType())
-    exprs = {
-        "session_id": F.col("event_id").cast(StringType()),
-        "timestamp": F.col("ts"),
-        "user_id": F.concat(F.lit("USR-"), F.col("user_id").cast(StringType())),
-        "device": F.element_at(F.array(*[F.lit(d) for d in DEVICES]), F.pmod(k, F.lit(3)) + 1),
-        "page_views": (F.pmod(k, F.lit(19)) + 1).cast(IntegerType()),
-        "session_duration_s": F.least(F.lit(1800), F.greatest(
-            F.lit(5), (F.col("value") * 10).cast(IntegerType()))),
-        "converted": (F.col("event_type") == "purchase").cast(IntegerType()),
-        "region": F.col("r_name") if "region" in wanted else None,
-        "hour": F.hour(F.col("ts")),
-        "day_of_week": weekday_name(F.col("ts")),
-    }
-    return ev.select([exprs[c].alias(c) for c in wanted])
+    return _select_sql(ev, _SESS_SQL, wanted)
 
 
 SESSION_ROLLUP_KEYS = ("day_of_week", "hour", "device")
@@ -309,66 +312,58 @@ def session_rollup(spark: SparkSession, sf_dir: str, keys: Iterable[str] = ("day
     unknown = set(keys) - set(SESSION_ROLLUP_KEYS)
     if unknown:
         raise ValueError(f"not session rollup keys: {sorted(unknown)}")
-    ev = table(spark, sf_dir, "events").select(
-        "user_id", F.col("ts").alias("timestamp"), "event_type", "props")
+    ev = table(spark, sf_dir, "events").selectExpr(
+        "user_id", "ts AS timestamp", "event_type", "props")
     if prefilter is not None:
         ev = prefilter(ev)
     ev = ev.withColumnRenamed("timestamp", "ts")
-    k = F.get_json_object(F.col("props"), "$.k").cast(IntegerType())
-    key_exprs = {
-        "day_of_week": weekday_name(F.col("ts")),
-        "hour": F.hour(F.col("ts")),
-        "device": F.element_at(F.array(*[F.lit(d) for d in DEVICES]), F.pmod(k, F.lit(3)) + 1),
-    }
-    converted = (F.col("event_type") == "purchase").cast(IntegerType())
-    per_user = (ev.groupBy("user_id", *[key_exprs[c].alias(c) for c in keys])
-                .agg(F.count(F.lit(1)).alias("session_count"),
-                     F.sum(converted).alias("converted"),
-                     F.count(converted).alias("converted_count")))
+    converted = _SESS_SQL["converted"]
+    per_user = (ev.groupBy("user_id", *[F.expr(f"{_SESS_SQL[c]} AS `{c}`") for c in keys])
+                .agg(F.expr("count(1) AS session_count"),
+                     F.expr(f"sum({converted}) AS converted"),
+                     F.expr(f"count({converted}) AS converted_count")))
     cols = [*keys, "session_count", "converted", "converted_count"]
     if with_region:
         per_user = per_user.join(customer_regions(spark, sf_dir),
                                  F.col("user_id") == F.col("c_custkey"))
-        cols.insert(len(keys), F.col("r_name").alias("region"))
-    return per_user.select(*cols)
+        cols.insert(len(keys), "r_name AS region")
+    return per_user.selectExpr(*cols)
+
+
+_INV_STOCK = "CAST(pmod(p_size, 50) AS INT)"
+_INV_REORDER = "CAST(10 + pmod(p_partkey, 21) AS INT)"
 
 
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical inventory, one row per ``part`` row."""
-    p = table(spark, sf_dir, "part")
-    stock = F.pmod(F.col("p_size"), F.lit(50)).cast(IntegerType())
-    reorder = (F.lit(10) + F.pmod(F.col("p_partkey"), F.lit(21))).cast(IntegerType())
-    return p.select(
-        F.concat(F.lit("PROD-"), F.col("p_partkey").cast(StringType())).alias("product_id"),
-        F.col("p_type").alias("category"),
-        stock.alias("stock_units"),
-        reorder.alias("reorder_level"),
-        _money(F.col("p_retailprice")).alias("unit_cost"),
-        F.col("p_brand").alias("supplier"),
-        stock_health(stock, reorder).alias("health"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "concat('PROD-', CAST(p_partkey AS STRING)) AS product_id",
+        "p_type AS category",
+        f"{_INV_STOCK} AS stock_units",
+        f"{_INV_REORDER} AS reorder_level",
+        "CAST(p_retailprice AS DECIMAL(18,2)) AS unit_cost",
+        "p_brand AS supplier",
+        f"CASE WHEN {_INV_STOCK} = 0 THEN '{HEALTH_OUT}' "
+        f"WHEN {_INV_STOCK} < {_INV_REORDER} THEN '{HEALTH_LOW}' "
+        f"WHEN {_INV_STOCK} IS NOT NULL AND {_INV_REORDER} IS NOT NULL THEN '{HEALTH_OK}' END AS health",
     )
 
 
-def _quote_parts() -> dict[str, Column]:
-    uid = F.col("user_id")
-    value = F.col("value")
-    return {
-        "id": F.concat(F.lit("U"), uid.cast(StringType())),
-        "symbol": F.concat(F.lit("U"), uid.cast(StringType())),
-        "name": F.concat(F.lit("Asset "), uid.cast(StringType())),
-        "priceUsd": value,
-        "marketCapUsd": value * (uid + F.lit(1000)).cast(DoubleType()),
-        "volumeUsd24Hr": value * F.lit(24.0),
-        "changePercent24Hr": value / F.lit(10.0) - F.lit(25.0),
-    }
+_QUOTE_SQL = {
+    "id": "concat('U', CAST(user_id AS STRING))",
+    "symbol": "concat('U', CAST(user_id AS STRING))",
+    "name": "concat('Asset ', CAST(user_id AS STRING))",
+    "priceUsd": "value",
+    "marketCapUsd": "value * CAST(user_id + 1000 AS DOUBLE)",
+    "volumeUsd24Hr": "value * 24.0D",
+    "changePercent24Hr": "value / 10.0D - 25.0D",
+}
 
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed quote history: one quote per ``events`` row, symbol ``U<user_id>``."""
-    parts = _quote_parts()
-    ev = table(spark, sf_dir, "events")
-    return ev.select([parts[c].alias(c) for c in QUOTE_COLUMNS[:-1]]
-                     + [F.col("ts").alias("timestamp")])
+    return table(spark, sf_dir, "events").selectExpr(
+        *[f"{_QUOTE_SQL[c]} AS `{c}`" for c in QUOTE_COLUMNS[:-1]], "ts AS timestamp")
 
 
 def raw_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -377,15 +372,13 @@ def raw_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     Error events carry ``n/a`` as market cap, so the typed view must turn
     malformed numbers into NULL without failing.
     """
-    parts = _quote_parts()
-    ev = table(spark, sf_dir, "events")
     cols = []
     for c in QUOTE_COLUMNS[:-1]:
-        text = parts[c].cast(StringType())
+        text = f"CAST({_QUOTE_SQL[c]} AS STRING)"
         if c == "marketCapUsd":
-            text = F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(text)
-        cols.append(text.alias(c))
-    return ev.select(*cols, F.col("event_id"), F.col("ts"))
+            text = f"CASE WHEN event_type = 'error' THEN 'n/a' ELSE {text} END"
+        cols.append(f"{text} AS `{c}`")
+    return table(spark, sf_dir, "events").selectExpr(*cols, "event_id", "ts")
 
 
 def day_frame(spark: SparkSession) -> DataFrame:
