@@ -24,7 +24,6 @@ from ledgerline.functions.expressions import (
     mean_of,
     money_total,
     month_key,
-    ratio,
 )
 
 LINE_COUNT = "line_count"

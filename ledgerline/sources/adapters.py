@@ -36,16 +36,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from decimal import Decimal
 
-from pyspark.sql.types import DecimalType, DoubleType, IntegerType, LongType, StringType
+from pyspark.sql.types import DecimalType
 
 from ledgerline.functions.expressions import (
-    DAY_ORDER,
     HEALTH_LOW,
     HEALTH_OK,
     HEALTH_OUT,
     with_date_parts,
 )
-from ledgerline.sources.schemas import MONEY, PERCENT, QUOTE_COLUMNS, TXN, TXN_DERIVED
+from ledgerline.sources.schemas import QUOTE_COLUMNS, TXN, TXN_DERIVED
 
 TXN_COLUMNS = tuple(f.name for f in TXN.fields) + TXN_DERIVED
 DEVICES = ("Desktop", "Mobile", "Tablet")
@@ -102,10 +101,6 @@ def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("c_custkey", "r_name"))
 
 
-def _money(col: Column) -> Column:
-    return col.cast(MONEY)
-
-
 # Rolled-up revenue keeps the type an exact decimal sum of money would have.
 ROLLED_MONEY = DecimalType(28, 2)
 
@@ -391,11 +386,3 @@ def raw_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
             text = f"CASE WHEN event_type = 'error' THEN 'n/a' ELSE {text} END"
         cols.append(f"{text} AS `{c}`")
     return table(spark, sf_dir, "events").selectExpr(*cols, "event_id", "ts")
-
-
-def day_frame(spark: SparkSession) -> DataFrame:
-    """The seven weekdays with their order (1 = Monday); a fixed dimension."""
-    names = F.array(*[F.lit(d) for d in DAY_ORDER])
-    return spark.range(1, len(DAY_ORDER) + 1).select(
-        F.element_at(names, F.col("id").cast(IntegerType())).alias("day_of_week"),
-        F.col("id").cast(IntegerType()).alias("day_index"))
