@@ -36,6 +36,7 @@ class Query:
 TXN_FILTER = dict(start_date="1996-01-01", end_date="1998-06-30", region="EUROPE", category="PROMO")
 SESS_FILTER = dict(start_date="2024-01-05", end_date="2024-01-20", region="ASIA")
 SYMBOLS = ("U1", "U7", "U42")
+INGEST_TIMEOUT_SECONDS = 3600  # an available-now run that takes longer fails instead of hanging
 
 
 def _txn(spark, sf, *cols):
@@ -74,7 +75,8 @@ def q_quotes_stream_ingest(spark, sf):
     landing = scratch_dir(spark, "feed")
     table = scratch_dir(spark, "quotes-history")
     land_batch(A.raw_quotes(spark, sf), landing)
-    ingest_once(spark, landing, table, scratch_dir(spark, "ingest-ckpt"))
+    ingest_once(spark, landing, table, scratch_dir(spark, "ingest-ckpt"),
+                timeout_seconds=INGEST_TIMEOUT_SECONDS)
     return load_quotes(spark, table).drop("timestamp")
 
 
