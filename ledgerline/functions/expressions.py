@@ -182,7 +182,9 @@ def format_percent(col: Column | str, digits: int = 1, signed: bool = False) ->
     """
     c = _c(col)
     digits_text = F.regexp_replace(F.format_number(c, digits), ",", "")
-    sign = F.when(c >= 0, F.lit("+")).otherwise(F.lit("")) if signed else F.lit("")
+    # The sign comes from the formatted text, so -0.0 prints "-0.0%" as Python does.
+    sign = (F.when(digits_text.startswith("-"), F.lit("")).otherwise(F.lit("+"))
+            if signed else F.lit(""))
     return F.when(c.isNotNull(), F.concat(sign, digits_text, F.lit("%")))
 
 
