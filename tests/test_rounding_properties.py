@@ -42,3 +42,21 @@ def test_display_strings_match_python_fstrings(spark, values):
         assert r.m2 == f"${v:,.2f}", v
         assert r.p1 == f"{v:+.1f}%", v
         assert r.p2 == f"{v:+.2f}%", v
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(1, 14),
+                               st.integers(1, 10**7),          # unit price in cents
+                               st.integers(0, 400),            # discount in tenths of a percent
+                               st.integers(1, 12)),            # month
+                     min_size=50, max_size=200))
+def test_line_revenue_matches_decimal_formula(spark, rows):
+    import datetime as dt
+    from ledgerline.functions.expressions import line_revenue
+    data = [(u, Decimal(p) / 100, Decimal(d) / 10, dt.date(2024, m, 15)) for u, p, d, m in rows]
+    df = spark.createDataFrame(data, "units int, price decimal(18,2), disc decimal(5,1), d date")
+    got = [r.rev for r in df.select(line_revenue("units", "price", "disc", "d").alias("rev")).collect()]
+    factor = {12: Decimal("1.5"), 11: Decimal("1.3")}
+    want = [(u * p * (1 - d / 100) * factor.get(day.month, Decimal("1.0"))).quantize(
+        Decimal("0.01"), rounding=ROUND_HALF_UP) for u, p, d, day in data]
+    assert got == want
