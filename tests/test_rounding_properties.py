@@ -1,5 +1,6 @@
-"""Property tests: rounding and display formatting against Python's decimal/format rules."""
+"""Property tests: rounding, display formatting, money formulas and date filters against plain Python rules."""
 
+import datetime
 from decimal import ROUND_HALF_UP, Decimal
 
 from hypothesis import HealthCheck, given, settings
@@ -60,3 +61,20 @@ def test_line_revenue_matches_decimal_formula(spark, rows):
     want = [(u * p * (1 - d / 100) * factor.get(day.month, Decimal("1.0"))).quantize(
         Decimal("0.01"), rounding=ROUND_HALF_UP) for u, p, d, day in data]
     assert got == want
+
+
+@SETTINGS
+@given(stamps=st.lists(st.datetimes(min_value=datetime.datetime(2024, 6, 27),
+                                    max_value=datetime.datetime(2024, 7, 3)),
+                       min_size=30, max_size=120),
+       inclusive=st.booleans())
+def test_session_date_filter_matches_rule(spark, stamps, inclusive):
+    import datetime as dt
+    from ledgerline.operators.filters import filter_sessions
+    start, end = dt.date(2024, 6, 28), dt.date(2024, 7, 1)
+    stamps = [s.replace(microsecond=0) for s in stamps] + [dt.datetime(2024, 7, 1), dt.datetime(2024, 6, 28)]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(stamps)], "id int, timestamp timestamp_ntz")
+    got = sorted(r.id for r in filter_sessions(df, start, end, end_day_inclusive=inclusive).collect())
+    lo = dt.datetime(2024, 6, 28)
+    hi_ok = (lambda s: s < dt.datetime(2024, 7, 2)) if inclusive else (lambda s: s <= dt.datetime(2024, 7, 1))
+    assert got == [i for i, s in enumerate(stamps) if s >= lo and hi_ok(s)]
