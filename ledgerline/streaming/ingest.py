@@ -118,14 +118,17 @@ def stored_rows(query: StreamingQuery) -> int:
 
 
 def ingest_once(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_dir: str,
-                timeout_seconds: float | None = None) -> int:
+                timeout_seconds: float | None = None,
+                max_files_per_trigger: int | None = None) -> int:
     """Process everything landed so far, then stop; return the rows stored.
 
     The caller treats 0 as failure (the reference exits with status 1 when a
     test batch stores nothing).  Running it again on the same checkpoint
-    stores nothing twice.
+    stores nothing twice.  ``max_files_per_trigger`` splits a large backlog
+    into several bounded micro-batches.
     """
-    query = start_ingest(spark, landing_dir, table_path, checkpoint_dir, available_now=True)
+    query = start_ingest(spark, landing_dir, table_path, checkpoint_dir, available_now=True,
+                         max_files_per_trigger=max_files_per_trigger)
     try:
         finished = query.awaitTermination(timeout_seconds) if timeout_seconds else query.awaitTermination()
         if finished is False:

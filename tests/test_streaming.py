@@ -100,3 +100,17 @@ def test_history_table_by_name(spark, tmp_root):
     df = register_quotes_table(spark, name, table)
     assert len(df.columns) == 8
     assert spark.sql(f"SELECT count(*) AS n FROM {name}").collect()[0].n == 1
+
+
+def test_backlog_in_bounded_batches_one_stamp_per_batch(spark, tmp_root):
+    landing, table, ckpt = f"{tmp_root}/landing", f"{tmp_root}/table", f"{tmp_root}/ckpt"
+    for i in range(3):
+        _land_text(spark, f"{landing}/b{i}", [{"data": [{"id": f"a{i}", "symbol": f"S{i}", "priceUsd": "1"},
+                                                        {"id": f"b{i}", "symbol": f"T{i}", "priceUsd": "2"}]}])
+    assert ingest_once(spark, landing, table, ckpt, timeout_seconds=300, max_files_per_trigger=1) == 6
+    rows = load_quotes(spark, table).collect()
+    stamps = {}
+    for r in rows:
+        stamps.setdefault(r.symbol[1], set()).add(r.timestamp)  # file index -> stamps
+    assert all(len(v) == 1 for v in stamps.values())  # both rows of a batch share one stamp
+    assert len({next(iter(v)) for v in stamps.values()}) >= 2  # separate batches, separate stamps
