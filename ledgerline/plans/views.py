@@ -1,10 +1,11 @@
 """Composite views, one per dashboard tab (V1-V4).
 
-Each returns a dict of lazy DataFrames; nothing is collected.  The deep
-dive derives discount-vs-revenue and the top-N table from one product x
-category aggregate; with ``share=True`` that aggregate is persisted so both
-outputs read it once (the caller unpersists the frames listed under
-``"_shared"`` when done).
+Each returns a dict of lazy DataFrames; nothing is collected.  Outputs that
+derive from one intermediate frame (category totals and their shares, the
+monthly growth and its bars, the product x category aggregate, the quote
+snapshot) share that frame; with ``share=True`` it is persisted
+(memory, spilling to disk) so the outputs read it once.  The caller
+unpersists the frames listed under ``"_shared"`` when done.
 """
 
 from __future__ import annotations
@@ -20,11 +21,22 @@ from ledgerline.operators.filters import Filters
 from ledgerline.operators.products import PRODUCT_KEYS
 
 
-def overview(txn: DataFrame, sess: DataFrame, filters: Filters = Filters()) -> dict[str, DataFrame]:
+def _shared(df: DataFrame, share: bool, shared: list) -> DataFrame:
+    if not share:
+        return df
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    shared.append(df)
+    return df
+
+
+def overview(txn: DataFrame, sess: DataFrame, filters: Filters = Filters(),
+             share: bool = False) -> dict[str, DataFrame]:
     """Overview tab: KPIs, monthly revenue with rolling mean, region and category totals."""
     t, s = filters.apply(txn, sess)
-    by_category = ops.revenue_by_category(t)
+    shared: list = []
+    by_category = _shared(ops.revenue_by_category(t), share, shared)
     return {
+        "_shared": shared,
         "kpis": ops.kpi_summary(t, s),
         "revenue_over_time": ops.revenue_over_time(t),
         "revenue_by_region": ops.revenue_by_region(t),
@@ -34,11 +46,13 @@ def overview(txn: DataFrame, sess: DataFrame, filters: Filters = Filters()) -> d
 
 
 def trends(txn: DataFrame, sess: DataFrame, filters: Filters = Filters(),
-           grain: str = "month") -> dict[str, DataFrame]:
+           grain: str = "month", share: bool = False) -> dict[str, DataFrame]:
     """Trends tab: weekday x hour heatmap, device mix over time, month-over-month growth."""
     t, s = filters.apply(txn, sess)
-    mom = ops.mom_growth(t)
+    shared: list = []
+    mom = _shared(ops.mom_growth(t), share, shared)
     return {
+        "_shared": shared,
         "heatmap": ops.activity_heatmap(s),
         "device_trend": ops.device_trend(s, grain=grain),
         "mom_growth": mom,
@@ -60,10 +74,8 @@ def deep_dive(txn: DataFrame, inv: DataFrame, filters: Filters = Filters(), n: i
                         money_total("revenue").alias("total_revenue"),
                         F.sum("units").cast("bigint").alias("total_units"),
                         F.count("transaction_id").alias("orders")))
-    shared = []
-    if share:
-        per_product = per_product.persist(StorageLevel.MEMORY_AND_DISK)
-        shared.append(per_product)
+    shared: list = []
+    per_product = _shared(per_product, share, shared)
     scatter = per_product.select(*PRODUCT_KEYS, "avg_discount",
                                  F.col("total_revenue").cast(DoubleType()).alias("total_revenue"),
                                  "total_units")
@@ -82,11 +94,13 @@ def deep_dive(txn: DataFrame, inv: DataFrame, filters: Filters = Filters(), n: i
 
 
 def quotes_view(quotes: DataFrame, cards: int = 4, bars: int = 10,
-                history_top: int = 5) -> dict[str, DataFrame]:
+                history_top: int = 5, share: bool = False) -> dict[str, DataFrame]:
     """Quotes tab: latest snapshot, KPI cards, top-N bars, price history of the leaders."""
-    snapshot = ops.latest_snapshot(quotes)
+    shared: list = []
+    snapshot = _shared(ops.latest_snapshot(quotes), share, shared)
     history = ops.price_history(quotes)
     return {
+        "_shared": shared,
         "snapshot": snapshot,
         "cards": ops.asset_cards(snapshot, cards),
         "market_cap_top": ops.top_assets(snapshot, bars),

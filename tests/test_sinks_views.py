@@ -75,7 +75,7 @@ def test_views_match_operators(spark):
     f = ops.Filters(start_date="1996-01-01", end_date="1999-12-31", region="EUROPE")
     v1 = views.overview(txn, sess, f)
     assert set(v1) == {"kpis", "revenue_over_time", "revenue_by_region", "revenue_by_category",
-                       "category_share"}
+                       "category_share", "_shared"}
     assert v1["revenue_by_region"].collect()[0].region == "EUROPE"
     v2 = views.trends(txn, sess, f)
     assert v2["heatmap"].count() == 7
@@ -105,3 +105,14 @@ def test_views_on_empty_quotes(spark, tmp_root):
     assert views.is_empty(v["snapshot"]) and v["history"].count() == 0
     assert v["cards"].columns == ["symbol", "price_text", "change_text", "direction"]
     assert F is not None
+
+
+def test_views_share_intermediate_frames(spark):
+    txn = A.transactions(spark, SF_SMALL)
+    sess = A.sessions(spark, SF_SMALL)
+    for view in (views.overview(txn, sess, share=True), views.trends(txn, sess, share=True),
+                 views.quotes_view(A.quotes(spark, SF_SMALL), share=True)):
+        assert len(view["_shared"]) == 1 and view["_shared"][0].is_cached
+        for df in view["_shared"]:
+            df.unpersist()
+    assert views.overview(txn, sess)["_shared"] == []
