@@ -19,12 +19,28 @@ def plan_text(df):
 
 def test_rank_filter_becomes_window_group_limit(spark):
     df = registry.q_top_products(spark, SF_SMALL)
-    assert "WindowGroupLimit" in plan_text(df)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    single = next(i for i, l in enumerate(lines) if "Exchange SinglePartition" in l)
+    partial = next(i for i, l in enumerate(lines) if "WindowGroupLimit" in l and "Partial" in l)
+    assert single < partial  # each task keeps its top n before the single-partition exchange
 
 
-def test_latest_snapshot_uses_window_group_limit(spark):
+def test_latest_snapshot_limits_each_task_before_the_shuffle(spark):
     df = ops.latest_snapshot(A.quotes(spark, SF_SMALL))
-    assert "WindowGroupLimit" in plan_text(df)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    exchange = next(i for i, l in enumerate(lines) if "Exchange hashpartitioning(symbol" in l)
+    partial = next(i for i, l in enumerate(lines) if "WindowGroupLimit" in l and "Partial" in l)
+    final = next(i for i, l in enumerate(lines) if "WindowGroupLimit" in l and "Final" in l)
+    # Printed top-down: Final above the exchange, Partial (run in every map task) below it.
+    assert final < exchange < partial
 
 
 def test_filters_reach_the_scan(spark):
