@@ -116,3 +116,12 @@ def test_views_share_intermediate_frames(spark):
         for df in view["_shared"]:
             df.unpersist()
     assert views.overview(txn, sess)["_shared"] == []
+
+
+def test_scratch_space_lives_under_the_sessions_checkpoint_dir(spark):
+    from ledgerline.session import ensure_checkpoint_dir, scratch_dir
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert configured  # set by the cluster (or, only when unset, by ensure_checkpoint_dir)
+    assert ensure_checkpoint_dir(spark) == configured  # an existing setting is never replaced
+    a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert a != b and a.startswith(configured.rstrip("/") + "/x-")
