@@ -32,7 +32,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("ledgerline-ingest").getOrCreate()
     try:
         if args.once:
-            stored = ingest_once(spark, args.landing, args.table, args.checkpoint)
+            stored = ingest_once(spark, args.landing, args.table, args.checkpoint,
+                                 max_files_per_trigger=args.max_files_per_trigger)
             print(f"stored {stored} quote rows")
             return 0 if stored > 0 else 1
         query = start_ingest(spark, args.landing, args.table, args.checkpoint,
