@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.session import scratch_dir
@@ -13,8 +13,22 @@ from ledgerline.session import scratch_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def importable(spark: SparkSession) -> None:
+    """Python workers on this machine find the package even if it is not installed.
+
+    On a cluster the package is installed or sent along (``--py-files``); the
+    extra path does no harm there.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = list(filter(None, env.get("PYTHONPATH", "").split(os.pathsep)))
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents table with the columns the operators know."""
+    """The documents table."""
+    importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
@@ -101,26 +115,6 @@ def range_number(key: str, bounds: list[int]) -> Column:
     return F.when(F.col(key).isNull(), F.lit(-1)).otherwise((block + inside).cast("int"))
 
 
-def batches_by_bytes(batch, column: int, limit: int) -> Iterator[tuple[int, int]]:
-    """Row ranges of an Arrow batch whose text in ``column`` holds about ``limit`` bytes (one row at least)."""
-    import numpy as np
-
-    n = batch.num_rows
-    if n == 0:
-        return
-    lengths = batch.column(column).buffers()
-    del lengths
-    sizes = np.diff(string_offsets(batch.column(column)))
-    total = np.cumsum(sizes)
-    start, base = 0, 0
-    while start < n:
-        stop = int(np.searchsorted(total, base + limit, side="right"))
-        stop = min(n, max(stop, start + 1))
-        yield start, stop
-        base = int(total[stop - 1])
-        start = stop
-
-
 def string_offsets(array):
     """Offsets of an Arrow string array as int64 (slices included)."""
     import numpy as np
@@ -140,6 +134,3 @@ def string_bytes(array):
     flat = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return flat[offsets[0]: offsets[-1]], offsets - offsets[0]
 
-
-def ascending(df: DataFrame, part: str, *order: str) -> Window:
-    return Window.partitionBy(part).orderBy(*order)

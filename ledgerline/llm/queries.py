@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import fingerprints, mixing, sharding
+from ledgerline.llm import fingerprints, mixing, packing, sharding, tokenfiles
 from ledgerline.llm.common import documents
 
 
@@ -12,6 +12,14 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edited(documents(spark, sf_dir))
 
 
+def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.wavelet_documents(documents(spark, sf_dir))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.count_tokens(documents(spark, sf_dir))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(documents(spark, sf_dir), n_shards=24)
 
@@ -20,6 +28,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir))
+
+
 def queries() -> dict:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
