@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import fingerprints, mixing, packing, sharding, tokenfiles
-from ledgerline.llm.common import documents
+from ledgerline.llm import embeddings, fingerprints, mixing, neardup, packing, sharding, tokenfiles
+from ledgerline.llm.common import documents, importable
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,15 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.count_tokens(documents(spark, sf_dir))
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.group_documents(documents(spark, sf_dir), percent=85)
+
+
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
+    return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(documents(spark, sf_dir), n_shards=24)
 
