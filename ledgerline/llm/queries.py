@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import embeddings, fingerprints, mixing, neardup, packing, quality, sharding, tokenfiles
+from ledgerline.llm import embeddings, fingerprints, lm, mixing, neardup, packing, quality, sharding, tokenfiles
 from ledgerline.llm.common import documents, importable
 
 
@@ -16,6 +16,10 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.wavelet_documents(documents(spark, sf_dir))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(documents(spark, sf_dir))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     return quality.score_documents(documents(spark, sf_dir), labels)

@@ -53,6 +53,18 @@ class Encoder:
         done = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in done]
 
+    def encode_words(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece by itself (distinct pieces)."""
+        cache = self._cache
+        if len(cache) > CACHE_PIECES:
+            cache.clear()
+        new = [p for p in pieces if p not in cache]
+        made: dict[str, bytes] = {}
+        for i in range(0, len(new), 4096):
+            made.update(zip(new[i: i + 4096], self._ids(new[i: i + 4096])))
+        cache.update((p, v) for p, v in made.items() if len(p) <= 64)
+        return [cache[p] if p in cache else made[p] for p in pieces]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         cache = self._cache
         if len(cache) > CACHE_PIECES:
