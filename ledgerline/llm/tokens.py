@@ -2,33 +2,58 @@
 
 The tokenizer's file is read once on the driver and sent to the tasks as a
 broadcast string (a vocabulary file: its size does not depend on the data).
-A worker remembers the ids of the pieces it has met; pieces are cut only
-where the tokenizer itself always cuts, and every piece is encoded by the
-library, so the ids equal those of the whole text.
+
+Texts are cut into words by array operations, each distinct word is encoded
+by the library, and the ids are put together again by array operations.  Cuts
+are made only where the tokenizer itself always cuts; a text where that is
+not sure goes to the library whole.  A worker remembers the ids of the words
+it has met, by a 64-bit hash of their bytes.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
-import re
+from collections.abc import Callable
 
 import numpy as np
 
-CACHE_PIECES = 400_000  # a full cache is emptied; it only saves time
+from ledgerline.llm import words
+from ledgerline.llm.common import string_bytes
+
+CACHE_WORDS = 1_200_000  # words a worker remembers, in two halves; the older half goes when the newer is full
+SLICE_BYTES = 1 << 22
 
-_TWO_SPACES = re.compile(r"\s\s|\x00")
-_CONTROL = re.compile(r"[\x1c-\x1f]")
 _ENCODERS: dict[tuple[str, str], "Encoder"] = {}
 
+_TAILS = b".,;:!?"
+_TAIL = np.zeros(256, np.int64)
+_TAIL[list(_TAILS)] = np.arange(1, len(_TAILS) + 1)
+_PLAIN = np.zeros(256, bool)
+_PLAIN[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")] = True
+_OTHER_SPACE = np.zeros(256, bool)
+_OTHER_SPACE[[9, 11, 12, 13]] = True
+
+
+def _wide_space(flat: np.ndarray) -> np.ndarray:
+    """Where a white-space character outside ASCII begins."""
+    after = np.append(flat[1:], 0)
+    third = np.append(flat[2:], [0, 0])[: len(flat)]
+    out = (flat == 0xC2) & ((after == 0x85) | (after == 0xA0))
+    out |= (flat == 0xE1) & (after == 0x9A) & (third == 0x80)
+    out |= (flat == 0xE2) & (after == 0x80) & ((third <= 0x8A) | (third == 0xA8) | (third == 0xA9) | (third == 0xAF))
+    out |= (flat == 0xE2) & (after == 0x81) & (third == 0x9F)
+    return out | (flat == 0xE3) & (after == 0x80) & (third == 0x80)
+
 
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    ``byte`` files (byte-level, white space kept): a single space starts a
-    piece and a line feed between other characters stands alone; texts with
-    white space in a row go to the library whole.  ``word`` files (white space
-    dropped) treat each white-space-separated word by itself.
+    ``byte`` files (byte-level, white space kept): a word goes with the single
+    space or line feed before it; texts with other or repeated white space go
+    to the library whole.  ``word`` files (white space dropped) treat each
+    white-space-separated word by itself.  A closing mark after a letter or
+    digit is a token of its own in both.
     """
 
     def __init__(self, file_text: str, kind: str):
@@ -38,49 +63,147 @@ class Encoder:
         self._tokenizer = Tokenizer.from_str(file_text)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self._kind = kind
-        self._cache: dict[str, bytes] = {}
-
-    def _pieces(self, text: str) -> list[str]:
-        if self._kind == "byte":
-            if _TWO_SPACES.search(text):
-                return [text]
-            return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-        if _CONTROL.search(text):
-            return [text]
-        return text.split()
+        self._cache: dict[int, bytes] = {}
+        self._older: dict[int, bytes] = {}
+        vocabulary = self._tokenizer.get_vocab()
+        self._mark = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._mark[[i for piece, i in vocabulary.items()
+                    if (piece.startswith("Ġ") if kind == "byte" else piece.endswith("</w>"))]] = True
+        tails = [np.frombuffer(x, "<u4") for x in self._ids([chr(c) for c in _TAILS])]
+        self._tail_ids = np.array([0] + [int(x[0]) for x in tails], np.uint32)
+        self._tail_ok = np.array([False] + [len(x) == 1 for x in tails])
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
         done = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in done]
 
-    def encode_words(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece by itself (distinct pieces)."""
-        cache = self._cache
-        if len(cache) > CACHE_PIECES:
-            cache.clear()
-        new = [p for p in pieces if p not in cache]
-        made: dict[str, bytes] = {}
-        for i in range(0, len(new), 4096):
-            made.update(zip(new[i: i + 4096], self._ids(new[i: i + 4096])))
-        cache.update((p, v) for p, v in made.items() if len(p) <= 64)
-        return [cache[p] if p in cache else made[p] for p in pieces]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cache = self._cache
-        if len(cache) > CACHE_PIECES:
-            cache.clear()
-        split = [self._pieces(t) for t in texts]
-        new = set().union(*split).difference(cache)
-        # Whole texts are not worth remembering.
-        short = [p for p in new if len(p) <= 64]
-        for i in range(0, len(short), 4096):
-            part = short[i: i + 4096]
-            cache.update(zip(part, self._ids(part)))
-        long = [p for p in new if len(p) > 64]
-        rest = dict(zip(long, self._ids(long)))
-        if not rest:
-            return [b"".join(map(cache.__getitem__, pieces)) for pieces in split]
-        return [b"".join([cache[p] if p in cache else rest[p] for p in pieces]) for pieces in split]
+    def _stems_ids(self, stems: list[str]) -> list[bytes]:
+        """Ids of letter-only words, many in one call: a word ends (or starts) where its ids say so."""
+        out: list[bytes] = []
+        joined = "".join if self._kind == "byte" else " ".join
+        lines = [stems[i: i + 256] for i in range(0, len(stems), 256)]
+        done = self._tokenizer.encode_batch_fast([joined(x) for x in lines], add_special_tokens=False)
+        for line, e in zip(lines, done):
+            ids = np.array(e.ids, "<u4")
+            marks = np.flatnonzero(self._mark[ids])
+            if len(marks) != len(line) or (self._kind == "byte" and marks[0] != 0):
+                out += self._ids(line)
+                continue
+            cuts = np.append(marks, len(ids)) if self._kind == "byte" else np.concatenate([[0], marks + 1])
+            raw, cuts = ids.tobytes(), (4 * cuts).tolist()
+            out += [raw[x:y] for x, y in zip(cuts[:-1], cuts[1:])]
+        return out
+
+    def _is_stem(self, piece: str) -> bool:
+        return piece[:1] == " " and piece[1:].isalpha() if self._kind == "byte" else piece.isalpha()
+
+    def lookup(self, keys: np.ndarray, piece_of: Callable[[int], bytes]) -> list[bytes]:
+        """Ids for distinct keys; ``piece_of(i)`` gives the bytes behind a key that is not remembered."""
+        if len(self._cache) > CACHE_WORDS // 2:
+            self._older, self._cache = self._cache, {}
+        cache, older = self._cache, self._older
+        names = keys.tolist()
+        found = list(map(cache.get, names))
+        missing = [i for i, v in enumerate(found) if v is None]
+        if older:
+            for i in missing:
+                v = older.get(names[i])
+                if v is not None:
+                    found[i] = cache[names[i]] = v
+            missing = [i for i in missing if found[i] is None]
+        pieces = [(i, piece_of(i).decode("utf-8", "replace")) for i in missing]
+        stems = [(i, p) for i, p in pieces if self._is_stem(p)]
+        rest = [(i, p) for i, p in pieces if not self._is_stem(p)]
+        for at in range(0, len(stems), 1 << 16):
+            part = stems[at: at + (1 << 16)]
+            for (i, _), v in zip(part, self._stems_ids([p for _, p in part])):
+                found[i] = cache[names[i]] = v
+        for at in range(0, len(rest), 1 << 12):
+            part = rest[at: at + (1 << 12)]
+            for (i, p), v in zip(part, self._ids([p for _, p in part])):
+                found[i] = v
+                if len(p) <= 256:
+                    cache[names[i]] = v
+        return found
+
+    def encode(self, flat: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """Ids of every text of a block (bytes and offsets)."""
+        texts = len(offsets) - 1
+        starts, ends, counts = words.word_spans(flat, offsets)
+        if not len(starts):
+            return self._whole(flat, offsets, range(texts), {})
+        size = ends - starts
+        # Cut off the closing mark after a letter or digit (ASCII, or Latin-1 letters in two bytes).
+        tail = _TAIL[flat[ends - 1]]
+        before = flat[np.maximum(ends - 2, 0)]
+        wide = ((before >= 0x80) & (before != 0x97) & (before != 0xB7) & (size >= 3)
+                & (flat[np.maximum(ends - 3, 0)] == 0xC3))
+        cut = (size >= 2) & self._tail_ok[tail] & (_PLAIN[before] | wide)
+        tail[~cut] = 0
+        stops = ends - cut
+        keys = words.span_hashes(flat, starts, stops)
+        slow = np.zeros(texts, bool)
+        if self._kind == "byte":
+            inner = np.isin(starts, offsets[:-1], invert=True)
+            previous = np.where(inner, flat[np.maximum(starts - 1, 0)], 0)
+            lead = np.where(previous == 32, 1, np.where(previous == 10, 2, 0)).astype(np.uint64)
+            keys = words.mix(keys + lead * np.uint64(0x9E3779B97F4A7C15))
+            slow = self._unsure(flat, offsets, starts, ends)
+        distinct, first, index = np.unique(keys, return_index=True, return_inverse=True)
+        raw = flat.tobytes()
+        if self._kind == "byte":
+            lead_of = (b"", b" ", b"\n")
+            heads = lead[first].astype(np.int64).tolist()
+        spans = list(zip(starts[first].tolist(), stops[first].tolist()))
+
+        def piece_of(i: int) -> bytes:
+            a, b = spans[i]
+            return (lead_of[heads[i]] if self._kind == "byte" else b"") + raw[a:b]
+
+        ids = self.lookup(distinct, piece_of)
+        per = np.array([len(x) for x in ids], np.int64) // 4
+        table = np.frombuffer(b"".join(ids), "<u4")
+        place = np.cumsum(per) - per
+        core = per[index]
+        n = core + (tail > 0)
+        to = np.cumsum(n)
+        out = np.empty(int(to[-1]), "<u4")
+        marked = np.flatnonzero(tail)
+        out[to[marked] - 1] = self._tail_ids[tail[marked]]
+        shift = np.repeat(to - n - (np.cumsum(core) - core), core)
+        source = np.repeat(place[index] - (np.cumsum(core) - core), core)
+        step = np.arange(int(core.sum()))
+        out[step + shift] = table[step + source]
+        text_end = np.concatenate([[0], to])[np.cumsum(counts)] * 4
+        raw_ids = out.tobytes()
+        bounds = np.concatenate([[0], text_end]).tolist()
+        done = {t: raw_ids[bounds[t]: bounds[t + 1]] for t in np.flatnonzero(~slow & (counts > 0)).tolist()}
+        return self._whole(flat, offsets, range(texts), done)
+
+    def _whole(self, flat, offsets, texts, done: dict[int, bytes]) -> list[bytes]:
+        """Fills in the texts that are not done: by the library, whole."""
+        rest = [t for t in texts if t not in done and offsets[t + 1] > offsets[t]]
+        for at in range(0, len(rest), 64):
+            part = rest[at: at + 64]
+            strings = [flat[offsets[t]: offsets[t + 1]].tobytes().decode("utf-8", "replace") for t in part]
+            done.update(zip(part, self._ids(strings)))
+        return [done.get(t, b"") for t in texts]
+
+    @staticmethod
+    def _unsure(flat, offsets, starts, ends) -> np.ndarray:
+        """Texts whose white space is more than single spaces and line feeds between words."""
+        space = np.zeros(len(flat) + 1, np.int64)
+        np.cumsum((flat == 32) | (flat == 10), out=space[1:])
+        odd = np.zeros(len(flat) + 1, np.int64)
+        np.cumsum(_OTHER_SPACE[flat] | _wide_space(flat), out=odd[1:])
+        a, b = offsets[:-1], offsets[1:]
+        n_words = np.searchsorted(starts, b) - np.searchsorted(starts, a)
+        full = b > a
+        first, last = flat[np.minimum(a, len(flat) - 1)], flat[np.maximum(b - 1, 0)]
+        opening = full & ((first == 32) | (first == 10))
+        closing = full & ((last == 32) | (last == 10))
+        # One separator before each word but the first (or before all, if the text opens with one).
+        return (odd[b] > odd[a]) | closing | ((space[b] - space[a]) != np.maximum(n_words - 1, 0) + opening)
 
 
 def encoder(file_text: str, kind: str) -> Encoder:
@@ -103,15 +226,13 @@ def broadcast_file(spark, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def encode_batch(enc: Encoder, column, limit: int = 1 << 20):
-    """(row, ids as bytes) of an Arrow string column, in steps of about ``limit`` characters; NULL is empty."""
-    texts = column.to_pylist() if len(column) else []
-    start, held = 0, 0
-    for i, t in enumerate(texts):
-        if t is None:
-            texts[i] = t = ""
-        held += len(t)
-        if held >= limit or i == len(texts) - 1:
-            for row, ids in enumerate(enc.encode(texts[start: i + 1]), start):
-                yield row, ids
-            start, held = i + 1, 0
+def encode_batch(enc: Encoder, column):
+    """(row, ids as bytes) of an Arrow string column, in slices of about ``SLICE_BYTES``; NULL is empty."""
+    flat, offsets = string_bytes(column.fill_null(""))
+    start, n = 0, len(offsets) - 1
+    while start < n:
+        stop = int(np.searchsorted(offsets, offsets[start] + SLICE_BYTES, side="right")) - 1
+        stop = min(n, max(stop, start + 1))
+        base = offsets[start]
+        yield from enumerate(enc.encode(flat[base: offsets[stop]], offsets[start: stop + 1] - base), start)
+        start = stop

@@ -9,8 +9,8 @@ from __future__ import annotations
 import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15 | 1
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _POWERS: list[np.ndarray] = []
@@ -60,19 +60,24 @@ def word_spans(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, counts
 
 
-def word_hashes(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit hash of every lower-cased word, words per text)."""
-    starts, ends, counts = word_spans(flat, offsets)
+def span_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes of every span."""
     if not len(starts):
-        return np.zeros(0, np.uint64), counts
+        return np.zeros(0, np.uint64)
     up, down = _powers(len(flat))
-    terms = _LOWER[flat].astype(np.uint64)
+    terms = flat.astype(np.uint64)
     terms += np.uint64(1)
     terms *= up[: len(flat)]
     total = np.empty(len(flat) + 1, np.uint64)
     total[0] = 0
     np.cumsum(terms, out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts]), counts
+    return mix((total[ends] - total[starts]) * down[starts])
+
+
+def word_hashes(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash of every lower-cased word, words per text)."""
+    starts, ends, counts = word_spans(flat, offsets)
+    return span_hashes(LOWER[flat], starts, ends), counts
 
 
 def shingle_sets(hashes: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
