@@ -116,11 +116,13 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.98, tile: int =
         .groupBy("label", "width", "low", "high")
         .applyInArrow(_tile(threshold), "rep bigint, root bigint, links bigint"), "tiles")
     groups = components(found.select("rep", "root"), scratch)
-    per_class = (classes.select("label", "vector", "rep", "copies")
-                 .join(found.groupBy("rep").agg(F.sum("links").alias("links")), "rep", "left")
-                 .join(groups, F.col("rep") == F.col("node"), "left")
-                 .select("label", "vector", F.coalesce("component", "rep").alias("component_id"),
-                         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    # Saved, so that the join's two sides are plain shuffles and a class of very many copies can be split.
+    per_class = scratch.save(
+        classes.select("label", "vector", "rep", "copies")
+        .join(found.groupBy("rep").agg(F.sum("links").alias("links")), "rep", "left")
+        .join(groups, F.col("rep") == F.col("node"), "left")
+        .select("label", "vector", F.coalesce("component", "rep").alias("component_id"),
+                (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "linked")
     linked = good.join(per_class, ["label", "vector"]).select("vec_id", "n_links", "component_id")
     alone = rows.filter("NOT usable").select("vec_id", F.lit(0).cast("long").alias("n_links"),
                                              F.col("vec_id").alias("component_id"))

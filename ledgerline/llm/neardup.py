@@ -286,8 +286,9 @@ def group_documents(docs: DataFrame, *, percent: int = 85, k: int = SHINGLE, ban
     groups = components(links.union(rest_links), scratch)
     scratch.drop(sets)
 
-    reps = (classes.select(*key, "rep").join(groups, F.col("rep") == F.col("node"), "left")
-            .select(*key, F.coalesce("component", "rep").alias("component_id")))
+    # Saved, so that the join's two sides are plain shuffles and a class of very many copies can be split.
+    reps = scratch.save(classes.select(*key, "rep").join(groups, F.col("rep") == F.col("node"), "left")
+                        .select(*key, F.coalesce("component", "rep").alias("component_id")), "classes")
     grouped = usable.join(reps, key).select("doc_id", "n_shingles", "component_id")
     alone = signed.filter("n_shingles = 0 OR doc_id IS NULL").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
