@@ -110,6 +110,22 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, max_repeats: int
     return mixed.withColumnRenamed("id", "doc_id")
 
 
+def repeat_documents(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = 3,
+                     block_words: int = 16, n_shards: int = 8, seed: int = 29, id_col: str = "doc_id",
+                     text_col: str = "text", source_col: str = "source", cell_digits: int = 2) -> DataFrame:
+    """The mix as documents: every row of ``docs``, all its columns, as many times as ``mix`` says (0 to
+    ``max_repeats``).  Documents without words are not taken.
+    """
+    rows = docs.select(docs[id_col].alias("id"), docs[source_col].alias("source"),
+                       F.coalesce(F.concat(F.lit("s"), docs[source_col]), F.lit("n")).alias("stratum"),
+                       word_count(docs[text_col]).alias("size"),
+                       F.struct(*[docs[c] for c in docs.columns]).alias("row")).withColumn("h", seeded(seed, "id"))
+    mixed = mix_sized(rows, weights=weights, max_repeats=max_repeats, block_words=block_words, n_shards=n_shards,
+                      seed=seed, cell_digits=cell_digits)
+    return (mixed.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+            .select("row.*"))
+
+
 def mix_sized(rows: DataFrame, *, weights, max_repeats, block_words, n_shards, seed, cell_digits) -> DataFrame:
     """``mix`` for rows ``id, source, stratum, size, h`` (and whatever else they carry)."""
     rows = rows.withColumn("cell", F.substring("h", 1, cell_digits))
