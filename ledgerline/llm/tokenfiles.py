@@ -275,6 +275,11 @@ def wavelet_documents(docs: DataFrame, *, tokenizer: str | None = None, end_id:
 
 # --- flat files and the separator scan --------------------------------------
 
+def id_type(largest: int) -> str:
+    """numpy type of ids in flat files."""
+    return "<u2" if largest < 1 << 16 else "<u4"
+
+
 def shared_file(path: str):
     """(file system, path on it) of a shared folder's file, on any executor."""
     from pyarrow import fs
@@ -287,13 +292,16 @@ def shared_file(path: str):
 
 def write_flat(docs: DataFrame, path: str, *, tokenizer: str, end_id: int, file_tokens: int = SHARD_TOKENS,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Writes flat files of little-endian 32-bit ids, nothing else; returns a lazy ``part, file, ordinal, doc_id``.
+    """Writes flat files of little-endian ids, nothing else; returns a lazy ``part, file, ordinal, doc_id``.
 
-    Each document is followed by ``end_id``.  A file is written under a name
+    Ids take 16 bits if ``end_id`` (the vocabulary's largest id) fits, else
+    32.  Documents keep the order in which they are read, so nothing is
+    shuffled.  Each document is followed by ``end_id``.  A file is written under a name
     of its attempt and then moved, so a task that runs again leaves the same
     files.
     """
     file = broadcast_file(docs.sparkSession, tokenizer)
+    kind = id_type(end_id)
 
     def write(batches):
         import uuid
@@ -309,14 +317,15 @@ def write_flat(docs: DataFrame, path: str, *, tokenizer: str, end_id: int, file_
             name = f"{folder}/part-{part:06d}-{number:06d}.ids"
             attempt = f"{folder}/_{uuid.uuid4().hex}"
             with store.open_output_stream(attempt) as out:
-                out.write(b"".join(parts))
+                for part_ids in parts:
+                    out.write(np.frombuffer(part_ids, "<u4").astype(kind).tobytes())
             store.move(attempt, name)
             n = len(ids)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(n, part, np.int32)), pa.array(np.full(n, number, np.int32)),
                  pa.array(np.arange(n)), pa.array(ids, pa.int64())], names=["part", "file", "ordinal", "doc_id"])
 
-    return _in_id_order(docs, id_col, text_col).mapInArrow(
+    return pick(docs, doc_id=id_col, text=text_col).mapInArrow(
         write, "part int, file int, ordinal bigint, doc_id bigint")
 
 
@@ -330,7 +339,8 @@ def scan_separators(spark, path: str, *, end_id: int, block_tokens: int = 1 << 1
     separator of a file belong to no document.
     """
     name = F.element_at(F.split("path", "/"), -1)
-    width = 4 * block_tokens
+    kind = id_type(end_id)
+    width = np.dtype(kind).itemsize * block_tokens
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*.ids").load(path)
              .select("path", "length")
              .withColumn("part", F.regexp_extract(name, r"part-(\d+)-", 1).cast("int"))
@@ -347,7 +357,7 @@ def scan_separators(spark, path: str, *, end_id: int, block_tokens: int = 1 << 1
                 store, place = shared_file(row["path"])
                 with store.open_input_file(place) as f:
                     f.seek(row["block"] * width)
-                    ids = np.frombuffer(f.read(min(width, row["length"] - row["block"] * width)), "<u4")
+                    ids = np.frombuffer(f.read(min(width, row["length"] - row["block"] * width)), kind)
                 at = np.flatnonzero(ids == end_id) + row["block"] * block_tokens
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["part"]], pa.int32()), pa.array([row["file"]], pa.int32()),
@@ -373,8 +383,8 @@ def count_tokens(docs: DataFrame, *, tokenizer: str | None = None, end_id: int =
                  text_col: str = "text") -> DataFrame:
     """Token counts by separator scan: ``doc_id, start, n_tokens, part, file, ordinal``.
 
-    Writes the documents as flat files, scans these, and gives each found
-    document the id that was written there.  ``n_tokens`` includes the end
+    Writes the documents as flat files in the order they are read, scans
+    these, and gives each found document the id that was written there.  ``n_tokens`` includes the end
     id; ``start`` counts all ids before it.  ``end_id`` must be one that no
     text can yield.  NULL text: empty.  Empty table: no files, no rows.
     """
