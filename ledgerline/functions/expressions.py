@@ -10,7 +10,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, DoubleType
+from pyspark.sql.types import DecimalType, DoubleType, IntegralType
 
 from ledgerline.sources.schemas import MONEY
 
@@ -39,43 +39,20 @@ def half_up(col: Column | str, digits: int) -> Column:
     return F.round(_c(col).cast(_RATIO_DECIMAL), digits).cast(DoubleType())
 
 
-# Money sums run on integer cents split into a high and a low part, each
-# summed in a long accumulator: ``lo`` < 2^20, so its sum cannot overflow
-# below 8.8e12 rows, and ``hi`` is the rest.  This stays exact for any table
-# size and avoids the per-row BigDecimal updates of a wide decimal sum.
-_SPLIT = 1 << 20
-_FAST_CENTS_LIMIT = 1e13  # below this a double holds the cent value exactly
 
+def money_total(df: DataFrame, name: str) -> Column:
+    """Exact sum of a money column, rounded once to cents, as decimal(38,2); NULL when there is no value.
 
-def _cents_sql(c: str) -> str:
-    return (f"CASE WHEN abs({c}) < {_FAST_CENTS_LIMIT!r} "
-            f"THEN CAST(rint(CAST({c} AS DOUBLE) * 100D) AS BIGINT) "
-            f"ELSE CAST(CAST({c} AS DECIMAL(38,2)) * 100 AS BIGINT) END")
-
-
-def money_cents(col: Column | str) -> Column:
-    """A money value (at most two decimals) as exact integer cents (long)."""
-    if isinstance(col, str):
-        return F.expr(_cents_sql(_q(col)))
-    fast = F.rint(col.cast(DoubleType()) * F.lit(100.0)).cast("long")
-    exact = (col.cast(DecimalType(38, 2)) * F.lit(100)).cast("long")
-    return F.when(F.abs(col) < F.lit(_FAST_CENTS_LIMIT), fast).otherwise(exact)
-
-
-def money_total(col: Column | str) -> Column:
-    """Exact sum of a money column as decimal(38,2); NULL when there is no value."""
-    if isinstance(col, str):
-        cents = _cents_sql(_q(col))
-        lo = f"pmod({cents}, {_SPLIT})"
-        hi = f"(({cents}) - {lo}) div {_SPLIT}"
-        total = f"CAST(sum({hi}) AS DECIMAL(38,0)) * {_SPLIT} + CAST(sum({lo}) AS DECIMAL(38,0))"
-        return F.expr(f"CAST(({total}) * 0.01BD AS DECIMAL(38,2))")
-    cents = money_cents(col)
-    lo = F.pmod(cents, F.lit(_SPLIT))
-    hi = F.call_function("div", cents - lo, F.lit(_SPLIT))
-    total = (F.sum(hi).cast(DecimalType(38, 0)) * F.lit(_SPLIT)
-             + F.sum(lo).cast(DecimalType(38, 0)))
-    return (total * F.lit(Decimal("0.01"))).cast(DecimalType(38, 2))
+    Decimal and integer columns are summed at their own scale; binary numbers
+    through decimal(38,10).  The declared type decides, never a value.
+    """
+    kind = df.schema[name].dataType
+    exact = F.col(name)
+    if isinstance(kind, IntegralType):
+        exact = exact.cast(DecimalType(20, 0))
+    elif not isinstance(kind, DecimalType):
+        exact = exact.cast(_RATIO_DECIMAL)
+    return F.round(F.sum(exact), 2).cast(DecimalType(38, 2))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
@@ -189,9 +166,8 @@ def format_percent(col: Column | str, digits: int = 1, signed: bool = False) ->
 
 
 def direction(col: Column | str) -> Column:
-    """``up`` for values >= 0, ``down`` below 0, NULL for NULL."""
-    c = _c(col)
-    return F.when(c >= 0, F.lit("up")).when(c < 0, F.lit("down"))
+    """``up`` for values >= 0, ``down`` for all others, a missing value included."""
+    return F.when(_c(col) >= 0, F.lit("up")).otherwise(F.lit("down"))
 
 
 def decimals_to_double(df: DataFrame) -> DataFrame:

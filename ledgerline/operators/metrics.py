@@ -61,7 +61,7 @@ KPI_COLUMNS = ("total_revenue", "total_orders", "avg_order_value", "avg_discount
 def transaction_kpis(txn: DataFrame) -> DataFrame:
     """One row: total revenue, order count, average order value, average discount."""
     return txn.agg(
-        money_total("revenue").cast(DoubleType()).alias("total_revenue"),
+        money_total(txn, "revenue").cast(DoubleType()).alias("total_revenue"),
         F.count("transaction_id").alias("total_orders"),
         half_up(mean_of("revenue"), 2).alias("avg_order_value"),
         half_up(mean_of("discount_pct"), 1).alias("avg_discount"),
@@ -120,7 +120,7 @@ def monthly_revenue(txn: DataFrame, with_orders: bool = True) -> DataFrame:
     work on the rounded monthly value.
     """
     month = F.col("year_month") if "year_month" in txn.columns else month_key("date")
-    aggs = [money_total("revenue").alias("revenue")]
+    aggs = [money_total(txn, "revenue").alias("revenue")]
     if with_orders:
         aggs.append(line_count(txn).alias("orders"))
     return txn.groupBy(month.alias("year_month")).agg(*aggs)
@@ -128,7 +128,7 @@ def monthly_revenue(txn: DataFrame, with_orders: bool = True) -> DataFrame:
 
 def revenue_by(txn: DataFrame, key: str, with_orders: bool = True) -> DataFrame:
     """Revenue (and order lines) per ``key``, revenue descending."""
-    aggs = [money_total("revenue").alias("revenue_dec")]
+    aggs = [money_total(txn, "revenue").alias("revenue_dec")]
     if with_orders:
         aggs.append(line_count(txn).alias("orders"))
     out = (txn.groupBy(key).agg(*aggs)
@@ -159,11 +159,14 @@ def filter_domains(txn: DataFrame, columns) -> DataFrame:
     runs per field over the distinct values only.  ``All`` comes first.
     """
     columns = list(columns)
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("field"), F.col(c).cast(StringType()).alias("value"))
-        for c in columns]))
-    values = (txn.select(pairs.alias("p")).select("p.field", "p.value")
-              .dropna(subset=["value"]).distinct())
+    if len(columns) == 1:
+        pairs = txn.select(F.lit(columns[0]).alias("field"), F.col(columns[0]).cast(StringType()).alias("value"))
+    else:
+        each = F.explode(F.array(*[
+            F.struct(F.lit(c).alias("field"), F.col(c).cast(StringType()).alias("value"))
+            for c in columns]))
+        pairs = txn.select(each.alias("p")).select("p.field", "p.value")
+    values = pairs.dropna(subset=["value"]).distinct()
     order = Window.partitionBy("field").orderBy("value")
     numbered = values.select("field", F.row_number().over(order).cast(LongType()).alias("position"),
                              "value")

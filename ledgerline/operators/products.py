@@ -23,14 +23,14 @@ def discount_vs_revenue(txn: DataFrame) -> DataFrame:
     """Per product x category: mean discount (1 dp), revenue, units sold."""
     return (txn.groupBy(*PRODUCT_KEYS)
             .agg(half_up(measure_mean(txn, "discount_pct"), 1).alias("avg_discount"),
-                 money_total("revenue").cast(DoubleType()).alias("total_revenue"),
+                 money_total(txn, "revenue").cast(DoubleType()).alias("total_revenue"),
                  F.sum("units").cast(LongType()).alias("total_units")))
 
 
 def product_totals(txn: DataFrame) -> DataFrame:
     """Per product x category: revenue (decimal, cents), units, order lines."""
     return (txn.groupBy(*PRODUCT_KEYS)
-            .agg(money_total("revenue").alias("total_revenue"),
+            .agg(money_total(txn, "revenue").alias("total_revenue"),
                  F.sum("units").cast(LongType()).alias("total_units"),
                  line_count(txn).alias("orders")))
 
@@ -38,9 +38,9 @@ def product_totals(txn: DataFrame) -> DataFrame:
 def top_products(txn: DataFrame, n: int = 10) -> DataFrame:
     """Products ranked by revenue with ``rank() <= n`` (ties share a rank).
 
-    ``rank`` over a global order followed by a rank filter is planned as a
-    partial ``WindowGroupLimit`` in every task before the single-partition
-    exchange, so only about ``n`` rows per task travel to the final window.
+    The first ``n`` rows (``TakeOrderedAndProject``) hold every total that can
+    rank; they are ranked, and their distinct totals are joined back, so tied
+    products, however many, never meet in one task.
     """
     return top_products_from_totals(product_totals(txn), n)
 
@@ -49,8 +49,9 @@ def top_products_from_totals(totals: DataFrame, n: int = 10) -> DataFrame:
     """``top_products`` on an existing ``product_totals`` frame (decimal revenue)."""
     if n < 1:
         raise ValueError("n must be at least 1")
-    ranked = totals.withColumn("rank", F.rank().over(Window.orderBy(F.desc("total_revenue"))))
-    return (ranked.filter(F.col("rank") <= n)
+    first = totals.orderBy(F.desc("total_revenue")).limit(n).select(F.col("total_revenue").alias("_total"))
+    ranks = first.withColumn("rank", F.rank().over(Window.orderBy(F.desc("_total")))).distinct()
+    return (totals.join(ranks, F.col("total_revenue").eqNullSafe(F.col("_total")))
             .select(F.col("rank").cast(LongType()).alias("rank"), *PRODUCT_KEYS,
                     F.col("total_revenue").cast(DoubleType()).alias("total_revenue"),
                     "total_units", "orders")

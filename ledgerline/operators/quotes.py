@@ -48,11 +48,12 @@ def top_assets(snapshot: DataFrame, k: int) -> DataFrame:
 def history_of_top(history: DataFrame, snapshot: DataFrame, k: int = 5) -> DataFrame:
     """Price history restricted to the ``k`` largest assets of the snapshot.
 
-    The right side is at most ``k`` rows (a limit), so broadcasting it is
-    safe at any scale; the semi join never multiplies history rows.
+    The right side is a limit, so its statistics are small and Spark's own
+    size-checked broadcast applies; the semi join never multiplies history
+    rows.
     """
     top = top_assets(snapshot, k).select("symbol")
-    return (history.join(F.broadcast(top), "symbol", "left_semi")
+    return (history.join(top, "symbol", "left_semi")
             .select(*HISTORY_COLUMNS).orderBy("timestamp", "symbol"))
 
 

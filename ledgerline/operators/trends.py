@@ -32,34 +32,25 @@ def activity_heatmap(sess: DataFrame) -> DataFrame:
 
     Seven rows Monday..Sunday (``day_index`` 1..7) and one column per hour
     ``h00``..``h23``; an empty cell is NULL and a weekday without sessions is
-    an all-NULL row.  The pivot values are fixed, so Spark plans a single
-    aggregation (no extra job to discover them).  Reindexing to the seven
-    weekdays is a union with a seven-row template followed by a per-day
-    ``max`` (at most 7 + 7 rows), so no join is needed at any scale.
+    an all-NULL row.  One flat aggregate: 24 conditional counts per weekday
+    over the sessions and seven rows without a session.
     """
+    counted = "session_count" in sess.columns
+    one = "session_count" if counted else "CASE WHEN session_id IS NOT NULL THEN 1L END"
+    days = sess.selectExpr("day_of_week", "CAST(hour AS INT) AS hour", f"CAST({one} AS BIGINT) AS n")
+    names = ", ".join(f"'{d}'" for d in DAY_ORDER)
+    template = sess.sparkSession.range(len(DAY_ORDER)).selectExpr(
+        f"element_at(array({names}), CAST(id AS INT) + 1) AS day_of_week", "CAST(NULL AS INT) AS hour",
+        "CAST(NULL AS BIGINT) AS n")
     hours = [hour_column(h) for h in HOURS]
-    pivoted = (sess.groupBy("day_of_week")
-               .pivot("hour", list(HOURS))
-               .agg(session_count(sess)))
-    counted = pivoted.selectExpr("day_of_week", "CAST(NULL AS INT) AS day_index", *[
-        f"CAST(`{h}` AS BIGINT) AS {hour_column(h)}" for h in HOURS])
-    template = _weekday_frame(sess).selectExpr(
-        "day_of_week", "day_index", *[f"CAST(NULL AS BIGINT) AS {c}" for c in hours])
-    return (template.unionByName(counted)
+    return (days.filter(F.col("day_of_week").isin(*DAY_ORDER)).unionByName(template)
             .groupBy("day_of_week")
-            .agg(F.expr("max(day_index) AS day_index"), *[F.expr(f"max({c}) AS {c}") for c in hours])
-            .filter("day_index IS NOT NULL")
-            .select("day_of_week", "day_index", *hours)
+            .agg(*[F.expr(f"nullif(sum(CASE WHEN hour = {h} THEN n END), 0L) AS {c}") for h, c in zip(HOURS, hours)])
+            .select("day_of_week", F.expr(f"array_position(array({names}), day_of_week)").cast("int").alias("day_index"),
+                    *hours)
             .orderBy("day_index"))
 
 
-def _weekday_frame(like: DataFrame) -> DataFrame:
-    names = ", ".join(f"'{d}'" for d in DAY_ORDER)
-    return like.sparkSession.range(1, len(DAY_ORDER) + 1).selectExpr(
-        f"element_at(array({names}), CAST(id AS INT)) AS day_of_week",
-        "CAST(id AS INT) AS day_index")
-
-
 GRAINS = {"month": ("year_month", "yyyy-MM"), "day": ("day", "yyyy-MM-dd")}
 
 

@@ -34,13 +34,13 @@ GEO = """geo AS (
 )"""
 
 TXN = """txn AS (
-  SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS transaction_id,
+  SELECT concat_ws('-', CAST(l.l_orderkey AS VARCHAR), CAST(l.l_linenumber AS VARCHAR)) AS transaction_id,
          CAST(o.o_orderdate AS DATE) AS date,
          g.r_name AS region,
          p.p_type AS category,
          'PROD-' || CAST(l.l_partkey AS VARCHAR) AS product_id,
          CAST(trunc(l.l_quantity) AS INTEGER) AS units,
-         CAST(CAST(l.l_extendedprice / l.l_quantity AS DECIMAL(38,10)) AS DECIMAL(18,2)) AS unit_price,
+         CAST(CAST(l.l_extendedprice / NULLIF(l.l_quantity, 0) AS DECIMAL(38,10)) AS DECIMAL(18,2)) AS unit_price,
          CAST(CAST(l.l_discount AS DECIMAL(5,2)) * 100 AS DECIMAL(5,1)) AS discount_pct,
          'CUST-' || CAST(o.o_custkey AS VARCHAR) AS customer_id,
          CAST(round(CAST(l.l_extendedprice AS DECIMAL(18,2))
@@ -49,9 +49,9 @@ TXN = """txn AS (
          CAST(month(o.o_orderdate) AS INTEGER) AS month_num,
          CAST(year(o.o_orderdate) AS INTEGER) AS year
   FROM lineitem l
-  JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN geo g ON o.o_custkey = g.c_custkey
-  JOIN part p ON l.l_partkey = p.p_partkey
+  LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN geo g ON o.o_custkey = g.c_custkey
+  LEFT JOIN part p ON l.l_partkey = p.p_partkey
 )"""
 
 SESS = """sess AS (
@@ -59,7 +59,7 @@ SESS = """sess AS (
          e.ts AS timestamp,
          'USR-' || CAST(e.user_id AS VARCHAR) AS user_id,
          CASE (((CAST(json_extract_string(e.props, '$.k') AS INTEGER) % 3) + 3) % 3)
-              WHEN 0 THEN 'Desktop' WHEN 1 THEN 'Mobile' ELSE 'Tablet' END AS device,
+              WHEN 0 THEN 'Desktop' WHEN 1 THEN 'Mobile' WHEN 2 THEN 'Tablet' END AS device,
          CAST((((CAST(json_extract_string(e.props, '$.k') AS INTEGER) % 19) + 19) % 19) + 1 AS INTEGER)
               AS page_views,
          least(1800, greatest(5, CAST(trunc(e.value * 10) AS INTEGER))) AS session_duration_s,
@@ -68,7 +68,7 @@ SESS = """sess AS (
          CAST(hour(e.ts) AS INTEGER) AS hour,
          dayname(e.ts) AS day_of_week
   FROM events e
-  JOIN geo g ON e.user_id = g.c_custkey
+  LEFT JOIN geo g ON e.user_id = g.c_custkey
 )"""
 
 INV = """inv AS (
@@ -119,6 +119,14 @@ def sess_sql(body: str) -> str:
     return with_ctes(GEO, SESS) + body
 
 
+def filtered_sql(body: str, txn_where: str, sess_where: str, *extra: str) -> str:
+    """``txn`` and ``sess`` under the dashboard's filters."""
+    every_txn = TXN.replace("txn AS (", "every_txn AS (", 1)
+    every_sess = SESS.replace("sess AS (", "every_sess AS (", 1)
+    return with_ctes(GEO, every_txn, every_sess, f"txn AS (SELECT * FROM every_txn WHERE {txn_where})",
+                     f"sess AS (SELECT * FROM every_sess WHERE {sess_where})", INV, *extra) + body
+
+
 def both_sql(body: str) -> str:
     return with_ctes(GEO, TXN, SESS) + body
 

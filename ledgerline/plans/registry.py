@@ -15,12 +15,13 @@ from pyspark.sql.types import DoubleType
 
 from ledgerline import operators as ops
 from ledgerline.functions.expressions import decimals_to_double, line_revenue, parse_number
-from ledgerline.plans import oracle as O
+from ledgerline.operators.filters import Filters
+from ledgerline.plans import oracle as O, views
 from ledgerline.session import scratch_dir
 from ledgerline.sinks.writers import write_csv, write_parquet
 from ledgerline.sources import adapters as A
 from ledgerline.sources.files import load_inventory, load_quotes, load_sessions, load_transactions
-from ledgerline.streaming.ingest import ingest_once, land_batch
+from ledgerline.streaming.ingest import ingest_once, ingest_time, land_batch
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -36,7 +37,10 @@ class Query:
 TXN_FILTER = dict(start_date="1996-01-01", end_date="1998-06-30", region="EUROPE", category="PROMO")
 SESS_FILTER = dict(start_date="2024-01-05", end_date="2024-01-20", region="ASIA")
 SYMBOLS = ("U1", "U7", "U42")
-INGEST_TIMEOUT_SECONDS = 3600  # an available-now run that takes longer fails instead of hanging
+# A start bound alone: orders and events lie years apart, and both have rows after it.
+TAB_FILTER = Filters(start_date="1997-01-01", region="AMERICA", category="STANDARD")
+_TAB_TXN = "date >= DATE '1997-01-01' AND region = 'AMERICA' AND category = 'STANDARD'"
+_TAB_SESS = "timestamp >= TIMESTAMP '1997-01-01 00:00:00' AND region = 'AMERICA'"
 
 
 def _txn(spark, sf, *cols):
@@ -71,13 +75,24 @@ def q_quotes_scan(spark, sf):
     return load_quotes(spark, path)
 
 
-def q_quotes_stream_ingest(spark, sf):
+def _ingested(spark, sf):
     landing = scratch_dir(spark, "feed")
     table = scratch_dir(spark, "quotes-history")
     land_batch(A.raw_quotes(spark, sf), landing)
-    ingest_once(spark, landing, table, scratch_dir(spark, "ingest-ckpt"),
-                timeout_seconds=INGEST_TIMEOUT_SECONDS)
-    return load_quotes(spark, table).drop("timestamp")
+    ingest_once(spark, landing, table, scratch_dir(spark, "ingest-ckpt"))
+    return load_quotes(spark, table)
+
+
+def q_quotes_stream_ingest(spark, sf):
+    return _ingested(spark, sf).drop("timestamp")
+
+
+def q_quotes_ingest_stamp(spark, sf):
+    """The ingest stamps in a checkable form: one batch, so one stamp, never NULL and not in the future."""
+    return _ingested(spark, sf).agg(
+        F.count(F.lit(1)).alias("rows"), F.count("timestamp").alias("stamped"),
+        F.countDistinct("timestamp").alias("stamps"),
+        F.coalesce(F.max("timestamp") <= ingest_time(), F.lit(True)).alias("past"))
 
 
 def q_quotes_typed(spark, sf):
@@ -136,12 +151,12 @@ def q_market_cap_labels(spark, sf):
 
 
 def q_kpi_summary_filtered(spark, sf):
-    start, end, region, category = "1997-01-01", "1997-12-31", "AMERICA", "STANDARD"
+    f = TAB_FILTER
     txn = _txn(spark, sf, "transaction_id", "revenue", "discount_pct", "date", "region", "category")
-    t = ops.filter_transactions(txn, start, end, region, category)
+    t = ops.filter_transactions(txn, f.start_date, f.end_date, f.region, f.category)
     # Sessions: date range on the raw events, counted per user, then the region.
-    by_user = A.session_rollup(spark, sf, (), prefilter=lambda ev: ops.filter_sessions(ev, start, end))
-    s = ops.filter_sessions(by_user, region=region)
+    by_user = A.session_rollup(spark, sf, (), prefilter=lambda ev: ops.filter_sessions(ev, f.start_date, f.end_date))
+    s = ops.filter_sessions(by_user, region=f.region)
     return ops.kpi_summary(t, s)
 
 
@@ -171,8 +186,8 @@ def q_activity_heatmap(spark, sf):
 
 
 def q_activity_heatmap_region(spark, sf):
-    # Counted per user and cell first, then joined to the user's region.
-    sess = ops.filter_sessions(A.session_rollup(spark, sf, ("day_of_week", "hour")), region="EUROPE")
+    # Counting per user and cell first would shrink the events little and shuffle them twice.
+    sess = ops.filter_sessions(_sess(spark, sf, "session_id", "day_of_week", "hour", "region"), region="EUROPE")
     return ops.activity_heatmap(sess)
 
 
@@ -202,10 +217,8 @@ def q_health_share(spark, sf):
 
 
 def q_filter_domain(spark, sf):
-    # Regions present in transactions come from the per-order rollup, categories
-    # from the per-product rollup: the line rows are never joined at line level.
-    regions = ops.filter_domains(_orders(spark, sf, "region"), ["region"])
-    categories = ops.filter_domains(A.product_rollup(spark, sf), ["category"])
+    regions = ops.filter_domains(A.transaction_regions(spark, sf), ["region"])
+    categories = ops.filter_domains(A.transaction_categories(spark, sf), ["category"])
     return regions.unionByName(categories)
 
 
@@ -268,6 +281,34 @@ def q_price_history_top5(spark, sf):
     return ops.history_of_top(ops.price_history(quotes), ops.latest_snapshot(quotes), 5)
 
 
+# --- the dashboard's tabs under a filter -----------------------------------
+
+def _overview(spark, sf):
+    txn = _txn(spark, sf, "transaction_id", "date", "year_month", "region", "category", "revenue", "discount_pct")
+    return views.overview(txn, _sess(spark, sf, "session_id", "timestamp", "region", "converted"), TAB_FILTER)
+
+
+def _trends(spark, sf):
+    sess = _sess(spark, sf, "session_id", "timestamp", "region", "device", "hour", "day_of_week")
+    return views.trends(_txn(spark, sf, "date", "year_month", "region", "category", "revenue"), sess, TAB_FILTER)
+
+
+def _deep_dive(spark, sf):
+    txn = _txn(spark, sf, "transaction_id", "date", "region", "category", "product_id", "units", "revenue",
+               "discount_pct")
+    return views.deep_dive(txn, A.inventory(spark, sf), TAB_FILTER)
+
+
+def _quotes_tab(spark, sf):
+    return views.quotes_view(A.quotes(spark, sf))
+
+
+def _frame(tab, name: str) -> QueryFn:
+    def run(spark, sf):
+        return decimals_to_double(tab(spark, sf)[name])
+    return run
+
+
 # --- oracle SQL ----------------------------------------------------------
 
 _hu, _mean, _money = O.hu, O.mean, O.money
@@ -288,7 +329,7 @@ _MOM = (_MONTHLY, """mom AS (
   SELECT year_month, CAST(revenue AS DOUBLE) AS revenue, CAST(prev AS DOUBLE) AS prev_revenue,
          """ + _hu("CAST(revenue - prev AS DOUBLE) / NULLIF(CAST(prev AS DOUBLE), 0) * CAST(100 AS DOUBLE)", 2)
         + """ AS growth_pct
-  FROM (SELECT year_month, revenue, lag(revenue) OVER (ORDER BY year_month) AS prev FROM monthly) t
+  FROM (SELECT year_month, revenue, lag(revenue) OVER (ORDER BY year_month NULLS FIRST) AS prev FROM monthly) t
 )""")
 
 _TOP = """top AS (
@@ -312,7 +353,7 @@ def _money_text(expr: str, digits: int) -> str:
 
 
 def _direction(expr: str) -> str:
-    return f"CASE WHEN {expr} >= 0 THEN 'up' WHEN {expr} < 0 THEN 'down' END"
+    return f"CASE WHEN {expr} >= 0 THEN 'up' ELSE 'down' END"
 
 
 _QUOTE_TYPED = """SELECT id, symbol, name, priceUsd,
@@ -329,6 +370,9 @@ QUERIES: tuple[Query, ...] = (
         "SELECT id, symbol, name, priceUsd, marketCapUsd, volumeUsd24Hr, changePercent24Hr, timestamp FROM quotes")),
     Query("quotes_stream_ingest", q_quotes_stream_ingest, O.quotes_sql(_QUOTE_TYPED)),
     Query("quotes_typed", q_quotes_typed, O.quotes_sql(_QUOTE_TYPED)),
+    Query("quotes_ingest_stamp", q_quotes_ingest_stamp, O.quotes_sql(
+        "SELECT count(*) AS rows, count(*) AS stamped, CAST(least(count(*), 1) AS BIGINT) AS stamps, true AS past "
+        "FROM quotes")),
     # projections
     Query("txn_enrich", q_txn_enrich, O.txn_sql(
         "SELECT transaction_id, date, year_month, month_num, year FROM txn")),
@@ -361,12 +405,10 @@ SELECT t.*, s.* FROM
 SELECT t.*, s.* FROM
   (SELECT {_money('revenue')} AS total_revenue, count(transaction_id) AS total_orders,
           {_hu(_mean('revenue'), 2)} AS avg_order_value, {_hu(_mean('discount_pct'), 1)} AS avg_discount
-   FROM txn WHERE date >= DATE '1997-01-01' AND date <= DATE '1997-12-31'
-              AND region = 'AMERICA' AND category = 'STANDARD') t,
+   FROM txn WHERE {_TAB_TXN}) t,
   (SELECT count(session_id) AS total_sessions,
           {_hu(_mean('converted') + ' * CAST(100 AS DOUBLE)', 2)} AS conversion_rate FROM sess
-   WHERE timestamp >= TIMESTAMP '1997-01-01 00:00:00' AND timestamp <= TIMESTAMP '1997-12-31 00:00:00'
-     AND region = 'AMERICA') s""")),
+   WHERE {_TAB_SESS}) s""")),
     Query("kpi_cards", q_kpi_cards, O.both_sql(f"""
 SELECT {_money_text('total_revenue', 0)} AS total_revenue_text,
        format('{{:,}}', total_orders) AS total_orders_text,
@@ -421,7 +463,7 @@ LEFT JOIN (SELECT day_of_week, {_HEAT_COLS} FROM sess WHERE region = 'EUROPE' GR
         + _hu("CAST(revenue AS DOUBLE) / CAST(sum(revenue) OVER () AS DOUBLE) * CAST(100 AS DOUBLE)", 2)
         + " AS share_pct FROM (SELECT category, round(sum(revenue), 2) AS revenue FROM txn GROUP BY category) c")),
     Query("health_share", q_health_share, O.inv_sql(
-        "SELECT health, CAST(n AS DOUBLE) AS count, "
+        "SELECT health, n AS count, "
         + _hu("CAST(n AS DOUBLE) / CAST(sum(n) OVER () AS DOUBLE) * CAST(100 AS DOUBLE)", 2)
         + " AS share_pct FROM (SELECT health, count(*) AS n FROM inv WHERE health IS NOT NULL GROUP BY health) h")),
     Query("filter_domain", q_filter_domain, O.txn_sql("""
@@ -441,7 +483,7 @@ UNION ALL SELECT 'inventory', count(*) FROM inv"""),
     # windows and top-k
     Query("revenue_over_time", q_revenue_over_time, O.txn_sql(
         "SELECT year_month, CAST(revenue AS DOUBLE) AS revenue, orders, "
-        + _hu("avg(revenue) OVER (ORDER BY year_month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)", 2)
+        + _hu("avg(revenue) OVER (ORDER BY year_month NULLS FIRST ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)", 2)
         + " AS rolling_avg FROM monthly", _MONTHLY)),
     Query("mom_growth", q_mom_growth, O.txn_sql("SELECT * FROM mom", *_MOM)),
     Query("mom_growth_clean", q_mom_growth_clean, O.txn_sql(
@@ -473,6 +515,44 @@ UNION ALL SELECT 'inventory', count(*) FROM inv"""),
 )
 
 
+_BY_NAME = {q.name: q for q in QUERIES}
+
+
+def _tab(prefix: str, tab, frames: dict[str, str], filtered: bool = True) -> list[Query]:
+    """A tab's frames as queries; a frame's SQL is that of the query it corresponds to, over the filtered rows."""
+    out = []
+    for frame, same_as in frames.items():
+        sql = _BY_NAME[same_as].sql
+        if filtered:
+            body = sql[sql.index(O.SESS if O.SESS in sql else O.TXN if O.TXN in sql else O.INV):]
+            for cte in (O.TXN, O.SESS, O.INV):
+                body = body.replace(cte + ",\n", "").replace(cte, "")
+            body = body.strip()
+            # What is left may begin with CTEs of its own.
+            own = [c for c in (_MONTHLY, _MOM[1], _TOP) if c in body]
+            for cte in own:
+                body = body.replace(cte + ",\n", "").replace(cte, "")
+            sql = O.filtered_sql(body.strip(), _TAB_TXN, _TAB_SESS, *own)
+        out.append(Query(f"{prefix}_{frame}", _frame(tab, frame), sql))
+    return out
+
+
+QUERIES += tuple(
+    _tab("tab_overview", _overview, {
+        "kpis": "kpi_summary", "revenue_over_time": "revenue_over_time", "revenue_by_region": "revenue_by_region",
+        "revenue_by_category": "revenue_by_category", "category_share": "category_share"})
+    + _tab("tab_trends", _trends, {
+        "heatmap": "activity_heatmap", "device_trend": "device_trend", "mom_growth": "mom_growth",
+        "mom_growth_bars": "mom_growth_clean"})
+    + _tab("tab_deep_dive", _deep_dive, {
+        "discount_vs_revenue": "discount_vs_revenue", "top_products": "top_products",
+        "top_products_table": "top_products_table", "inventory": "inventory_value",
+        "health_counts": "inventory_health_counts", "health_share": "health_share"})
+    + _tab("tab_quotes", _quotes_tab, {
+        "snapshot": "latest_snapshot", "cards": "asset_cards", "market_cap_top": "top_assets",
+        "history": "price_history", "history_top": "price_history_top5"}, filtered=False))
+
+
 def queries() -> dict[str, QueryFn]:
     return {q.name: q.run for q in QUERIES}
 

@@ -12,13 +12,9 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from ledgerline import operators as ops
-from ledgerline.functions.expressions import half_up, mean_of, money_total
 from ledgerline.operators.filters import Filters
-from ledgerline.operators.products import PRODUCT_KEYS
 
 
 def _shared(df: DataFrame, share: bool, shared: list) -> DataFrame:
@@ -64,22 +60,13 @@ def deep_dive(txn: DataFrame, inv: DataFrame, filters: Filters = Filters(), n: i
               share: bool = False) -> dict[str, DataFrame]:
     """Deep-dive tab: discount vs revenue, top-N products, inventory health.
 
-    Discount-vs-revenue and top-N read one product x category aggregate.
     Inventory ignores the filters, as in the reference.
     """
     t = ops.filter_transactions(txn, filters.start_date, filters.end_date,
                                 filters.region, filters.category)
-    per_product = (t.groupBy(*PRODUCT_KEYS)
-                   .agg(half_up(mean_of("discount_pct"), 1).alias("avg_discount"),
-                        money_total("revenue").alias("total_revenue"),
-                        F.sum("units").cast("bigint").alias("total_units"),
-                        F.count("transaction_id").alias("orders")))
     shared: list = []
-    per_product = _shared(per_product, share, shared)
-    scatter = per_product.select(*PRODUCT_KEYS, "avg_discount",
-                                 F.col("total_revenue").cast(DoubleType()).alias("total_revenue"),
-                                 "total_units")
-    top = ops.top_products_from_totals(per_product.drop("avg_discount"), n)
+    scatter = ops.discount_vs_revenue(t)
+    top = ops.top_products_from_totals(_shared(ops.product_totals(t), share, shared), n)
     inventory = ops.inventory_value(inv)
     counts = ops.health_counts(inv)
     return {

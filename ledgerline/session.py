@@ -1,7 +1,7 @@
 """Session construction for tests and the benchmark, and shared scratch space.
 
-The library itself never creates or configures a session: every function
-receives DataFrames (or the caller's session).  ``build_session`` exists for
+The library itself never creates a session: every function receives
+DataFrames (or the caller's session).  ``build_session`` exists for
 tests, ``bench.py`` and local runs only.
 """
 
@@ -33,9 +33,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("LEDGERLINE_DRIVER_MEMORY", "8g"))
     )
     for key, value in (extra_conf or {}).items():
@@ -49,15 +47,22 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def _one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder
-    and is used as is.  Only when it is unset - local runs and tests - a
-    private temporary folder is created and registered.
+    and is used as is; without it nothing is written (a folder of one machine
+    would be incomplete for the others).  Only a local session, as in tests,
+    gets a private temporary folder.
     """
     current = spark.conf.get(_CHECKPOINT_KEY, None)
     if not current:
+        if not _one_machine(spark.sparkContext.master):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, current)
     if spark.sparkContext.getCheckpointDir() is None:

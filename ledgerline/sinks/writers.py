@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.sources.files import path_exists
+from ledgerline.sources.files import is_finished
 from ledgerline.sources.schemas import QUOTES
 
 TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -37,12 +37,13 @@ def write_all_if_absent(spark: SparkSession, outputs: Mapping[str, tuple[DataFra
                         force: bool = False, fmt: str = "csv") -> dict[str, str]:
     """Write every output unless *all* of them already exist.
 
-    Mirrors the reference: when ``force`` is false and every target exists,
+    A target exists when its write finished (``_SUCCESS``).  Mirrors the
+    reference: when ``force`` is false and every target exists,
     nothing is written; otherwise every target is rewritten (a per-table
     ``mode("ignore")`` would keep a stale table next to fresh ones).
     """
     paths = {name: path for name, (_, path) in outputs.items()}
-    if not force and all(path_exists(spark, p) for p in paths.values()):
+    if not force and all(is_finished(spark, p) for p in paths.values()):
         return paths
     for _, (df, path) in outputs.items():
         if fmt == "csv":

@@ -2,8 +2,11 @@
 
 ``lineitem / orders / customer / nation / region / part / events`` stand in
 for the reference's transactions, sessions, inventory and quote history.
-Spark removes no unused inner join (it has no key constraints), so each
-builder joins only the dimensions the caller asks for.
+Every ``lineitem`` row is a transaction and every ``events`` row a session:
+dimensions are joined from the left, and a key without a match gives NULL
+attributes.  Dimension keys are unique, so leaving out the join of a
+dimension that the caller does not ask for changes no row.  A filter on an
+attribute still turns its join into an inner one.
 
 Join plan, chosen for a large cluster:
 
@@ -21,15 +24,14 @@ Join plan, chosen for a large cluster:
 Eager aggregation (``order_rollup``, ``product_rollup``, ``session_rollup``):
 when a query's keys and filters are attributes of the order, the part or the
 user, the fact rows are aggregated on that key *before* the join.  The
-partial aggregate runs map-side, the one shuffle on the key is reused by the
-join, and the join sees one row per order / part / (user, cell) instead of
-one per line or event.  Sums, counts and means stay exact (the rollups carry
+partial aggregate runs map-side, and the join sees one row per order / part /
+(user, cell) instead of one per line or event; for orders and parts (and
+users without further keys) the join reuses the aggregate's shuffle.  Sums, counts and means stay exact (the rollups carry
 ``line_count`` / ``session_count`` and ``*_count`` columns).
 """
 
 from __future__ import annotations
 
-import weakref
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,23 +75,15 @@ DRIVER_SCHEMAS = {
 }
 
 
-# The driver tables are immutable inputs, so their DataFrames (lazy plans with
-# a resolved file listing, not data) are built once per session and reused,
-# as a dashboard loads its base tables once at start-up.
-_TABLES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table (``<sf_dir>/<name>.parquet``), read with its declared schema."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    per_session = _TABLES.setdefault(spark, {})
-    df = per_session.get(path)
-    if df is None:
-        reader = spark.read
-        if name in DRIVER_SCHEMAS:
-            reader = reader.schema(DRIVER_SCHEMAS[name])
-        df = per_session[path] = reader.parquet(path)
-    return df
+    """One driver table (``<sf_dir>/<name>.parquet``), read with its declared schema.
+
+    Files are listed anew on every call, so files added later are seen.
+    """
+    reader = spark.read
+    if name in DRIVER_SCHEMAS:
+        reader = reader.schema(DRIVER_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +121,7 @@ _TXN_SQL = {
     "category": "p_type",
     "product_id": "concat('PROD-', CAST(l_partkey AS STRING))",
     "units": "CAST(l_quantity AS INT)",
-    "unit_price": "CAST(CAST(l_extendedprice / l_quantity AS DECIMAL(38,10)) AS DECIMAL(18,2))",
+    "unit_price": "CAST(CAST(try_divide(l_extendedprice, l_quantity) AS DECIMAL(38,10)) AS DECIMAL(18,2))",
     "discount_pct": _LINE_DISCOUNT,
     "customer_id": "concat('CUST-', CAST(o_custkey AS STRING))",
     "revenue": _LINE_REVENUE,
@@ -175,12 +169,12 @@ def transactions(spark: SparkSession, sf_dir: str,
         orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
         if "region" in need:
             orders = (orders.join(customer_regions(spark, sf_dir),
-                                  F.col("o_custkey") == F.col("c_custkey"))
+                                  F.col("o_custkey") == F.col("c_custkey"), "left")
                       .drop("c_custkey"))
-        lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     if need & _PART_COLUMNS:
         lines = lines.join(table(spark, sf_dir, "part").select("p_partkey", "p_type"),
-                           F.col("l_partkey") == F.col("p_partkey"))
+                           F.col("l_partkey") == F.col("p_partkey"), "left")
 
     base_cols = [c for c in wanted if c not in TXN_DERIVED]
     if need & set(TXN_DERIVED) and "date" not in base_cols:
@@ -191,6 +185,23 @@ def transactions(spark: SparkSession, sf_dir: str,
     return out.select(*wanted)
 
 
+def transaction_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``region`` of every customer with an order that has lines: distinct keys meet, never lines."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey")
+    buyers = (table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+              .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi").select("o_custkey"))
+    return (customer_regions(spark, sf_dir)
+            .join(buyers, F.col("c_custkey") == F.col("o_custkey"), "left_semi")
+            .select(F.col("r_name").alias("region")))
+
+
+def transaction_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``category`` of every part that has lines."""
+    lines = table(spark, sf_dir, "lineitem").select("l_partkey")
+    return (table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("category"))
+            .join(lines, F.col("p_partkey") == F.col("l_partkey"), "left_semi").select("category"))
+
+
 ORDER_LEVEL_COLUMNS = ("date", "customer_id", "region") + TXN_DERIVED
 
 
@@ -221,9 +232,9 @@ def order_rollup(spark: SparkSession, sf_dir: str, columns: Iterable[str] = ())
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     if "region" in wanted:
         orders = (orders.join(customer_regions(spark, sf_dir),
-                              F.col("o_custkey") == F.col("c_custkey"))
+                              F.col("o_custkey") == F.col("c_custkey"), "left")
                   .drop("c_custkey"))
-    joined = per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     base = [c for c in wanted if c not in TXN_DERIVED]
     if set(wanted) & set(TXN_DERIVED) and "date" not in base:
         base.append("date")
@@ -257,7 +268,7 @@ def product_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.expr(f"sum({_LINE_DISCOUNT}) AS discount_pct"),
                      F.expr(f"count({_LINE_DISCOUNT}) AS discount_pct_count")))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    return (per_part.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    return (per_part.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
             .selectExpr(f"{_TXN_SQL['product_id']} AS product_id", "p_type AS category",
                         _CENTS_TO_MONEY, "units", "line_count", "discount_pct",
                         "discount_pct_count"))
@@ -294,12 +305,12 @@ def sessions(spark: SparkSession, sf_dir: str,
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type",
                                                "value", "props")
     if "region" in wanted:
-        ev = (ev.join(customer_regions(spark, sf_dir), F.col("user_id") == F.col("c_custkey"))
+        ev = (ev.join(customer_regions(spark, sf_dir), F.col("user_id") == F.col("c_custkey"), "left")
               .drop("c_custkey"))
     return _select_sql(ev, _SESS_SQL, wanted)
 
 
-SESSION_ROLLUP_KEYS = ("day_of_week", "hour", "device")
+SESSION_ROLLUP_KEYS = ("day_of_week", "hour")
 
 
 def session_rollup(spark: SparkSession, sf_dir: str, keys: Iterable[str] = ("day_of_week", "hour"),
@@ -321,19 +332,19 @@ def session_rollup(spark: SparkSession, sf_dir: str, keys: Iterable[str] = ("day
     if unknown:
         raise ValueError(f"not session rollup keys: {sorted(unknown)}")
     ev = table(spark, sf_dir, "events").selectExpr(
-        "user_id", "ts AS timestamp", "event_type", "props")
+        "event_id", "user_id", "ts AS timestamp", "event_type")
     if prefilter is not None:
         ev = prefilter(ev)
     ev = ev.withColumnRenamed("timestamp", "ts")
     converted = _SESS_SQL["converted"]
     per_user = (ev.groupBy("user_id", *[F.expr(f"{_SESS_SQL[c]} AS `{c}`") for c in keys])
-                .agg(F.expr("count(1) AS session_count"),
+                .agg(F.expr("count(event_id) AS session_count"),
                      F.expr(f"sum({converted}) AS converted"),
                      F.expr(f"count({converted}) AS converted_count")))
     cols = [*keys, "session_count", "converted", "converted_count"]
     if with_region:
         per_user = per_user.join(customer_regions(spark, sf_dir),
-                                 F.col("user_id") == F.col("c_custkey"))
+                                 F.col("user_id") == F.col("c_custkey"), "left")
         cols.insert(len(keys), "r_name AS region")
     return per_user.selectExpr(*cols)
 

@@ -7,19 +7,37 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 
 from ledgerline.functions.expressions import with_date_parts
 from ledgerline.sources.schemas import INV, QUOTE_COLUMNS, QUOTES, SESS, TXN
 
+CSV_DECIMAL = DecimalType(26, 6)   # what decimal columns are read as
+CSV_EXACT = DecimalType(38, 18)    # as many digits before the point, and more behind it to see what would be cut
 
-def _csv(spark: SparkSession, path: str, schema, **options) -> DataFrame:
-    reader = (spark.read.schema(schema)
-              .option("header", True)
-              .option("mode", "PERMISSIVE")
-              .option("dateFormat", "yyyy-MM-dd"))
-    for key, value in options.items():
-        reader = reader.option(key, value)
-    return reader.csv(path)
+
+def _csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """CSV folder or file with a header: columns by name, in any order, extra ones left out.
+
+    The header is read from the first file; a file with another one fails.
+    Decimal columns become decimal(26,6), and text that is not such a number
+    exactly fails the job.  Other malformed values are NULL.
+    """
+    names = spark.read.option("header", True).csv(path).columns
+    text = (spark.read.schema(StructType([StructField(n, StringType()) for n in names]))
+            .option("header", True).option("enforceSchema", False).csv(path))
+    return text.select(*[F.expr(f"{_parsed(f)} AS `{f.name}`") for f in schema.fields])
+
+
+def _parsed(field: StructField) -> str:
+    c = f"`{field.name}`"
+    if not isinstance(field.dataType, DecimalType):
+        return c if isinstance(field.dataType, StringType) else f"try_cast({c} AS {field.dataType.simpleString()})"
+    exact = f"try_cast({c} AS {CSV_EXACT.simpleString()})"
+    kept = f"try_cast({exact} AS {CSV_DECIMAL.simpleString()})"
+    return (f"CASE WHEN {c} IS NULL OR {kept} = {exact} THEN {kept} ELSE CAST(raise_error("
+            f"concat('{field.name}: not a number of at most 6 decimals: ', {c})) AS {CSV_DECIMAL.simpleString()}) END")
 
 
 def load_transactions(spark: SparkSession, path: str) -> DataFrame:
@@ -33,7 +51,7 @@ def load_sessions(spark: SparkSession, path: str) -> DataFrame:
     Up to nine fraction digits are accepted (pandas writes nanoseconds);
     Spark keeps microseconds.
     """
-    return _csv(spark, path, SESS, timestampNTZFormat="yyyy-MM-dd HH:mm:ss[.SSSSSSSSS]")
+    return _csv(spark, path, SESS)
 
 
 def load_inventory(spark: SparkSession, path: str) -> DataFrame:
@@ -61,12 +79,7 @@ def load_quotes(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*QUOTE_COLUMNS)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` exists on the (possibly distributed) file system."""
-    try:
-        spark.read.format("binaryFile").load(path).schema  # resolves the file listing
-        return True
-    except AnalysisException as err:
-        if _is_missing_path(err):
-            return False
-        raise
+def is_finished(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a finished write (its ``_SUCCESS`` marker), on any file system Spark knows."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.functions.expressions import parse_number
+from ledgerline.sources.files import load_quotes
 from ledgerline.sources.schemas import (
     QUOTE_NUMBER_FIELDS,
     QUOTE_TEXT_FIELDS,
@@ -24,7 +25,6 @@ from ledgerline.sources.schemas import (
 )
 
 POLL_SECONDS = 10
-METRIC_NAME = "quotes_ingested"
 
 
 def feed_rows(docs: DataFrame) -> DataFrame:
@@ -36,14 +36,14 @@ def feed_rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.inline(F.col("data")))
 
 
-def ingest_time(spark: SparkSession):
+def ingest_time():
     """Time of the micro-batch as UTC wall clock (``timestamp_ntz``).
 
-    ``localtimestamp`` is fixed per micro-batch, so every row of a batch
-    gets the same stamp.
+    ``current_timestamp`` is fixed per micro-batch, so every row of a batch
+    gets the same stamp.  It is built from the instant, so neither the session
+    time zone nor a clock change moves it.
     """
-    tz = spark.conf.get("spark.sql.session.timeZone")
-    return F.convert_timezone(F.lit(tz), F.lit("UTC"), F.localtimestamp())
+    return F.expr("timestampadd(MICROSECOND, unix_micros(current_timestamp()), TIMESTAMP_NTZ '1970-01-01 00:00:00')")
 
 
 def typed_quotes(rows: DataFrame, stamp: bool = True) -> DataFrame:
@@ -51,7 +51,7 @@ def typed_quotes(rows: DataFrame, stamp: bool = True) -> DataFrame:
     cols = [F.col(c).cast("string").alias(c) for c in QUOTE_TEXT_FIELDS]
     cols += [parse_number(c).alias(c) for c in QUOTE_NUMBER_FIELDS]
     if stamp:
-        cols.append(ingest_time(rows.sparkSession).alias("timestamp"))
+        cols.append(ingest_time().alias("timestamp"))
     return rows.select(*cols)
 
 
@@ -68,7 +68,7 @@ def land_batch(rows: DataFrame, landing_dir: str, rows_per_document: int = 1) ->
     else:
         # Consecutive rows of one task share a document: the id is unique and
         # grows within a task, so ``id div k`` never groups rows of two tasks.
-        bucket = F.floor(F.monotonically_increasing_id() / F.lit(rows_per_document))
+        bucket = F.expr(f"monotonically_increasing_id() div {int(rows_per_document)}")
         docs = (rows.select(bucket.alias("_doc"), struct.alias("q"))
                 .groupBy("_doc").agg(F.collect_list("q").alias("data")).select("data"))
     docs.write.mode("append").json(landing_dir)
@@ -89,12 +89,10 @@ def start_ingest(spark: SparkSession, landing_dir: str, table_path: str, checkpo
 
     ``available_now`` processes what has landed and stops (the reference's
     ``--test`` single batch); otherwise a micro-batch runs every
-    ``poll_seconds`` until stopped.  Each batch also reports how many rows it
-    stored as the observed metric ``quotes_ingested``.
+    ``poll_seconds`` until stopped.
     """
     typed = typed_quotes(feed_rows(read_feed(spark, landing_dir, max_files_per_trigger)))
-    observed = typed.observe(METRIC_NAME, F.count(F.lit(1)).alias("rows"))
-    writer = (observed.writeStream.format("parquet")
+    writer = (typed.writeStream.format("parquet")
               .outputMode("append")
               .option("path", table_path)
               .option("checkpointLocation", checkpoint_dir))
@@ -105,16 +103,9 @@ def start_ingest(spark: SparkSession, landing_dir: str, table_path: str, checkpo
     return writer.start()
 
 
-def stored_rows(query: StreamingQuery) -> int:
-    """Rows stored by ``query`` so far, summed over its reported micro-batches."""
-    total = 0
-    for progress in query.recentProgress:
-        metrics = (progress.get("observedMetrics") or {}) if isinstance(progress, dict) \
-            else (progress.observedMetrics or {})
-        row = metrics.get(METRIC_NAME)
-        if row is not None:
-            total += int(row["rows"] if isinstance(row, dict) else row.rows)
-    return total
+def stored_rows(spark: SparkSession, table_path: str) -> int:
+    """Rows in all committed batches of the history table (0 if there is none yet); read from file footers."""
+    return load_quotes(spark, table_path).count()
 
 
 def ingest_once(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_dir: str,
@@ -127,6 +118,7 @@ def ingest_once(spark: SparkSession, landing_dir: str, table_path: str, checkpoi
     stores nothing twice.  ``max_files_per_trigger`` splits a large backlog
     into several bounded micro-batches.
     """
+    before = stored_rows(spark, table_path)
     query = start_ingest(spark, landing_dir, table_path, checkpoint_dir, available_now=True,
                          max_files_per_trigger=max_files_per_trigger)
     try:
@@ -135,7 +127,7 @@ def ingest_once(spark: SparkSession, landing_dir: str, table_path: str, checkpoi
             raise TimeoutError("ingest did not finish in time")
         if query.exception() is not None:
             raise RuntimeError(str(query.exception()))
-        return stored_rows(query)
+        return stored_rows(spark, table_path) - before
     finally:
         if query.isActive:
             query.stop()

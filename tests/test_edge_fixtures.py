@@ -255,11 +255,43 @@ def test_money_total_is_exact(spark):
     values = [Decimal(rng.randint(-10**9, 10**9)) / 100 for _ in range(5000)]
     values += [Decimal("99999999999999.99"), Decimal("-12345678901234.56"), Decimal("0.01"), None]
     df = spark.createDataFrame([(v, i % 3) for i, v in enumerate(values)], "m decimal(28,2), g int")
-    got = {r.g: r.t for r in df.groupBy("g").agg(money_total("m").alias("t")).collect()}
+    got = {r.g: r.t for r in df.groupBy("g").agg(money_total(df, "m").alias("t")).collect()}
     for g in range(3):
         want = sum((v for i, v in enumerate(values) if i % 3 == g and v is not None), Decimal(0))
         assert got[g] == want
-    empty = spark.createDataFrame([], "m decimal(18,2)").agg(money_total("m").alias("t")).collect()
-    assert empty[0].t is None
-    only_null = spark.createDataFrame([(None,)], "m decimal(18,2)").agg(money_total("m").alias("t")).collect()
-    assert only_null[0].t is None
+    for rows in ([], [(None,)]):
+        none = spark.createDataFrame(rows, "m decimal(18,2)")
+        assert none.agg(money_total(none, "m").alias("t")).collect()[0].t is None
+
+
+def test_money_total_rounds_the_sum_not_the_rows(spark):
+    from ledgerline.functions.expressions import money_total
+    for kind, value, want in (("decimal(18,6)", Decimal("0.004"), "4.00"), ("double", 0.004, "4.00"),
+                              ("bigint", 3, "3000.00"), ("decimal(30,2)", Decimal("1e20"), "1e23"),
+                              ("double", 1e14, "1e17")):
+        df = spark.createDataFrame([(value,)] * 1000, f"m {kind}")
+        assert df.agg(money_total(df, "m").alias("t")).collect()[0].t == Decimal(want)
+
+
+def test_missing_change_is_down(spark):
+    from ledgerline.functions.expressions import direction
+    rows = spark.createDataFrame([(1.0,), (0.0,), (-1.0,), (None,)], "c double").select(direction("c").alias("d"))
+    assert [r.d for r in rows.collect()] == ["up", "up", "down", "down"]
+
+
+def test_share_keeps_the_type_of_its_value(spark):
+    from ledgerline import operators as ops
+    counts = spark.createDataFrame([("a", 3), ("b", 1)], "health string, count bigint")
+    share = ops.share_of_total(counts, "health", "count")
+    assert dict(share.dtypes)["count"] == "bigint"
+    assert sorted((r.health, r[1], r.share_pct) for r in share.collect()) == [("a", 3, 75.0), ("b", 1, 25.0)]
+
+
+def test_tied_products_all_rank(spark):
+    from ledgerline import operators as ops
+    rows = [(f"p{i:04d}", "c", Decimal("5.00") if i < 500 else Decimal("7.00"), 1, f"t{i}") for i in range(503)]
+    txn = spark.createDataFrame(rows, "product_id string, category string, revenue decimal(18,2), units int, "
+                                      "transaction_id string")
+    top = ops.top_products(txn, 4).collect()
+    assert len(top) == 503 and {r.rank for r in top} == {1, 4} and sum(r.rank == 1 for r in top) == 3
+    assert {r.rank for r in ops.top_products(txn, 3).collect()} == {1}

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline import operators as ops
@@ -9,7 +10,7 @@ from ledgerline.plans import views
 from ledgerline.sinks.writers import persist_tables, write_csv
 from ledgerline.sources import adapters as A
 from ledgerline.sources import synth
-from ledgerline.sources.files import load_inventory, load_sessions, load_transactions, path_exists
+from ledgerline.sources.files import is_finished, load_inventory, load_sessions, load_transactions
 
 from conftest import SF_SMALL
 
@@ -18,13 +19,15 @@ def test_csv_round_trip_keeps_values(spark, tmp_root):
     txn = A.transactions(spark, SF_SMALL, [c for c in A.TXN_COLUMNS
                                            if c not in ("year_month", "month_num", "year")])
     back = load_transactions(spark, write_csv(txn, f"{tmp_root}/txn")).drop("year_month", "month_num", "year")
-    assert [(f.name, f.dataType) for f in back.schema] == [(f.name, f.dataType) for f in txn.schema]
+    assert back.columns == txn.columns
+    back = back.select(*[F.col(f.name).cast(f.dataType) for f in txn.schema])
     assert back.exceptAll(txn).count() == 0 and txn.exceptAll(back).count() == 0
     sess = A.sessions(spark, SF_SMALL)
     sback = load_sessions(spark, write_csv(sess, f"{tmp_root}/sess"))
     assert sback.exceptAll(sess).count() == 0
     inv = A.inventory(spark, SF_SMALL)
     iback = load_inventory(spark, write_csv(inv, f"{tmp_root}/inv"))
+    iback = iback.select(*[F.col(f.name).cast(f.dataType) for f in inv.schema])
     assert iback.exceptAll(inv).count() == 0
 
 
@@ -39,11 +42,60 @@ def test_reference_style_csv_timestamps(spark, tmp_root):
     assert [r.timestamp.isoformat() for r in rows] == ["2023-01-01T00:00:00", "2023-01-01T00:13:08.869860"]
 
 
+def _file(folder, name, *lines):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    return f"{folder}/{name}"
+
+
+def test_csv_columns_match_by_name_without_loss(spark, tmp_root):
+    path = _file(tmp_root, "inv.csv", "extra,category,product_id,unit_cost,stock_units,supplier,reorder_level,health",
+                 "x,Books,P1,12.345,7,S,10,Low Stock", "y,Toys,P2,99999999999999999.5,,S,10,")
+    a, b = load_inventory(spark, path).collect()
+    assert (a.product_id, a.category, float(a.unit_cost), a.stock_units) == ("P1", "Books", 12.345, 7)
+    assert str(b.unit_cost) == "99999999999999999.500000" and b.stock_units is None and b.health is None
+
+
+def test_csv_money_that_does_not_fit_fails(spark, tmp_root):
+    for i, text in enumerate(("1.2345678", "abc")):
+        path = _file(tmp_root, f"bad{i}.csv", "product_id,category,stock_units,reorder_level,unit_cost,supplier,health",
+                     f"P1,Books,1,2,{text},S,")
+        with pytest.raises(Exception, match="unit_cost"):
+            load_inventory(spark, path).collect()
+    path = _file(tmp_root, "missing.csv", "product_id,category", "P1,Books")
+    with pytest.raises(Exception, match="stock_units"):
+        load_inventory(spark, path).collect()
+
+
+def test_unfinished_output_counts_as_absent(spark, tmp_root):
+    out = f"{tmp_root}/raw"
+    for name in ("transactions", "sessions", "inventory"):
+        os.makedirs(f"{out}/{name}/_temporary")
+    paths = synth.generate_all(spark, out, n_transactions=50, n_sessions=50, n_products=5)
+    assert all(is_finished(spark, p) for p in paths.values())
+
+
+def test_scratch_needs_a_shared_folder_off_one_machine():
+    from ledgerline import session
+    assert session._one_machine("local") and session._one_machine("local[8]")
+    assert not session._one_machine("local-cluster[3,2,1024]") and not session._one_machine("spark://host:7077")
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_dir(Cluster(), "x")
+
+
 def test_generate_all_writes_only_when_needed(spark, tmp_root):
     out = f"{tmp_root}/raw"
     paths = synth.generate_all(spark, out, n_transactions=500, n_sessions=500, n_products=50)
     assert set(paths) == {"transactions", "sessions", "inventory"}
-    assert all(path_exists(spark, p) for p in paths.values())
+    assert all(is_finished(spark, p) for p in paths.values())
     stamp = os.path.getmtime(paths["transactions"])
     synth.generate_all(spark, out, n_transactions=700, n_sessions=500, n_products=50)
     assert os.path.getmtime(paths["transactions"]) == stamp  # all present: skipped
@@ -55,7 +107,7 @@ def test_generate_all_writes_only_when_needed(spark, tmp_root):
 def test_generate_all_rewrites_everything_when_one_is_missing(spark, tmp_root):
     out = f"{tmp_root}/raw"
     synth.generate_all(spark, out, n_transactions=300, n_sessions=300, n_products=20)
-    assert not path_exists(spark, f"{out}/nothing-here")
+    assert not is_finished(spark, f"{out}/nothing-here")
     os.rename(f"{out}/inventory", f"{out}/inventory-old")
     synth.generate_all(spark, out, n_transactions=400, n_sessions=300, n_products=20)
     assert load_transactions(spark, f"{out}/transactions").count() == 400

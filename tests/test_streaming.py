@@ -2,6 +2,7 @@
 
 import json
 import os
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
@@ -38,6 +39,27 @@ def test_available_now_ingest_and_restart(spark, tmp_root):
     assert load_quotes(spark, table).count() == n_events
 
 
+def test_backlog_of_more_than_a_hundred_batches_is_counted_in_full(spark, tmp_root):
+    landing, table, ckpt = f"{tmp_root}/landing", f"{tmp_root}/table", f"{tmp_root}/ckpt"
+    for i in range(105):
+        _land_text(spark, f"{landing}/b{i:03d}", [{"data": [{"id": "a", "symbol": f"S{i}", "priceUsd": "1"}]}])
+    assert ingest_once(spark, landing, table, ckpt, max_files_per_trigger=1) == 105
+
+
+def test_stamp_does_not_depend_on_the_session_zone(spark):
+    from ledgerline.streaming.ingest import ingest_time
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    stamps = []
+    try:
+        for tz in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            stamps.append(spark.range(1).select(ingest_time().alias("t")).collect()[0].t)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    assert all(abs((now - t).total_seconds()) < 300 for t in stamps)
+
+
 def test_new_documents_are_appended(spark, tmp_root):
     landing, table, ckpt = f"{tmp_root}/landing", f"{tmp_root}/table", f"{tmp_root}/ckpt"
     _land_text(spark, f"{landing}/b1", [{"data": [{"id": "bitcoin", "symbol": "BTC", "priceUsd": "10"}]}])
