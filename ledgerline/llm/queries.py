@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import embeddings, fingerprints, lm, mixing, neardup, packing, quality, sharding, tokenfiles
+from ledgerline.llm import embeddings, fingerprints, lm, mixing, neardup, oracle, packing, quality, sharding, tokenfiles
 from ledgerline.llm.common import documents, importable
 
 
@@ -55,4 +55,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_sharding": oracle.sharding(), "op9_mixing": oracle.mixing()}
