@@ -42,9 +42,8 @@ class WaveletMatrix:
         planes, zeros = [], []
         now = ids.astype(np.uint16 if bits <= 16 else np.uint32)
         for level in range(bits - 1, -1, -1):
-            bit = (now >> now.dtype.type(level)) & now.dtype.type(1)
-            planes.append(np.packbits(bit.astype(np.uint8)))
-            one = bit.view(bool) if bit.itemsize == 1 else bit.astype(bool)
+            one = (now & now.dtype.type(1 << level)) != 0
+            planes.append(np.packbits(one))
             low = now[~one]
             zeros.append(len(low))
             now = np.concatenate([low, now[one]])

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-from collections.abc import Callable
 
 import numpy as np
 
@@ -26,6 +25,7 @@ SLICE_BYTES = 1 << 22
 
 _ENCODERS: dict[tuple[str, str], "Encoder"] = {}
 
+LEADS = ("", " ", "\n")  # what stands before a word and goes with it
 _TAILS = b".,;:!?"
 _TAIL = np.zeros(256, np.int64)
 _TAIL[list(_TAILS)] = np.arange(1, len(_TAILS) + 1)
@@ -94,36 +94,39 @@ class Encoder:
             out += [raw[x:y] for x, y in zip(cuts[:-1], cuts[1:])]
         return out
 
-    def _is_stem(self, piece: str) -> bool:
-        return piece[:1] == " " and piece[1:].isalpha() if self._kind == "byte" else piece.isalpha()
-
-    def lookup(self, keys: np.ndarray, piece_of: Callable[[int], bytes]) -> list[bytes]:
-        """Ids for distinct keys; ``piece_of(i)`` gives the bytes behind a key that is not remembered."""
+    def lookup(self, keys: np.ndarray, raw: bytes, starts: np.ndarray, stops: np.ndarray, heads: np.ndarray
+               ) -> list[bytes]:
+        """Ids for distinct keys; key i stands for ``LEADS[heads[i]]`` and the bytes from ``starts`` to ``stops``."""
         if len(self._cache) > CACHE_WORDS // 2:
             self._older, self._cache = self._cache, {}
         cache, older = self._cache, self._older
         names = keys.tolist()
         found = list(map(cache.get, names))
         missing = [i for i, v in enumerate(found) if v is None]
-        if older:
-            for i in missing:
-                v = older.get(names[i])
-                if v is not None:
-                    found[i] = cache[names[i]] = v
-            missing = [i for i in missing if found[i] is None]
-        pieces = [(i, piece_of(i).decode("utf-8", "replace")) for i in missing]
-        stems = [(i, p) for i, p in pieces if self._is_stem(p)]
-        rest = [(i, p) for i, p in pieces if not self._is_stem(p)]
-        for at in range(0, len(stems), 1 << 16):
-            part = stems[at: at + (1 << 16)]
-            for (i, _), v in zip(part, self._stems_ids([p for _, p in part])):
+        if older and missing:
+            again = [(i, v) for i, v in zip(missing, map(older.get, map(names.__getitem__, missing))) if v is not None]
+            for i, v in again:
                 found[i] = cache[names[i]] = v
-        for at in range(0, len(rest), 1 << 12):
-            part = rest[at: at + (1 << 12)]
-            for (i, p), v in zip(part, self._ids([p for _, p in part])):
-                found[i] = v
-                if len(p) <= 256:
-                    cache[names[i]] = v
+            missing = [i for i in missing if found[i] is None]
+        if not missing:
+            return found
+        at = np.array(missing)
+        spans = zip(starts[at].tolist(), stops[at].tolist())
+        cores = [raw[x:y].decode("utf-8", "replace") for x, y in spans]
+        lead = heads[at].tolist()
+        spaced = 1 if self._kind == "byte" else 0
+        is_stem = [h == spaced and c.isalpha() for h, c in zip(lead, cores)]
+        pieces = [LEADS[h] + c if h else c for h, c in zip(lead, cores)]
+        for stem, encode, step in ((True, self._stems_ids, 1 << 16), (False, self._ids, 1 << 12)):
+            own = [j for j, x in enumerate(is_stem) if x is stem]
+            for k in range(0, len(own), step):
+                part = own[k: k + step]
+                texts = [pieces[j] for j in part]
+                for j, v, p in zip(part, encode(texts), texts):
+                    i = missing[j]
+                    found[i] = v
+                    if len(p) <= 256:
+                        cache[names[i]] = v
         return found
 
     def encode(self, flat: np.ndarray, offsets: np.ndarray) -> list[bytes]:
@@ -146,22 +149,13 @@ class Encoder:
         if self._kind == "byte":
             inner = np.isin(starts, offsets[:-1], invert=True)
             previous = np.where(inner, flat[np.maximum(starts - 1, 0)], 0)
-            lead = np.where(previous == 32, 1, np.where(previous == 10, 2, 0)).astype(np.uint64)
-            keys = words.mix(keys + lead * np.uint64(0x9E3779B97F4A7C15))
+            lead = np.where(previous == 32, 1, np.where(previous == 10, 2, 0))
+            keys = words.mix(keys + lead.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             slow = self._unsure(flat, offsets, starts, ends)
         distinct, first, index = np.unique(keys, return_index=True, return_inverse=True)
-        raw = flat.tobytes()
-        if self._kind == "byte":
-            lead_of = (b"", b" ", b"\n")
-            heads = lead[first].astype(np.int64).tolist()
-        spans = list(zip(starts[first].tolist(), stops[first].tolist()))
-
-        def piece_of(i: int) -> bytes:
-            a, b = spans[i]
-            return (lead_of[heads[i]] if self._kind == "byte" else b"") + raw[a:b]
-
-        ids = self.lookup(distinct, piece_of)
-        per = np.array([len(x) for x in ids], np.int64) // 4
+        heads = lead[first] if self._kind == "byte" else np.zeros(len(first), np.int64)
+        ids = self.lookup(distinct, flat.tobytes(), starts[first], stops[first], heads)
+        per = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         table = np.frombuffer(b"".join(ids), "<u4")
         place = np.cumsum(per) - per
         core = per[index]
