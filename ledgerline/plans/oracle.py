@@ -119,12 +119,13 @@ def sess_sql(body: str) -> str:
     return with_ctes(GEO, SESS) + body
 
 
-def filtered_sql(body: str, txn_where: str, sess_where: str, *extra: str) -> str:
-    """``txn`` and ``sess`` under the dashboard's filters."""
-    every_txn = TXN.replace("txn AS (", "every_txn AS (", 1)
-    every_sess = SESS.replace("sess AS (", "every_sess AS (", 1)
-    return with_ctes(GEO, every_txn, every_sess, f"txn AS (SELECT * FROM every_txn WHERE {txn_where})",
-                     f"sess AS (SELECT * FROM every_sess WHERE {sess_where})", INV, *extra) + body
+def under_filters(sql: str, txn_where: str, sess_where: str) -> str:
+    """A query of this module with its canonical tables narrowed by the dashboard's filters."""
+    for cte, where in ((TXN, txn_where), (SESS, sess_where)):
+        name = cte[:cte.index(" AS (")]
+        sql = sql.replace(cte, cte.replace(name, f"every_{name}", 1)
+                          + f",\n{name} AS (SELECT * FROM every_{name} WHERE {where})")
+    return sql
 
 
 def both_sql(body: str) -> str:

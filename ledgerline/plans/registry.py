@@ -524,15 +524,7 @@ def _tab(prefix: str, tab, frames: dict[str, str], filtered: bool = True) -> lis
     for frame, same_as in frames.items():
         sql = _BY_NAME[same_as].sql
         if filtered:
-            body = sql[sql.index(O.SESS if O.SESS in sql else O.TXN if O.TXN in sql else O.INV):]
-            for cte in (O.TXN, O.SESS, O.INV):
-                body = body.replace(cte + ",\n", "").replace(cte, "")
-            body = body.strip()
-            # What is left may begin with CTEs of its own.
-            own = [c for c in (_MONTHLY, _MOM[1], _TOP) if c in body]
-            for cte in own:
-                body = body.replace(cte + ",\n", "").replace(cte, "")
-            sql = O.filtered_sql(body.strip(), _TAB_TXN, _TAB_SESS, *own)
+            sql = O.under_filters(sql, _TAB_TXN, _TAB_SESS)
         out.append(Query(f"{prefix}_{frame}", _frame(tab, frame), sql))
     return out
 

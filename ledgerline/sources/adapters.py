@@ -46,11 +46,9 @@ from ledgerline.functions.expressions import (
     HEALTH_OUT,
     with_date_parts,
 )
-from ledgerline.sources.schemas import QUOTE_COLUMNS, TXN, TXN_DERIVED
+from ledgerline.sources.schemas import DEVICES, QUOTE_COLUMNS, TXN, TXN_DERIVED
 
 TXN_COLUMNS = tuple(f.name for f in TXN.fields) + TXN_DERIVED
-# The reference's device names (picked by ``props.k % 3`` for the test sessions).
-DEVICES = ("Desktop", "Mobile", "Tablet")
 
 _ORDER_COLUMNS = {"date", "customer_id", "region", *TXN_DERIVED}
 _PART_COLUMNS = {"category"}

@@ -66,6 +66,8 @@ INV = StructType([
     StructField("health", StringType(), True),
 ])
 
+# Device names (the test sessions pick one by ``props.k % 3``) and the feed's field names.
+DEVICES = ("Desktop", "Mobile", "Tablet")
 QUOTE_TEXT_FIELDS = ("id", "symbol", "name")
 QUOTE_NUMBER_FIELDS = ("priceUsd", "marketCapUsd", "volumeUsd24Hr", "changePercent24Hr")
 

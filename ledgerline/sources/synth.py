@@ -21,13 +21,12 @@ from ledgerline.functions.expressions import (
     stock_health,
     weekday_name,
 )
-from ledgerline.sources.schemas import MONEY, PERCENT
+from ledgerline.sources.schemas import DEVICES, MONEY, PERCENT
 
 # Fixed values that must match the reference generator.
 REGIONS = ("North America", "Europe", "Asia-Pacific", "Latin America", "Middle East")
 REGION_WEIGHTS = (0.35, 0.25, 0.25, 0.10, 0.05)
 CATEGORIES = ("Electronics", "Apparel", "Home & Kitchen", "Sports", "Beauty", "Books", "Toys")
-DEVICES = ("Desktop", "Mobile", "Tablet")
 DEVICE_WEIGHTS = (0.45, 0.40, 0.15)
 CONVERTED_WEIGHTS = (0.82, 0.18)  # for 0, 1
 N_TRANSACTIONS = 50_000

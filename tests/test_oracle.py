@@ -1,9 +1,5 @@
 """Every registered query against its DuckDB oracle (the driver's correctness gate)."""
 
-import datetime as dt
-import decimal
-import math
-
 import duckdb
 import pytest
 
@@ -11,25 +7,7 @@ import __spark_entry__ as E
 from ledgerline.plans import registry
 
 from conftest import SF_SMALL
-
-TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
-          "pages benchmark labels conversations").split()
-
-
-def _norm(v):
-    if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(v)
-    if isinstance(v, decimal.Decimal):
-        return repr(float(v))
-    if isinstance(v, dt.datetime):
-        return v.replace(tzinfo=None).isoformat()
-    return repr(v)
-
-
-def _canon(cols, rows):
-    order = sorted(range(len(cols)), key=lambda i: cols[i])
-    return [cols[i] for i in order], sorted(tuple(_norm(r[i]) for i in order) for r in rows)
-
+from tools.check_oracle import TABLES, canon as _canon
 
 @pytest.fixture(scope="module")
 def duck():

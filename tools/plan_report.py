@@ -20,7 +20,7 @@ from collections import Counter
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from ledgerline.plans import registry  # noqa: E402
 from ledgerline.session import build_session  # noqa: E402
 
 MODES = {
@@ -28,7 +28,7 @@ MODES = {
     "scale": {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "8k"},
 }
 WRITES_ON_CALL = {"csv_transactions", "csv_sessions", "csv_inventory", "quotes_scan",
-                  "quotes_stream_ingest"}
+                  "quotes_stream_ingest", "quotes_ingest_stamp"}
 
 
 def summarise(plan: str) -> str:
@@ -76,7 +76,7 @@ def main() -> int:
     for mode, conf in MODES.items():
         for k, v in conf.items():
             spark.conf.set(k, v)
-        for name, fn in E.queries().items():
+        for name, fn in registry.queries().items():
             if name in WRITES_ON_CALL:
                 continue
             df = fn(spark, sf)
