@@ -201,6 +201,48 @@ def test_scores_against_brute_force_counts(spark):
     assert lm.score_documents(no_docs(spark)).count() == 0
 
 
+def test_training_windows_hold_all_training_text(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").withColumn(
+        "trained", F.col("doc_id") % 5 != 1)
+    edge = edge_docs(spark).select("doc_id", "text", F.lit(True).alias("trained"))
+    saved = lm.blocks(docs.coalesce(1).union(edge.coalesce(1)), lm.tokenizer_path(lm.VOCABULARY)).persist()
+    want = Counter()
+    for row in saved.collect():
+        tokens = lm._texts(row.asDict(), only_trained=True)[0].tolist()
+        want.update(zip(tokens[:-1], tokens[1:]))
+    for turns in (1, 2):
+        got = Counter()
+        for turn in range(turns):
+            for r in lm.training_windows(saved, turn, turns).collect():
+                w = np.frombuffer(r.value, "<u2").reshape(-1, attention.WIDTH + 1)
+                use = w[:, 1:] != attention.MISSING
+                got.update(zip(w[:, :-1][use].tolist(), w[:, 1:][use].tolist()))
+        assert got == want
+    saved.unpersist()
+    for n in range(2, 70):  # tails
+        w = lm.cut_windows(np.arange(n))
+        assert w[:, 1:][w[:, 1:] != attention.MISSING].tolist() == list(range(1, n))
+    assert len(lm.cut_windows(np.arange(1))) == len(lm.cut_windows(np.arange(0))) == 0
+
+
+def test_a_pass_trains_on_every_window(monkeypatch):
+    rng, vectors, classes_of, flat = _tiny()
+    tokens = rng.integers(0, 50, (300, attention.WIDTH + 1)).astype(np.uint16)
+    tokens[:, 5] = 7
+    tokens[-1, 4:] = attention.MISSING
+    seen = []
+    gradient = attention.loss_and_gradient
+
+    def watch(p, x, target, valid, classes):
+        seen.extend(x[valid][:, 0].tolist())
+        return gradient(p, x, target, valid, classes)
+
+    monkeypatch.setattr(attention, "loss_and_gradient", watch)
+    attention.train(flat, tokens, vectors, classes_of, 7, steps=-(-300 // attention.BATCH))
+    inputs = np.concatenate([tokens[:-1, :-1].ravel(), tokens[-1, :3]])
+    assert Counter(seen) == Counter(vectors[inputs][:, 0].tolist())
+
+
 def _tiny(classes=7, seed=9):
     rng = np.random.default_rng(seed)
     vectors = rng.normal(size=(50, 4)).astype(np.float32)
