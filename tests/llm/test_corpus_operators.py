@@ -201,6 +201,15 @@ def test_scores_against_brute_force_counts(spark):
     assert lm.score_documents(no_docs(spark)).count() == 0
 
 
+def test_scores_of_a_word_of_many_ids(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    unbroken = "".join(chr(c) for c in np.random.default_rng(12).integers(0x4E00, 0x9FA5, 30_000))
+    encoder = tokenizers.Tokenizer.from_file(lm.tokenizer_path(lm.VOCABULARY))
+    assert len(encoder.encode(unbroken, add_special_tokens=False).ids) > 65_535
+    rows = [*edge_rows(), (14, unbroken, "zh", "a", 30_000), (15, unbroken + "x", "zh", "a", 30_001)]
+    check_scores(lm.score_documents(spark.createDataFrame(rows, DOCS)).collect(), [(r[0], r[1]) for r in rows])
+
+
 def test_training_windows_hold_all_training_text(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").withColumn(
         "trained", F.col("doc_id") % 5 != 1)
