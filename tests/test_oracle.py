@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as E
 from ledgerline.plans import registry
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from tools.check_oracle import TABLES, canon as _canon
 
 @pytest.fixture(scope="module")

@@ -9,7 +9,7 @@ from ledgerline import operators as ops
 from ledgerline.plans import registry
 from ledgerline.sources import adapters as A
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 ROOT = pathlib.Path(__file__).resolve().parents[1] / "ledgerline"
 

@@ -7,7 +7,7 @@ from ledgerline.plans import registry
 from ledgerline.sources import adapters as A
 from ledgerline.sources import synth
 
-from conftest import SF_MID
+from paths import SF_MID
 
 
 def test_regions_sum_to_total(spark):

@@ -7,7 +7,7 @@ import pytest
 from ledgerline import operators as ops
 from ledgerline.sources import adapters as A
 
-from conftest import SF_MID
+from paths import SF_MID
 
 
 def same(a, b):

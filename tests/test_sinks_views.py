@@ -12,7 +12,7 @@ from ledgerline.sources import adapters as A
 from ledgerline.sources import synth
 from ledgerline.sources.files import is_finished, load_inventory, load_sessions, load_transactions
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_csv_round_trip_keeps_values(spark, tmp_root):

@@ -10,7 +10,7 @@ from ledgerline.sources import adapters as A
 from ledgerline.sources.files import load_quotes
 from ledgerline.streaming.ingest import ingest_once, land_batch, start_ingest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _land_text(spark, path, docs):
