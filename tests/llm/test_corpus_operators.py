@@ -7,7 +7,7 @@ from collections import Counter
 import corpus_pipeline
 import numpy as np
 import pytest
-from helpers import DOCS, SF, edge_docs, edge_rows, groups, no_docs, words
+from llm.helpers import DOCS, SF, edge_docs, edge_rows, groups, no_docs, words
 from ledgerline.llm import attention, embeddings, lm, mixing, queries, sharding
 from pyspark.sql import functions as F
 

@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from helpers import SF, edge_docs
+from llm.helpers import SF, edge_docs
 from ledgerline.llm import mixing, oracle, queries, sharding
 
 

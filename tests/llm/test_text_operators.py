@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
-from helpers import BASE, DOCS, SF, edge_docs, edge_rows, groups, no_docs, shingles, words
+from llm.helpers import BASE, DOCS, SF, edge_docs, edge_rows, groups, no_docs, shingles, words
 from ledgerline.llm import fingerprints, graph, neardup, quality, queries
 from ledgerline.llm.common import Scratch
 from pyspark.sql import functions as F

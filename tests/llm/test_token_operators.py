@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from helpers import DOCS, SF, edge_docs, edge_rows, no_docs
+from llm.helpers import DOCS, SF, edge_docs, edge_rows, no_docs
 from ledgerline.llm import packing, queries, tokenfiles
 from ledgerline.llm.tokens import Encoder, encode_batch, tokenizer_path
 
