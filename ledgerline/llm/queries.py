@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import embeddings, fingerprints, lm, mixing, neardup, oracle, packing, quality, sharding, tokenfiles
+from ledgerline.llm import bpe, embeddings, fingerprints, lm, mixing, neardup, oracle, packing, quality, sharding, tokenfiles
 from ledgerline.llm.common import documents, importable
 
 
@@ -50,6 +50,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(documents(spark, sf_dir))
+
+
 def queries() -> dict:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
