@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, embeddings, fingerprints, lm, mixing, neardup, oracle, packing, quality, sharding, tokenfiles
+from ledgerline.llm import (
+    bpe, embeddings, fingerprints, lm, mixing, neardup, oracle, packing, quality, resample, sharding, tokenfiles,
+)
 from ledgerline.llm.common import documents, importable
 
 
@@ -54,6 +56,11 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir))
 
 
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return resample.resample(documents(spark, sf_dir), benchmark)
+
+
 def queries() -> dict:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
