@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import (
-    bpe, embeddings, fingerprints, lm, mixing, neardup, oracle, packing, quality, resample, sharding, tokenfiles,
+    bpe, embeddings, fingerprints, lm, mixing, neardup, oracle, packing, quality, repair, resample, sharding,
+    tokenfiles,
 )
 from ledgerline.llm.common import documents, importable
 
@@ -56,6 +57,11 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
+    return repair.audit(repair.damaged(spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")))
+
+
 def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     return resample.resample(documents(spark, sf_dir), benchmark)
