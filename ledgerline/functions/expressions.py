@@ -40,10 +40,10 @@ def half_up(col: Column | str, digits: int) -> Column:
 
 
 
-def money_total(df: DataFrame, name: str) -> Column:
-    """Exact sum of a money column, rounded once to cents, as decimal(38,2); NULL when there is no value.
+def exact_money(df: DataFrame, name: str) -> Column:
+    """A money column as a type whose sums are exact.
 
-    Decimal and integer columns are summed at their own scale; binary numbers
+    Decimal and integer columns keep their own scale; binary numbers go
     through decimal(38,10).  The declared type decides, never a value.
     """
     kind = df.schema[name].dataType
@@ -52,7 +52,12 @@ def money_total(df: DataFrame, name: str) -> Column:
         exact = exact.cast(DecimalType(20, 0))
     elif not isinstance(kind, DecimalType):
         exact = exact.cast(_RATIO_DECIMAL)
-    return F.round(F.sum(exact), 2).cast(DecimalType(38, 2))
+    return exact
+
+
+def money_total(df: DataFrame, name: str) -> Column:
+    """Exact sum of a money column, rounded once to cents, as decimal(38,2); NULL when there is no value."""
+    return F.round(F.sum(exact_money(df, name)), 2).cast(DecimalType(38, 2))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType
 
 from ledgerline.functions.expressions import (
+    exact_money,
     format_money,
     half_up,
     mean_of,
@@ -76,6 +77,50 @@ def session_kpis(sess: DataFrame) -> DataFrame:
     )
 
 
+LEVELS = ("total", "year_month", "region", "category")
+
+
+def revenue_levels(txn: DataFrame) -> DataFrame:
+    """Revenue of all transactions, per month, per region and per category, in one pass.
+
+    ``level, year_month, region, category, revenue, revenue_count, line_count,
+    discount_pct, discount_pct_count``: the key of a row's level is set (NULL
+    is a value of its own), the other keys are NULL.  Lines are first added up
+    per (month, region, category), with partial sums in the map tasks, and the
+    grouping sets then run over those cells, so no line is expanded.  Money
+    sums are exact.  No transactions: no rows.
+    """
+    month = F.col("year_month") if "year_month" in txn.columns else month_key("date")
+    keys = LEVELS[1:]
+    cells = (txn.withColumn("year_month", month).groupBy(*keys)
+             .agg(F.sum(exact_money(txn, "revenue")).alias("revenue"), F.count("revenue").alias("revenue_count"),
+                  line_count(txn).alias(LINE_COUNT), F.sum("discount_pct").alias("discount_pct"),
+                  F.count("discount_pct").alias("discount_pct_count")))
+    sums = ("revenue", "revenue_count", LINE_COUNT, "discount_pct", "discount_pct_count")
+    grouped = (cells.groupingSets([[], *[[F.col(k)] for k in keys]], *[F.col(k) for k in keys])
+               .agg(F.grouping_id().alias("_gid"), *[F.sum(c).alias(c) for c in sums]))
+    # A key's bit is set where the key is added up; the first key has the highest bit.
+    level = F.when(F.col("_gid") == 3, keys[0]).when(F.col("_gid") == 5, keys[1]).when(F.col("_gid") == 6, keys[2])
+    return grouped.select(level.otherwise(LEVELS[0]).alias("level"), *keys, *sums)
+
+
+def at_level(levels: DataFrame, level: str) -> DataFrame:
+    """The rows of one level of ``revenue_levels``, in the columns of rolled-up transactions."""
+    if level not in LEVELS:
+        raise ValueError(f"unknown level: {level!r}")
+    return levels.filter(F.col("level") == level)
+
+
+def level_kpis(levels: DataFrame) -> DataFrame:
+    """``transaction_kpis`` from ``revenue_levels``; one row, also when there are no transactions."""
+    total = at_level(levels, LEVELS[0])
+    return total.agg(
+        money_total(total, "revenue").cast(DoubleType()).alias("total_revenue"),
+        line_count(total).alias("total_orders"),
+        half_up(measure_mean(total, "revenue"), 2).alias("avg_order_value"),
+        half_up(measure_mean(total, "discount_pct"), 1).alias("avg_discount"))
+
+
 def kpi_summary(txn: DataFrame, sess: DataFrame) -> DataFrame:
     """The six headline KPIs as a one-row frame.
 
@@ -83,7 +128,12 @@ def kpi_summary(txn: DataFrame, sess: DataFrame) -> DataFrame:
     NULL half of each column) instead of being cross-joined.  Empty input
     gives NULL sums/averages and zero counts.
     """
-    t = transaction_kpis(txn).selectExpr(
+    return joined_kpis(transaction_kpis(txn), sess)
+
+
+def joined_kpis(transactions: DataFrame, sess: DataFrame) -> DataFrame:
+    """``kpi_summary`` from a one-row frame of transaction KPIs and the sessions."""
+    t = transactions.selectExpr(
         "*", "CAST(NULL AS BIGINT) AS total_sessions", "CAST(NULL AS DOUBLE) AS conversion_rate")
     s = session_kpis(sess).selectExpr(
         "CAST(NULL AS DOUBLE) AS total_revenue", "CAST(NULL AS BIGINT) AS total_orders",

@@ -54,11 +54,22 @@ def activity_heatmap(sess: DataFrame) -> DataFrame:
 GRAINS = {"month": ("year_month", "yyyy-MM"), "day": ("day", "yyyy-MM-dd")}
 
 
+def _period(sess: DataFrame, grain: str):
+    name, fmt = GRAINS[grain]
+    return F.col(name) if name in sess.columns else F.date_format("timestamp", fmt).alias(name)
+
+
+def session_cells(sess: DataFrame, grain: str = "month") -> DataFrame:
+    """Sessions per weekday, hour, period and device, which the heatmap and the device trend can both start from."""
+    return (sess.groupBy("day_of_week", "hour", _period(sess, grain), "device")
+            .agg(session_count(sess).alias("session_count")))
+
+
 def device_trend(sess: DataFrame, grain: str = "month") -> DataFrame:
     """Sessions per period x device, ordered by period then device."""
-    name, fmt = GRAINS[grain]
-    return (sess.groupBy(F.date_format("timestamp", fmt).alias(name), "device")
-            .agg(F.count("session_id").alias("sessions"))
+    name, _ = GRAINS[grain]
+    return (sess.groupBy(_period(sess, grain), "device")
+            .agg(session_count(sess).alias("sessions"))
             .orderBy(name, "device"))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ledgerline import operators as ops
-from ledgerline.functions.expressions import decimals_to_double, line_revenue, parse_number
+from ledgerline.functions.expressions import decimals_to_double, half_up, line_revenue, parse_number, ratio
 from ledgerline.operators.filters import Filters
 from ledgerline.plans import oracle as O, views
 from ledgerline.session import scratch_dir
@@ -303,6 +303,16 @@ def _quotes_tab(spark, sf):
     return views.quotes_view(A.quotes(spark, sf))
 
 
+def q_tab_overview_levels(spark, sf):
+    """The one pass behind the overview: revenue in all, per month, per region and per category."""
+    levels = _overview(spark, sf).base("levels")
+    return levels.select(
+        "level", *ops.LEVELS[1:], F.round("revenue", 2).cast(DoubleType()).alias("revenue"),
+        F.col("line_count").alias("orders"),
+        half_up(ratio(F.col("revenue"), F.col("revenue_count")), 2).alias("avg_order_value"),
+        half_up(ratio(F.col("discount_pct"), F.col("discount_pct_count")), 1).alias("avg_discount"))
+
+
 def _frame(tab, name: str) -> QueryFn:
     def run(spark, sf):
         return decimals_to_double(tab(spark, sf)[name])
@@ -518,6 +528,16 @@ UNION ALL SELECT 'inventory', count(*) FROM inv"""),
 _BY_NAME = {q.name: q for q in QUERIES}
 
 
+def _level_sql(level: str) -> str:
+    keys = ", ".join(k if k == level else f"CAST(NULL AS VARCHAR) AS {k}" for k in ops.LEVELS[1:])
+    sql = (f"SELECT '{level}' AS level, {keys}, {_money('revenue')} AS revenue, count(transaction_id) AS orders, "
+           f"{_hu(_mean('revenue'), 2)} AS avg_order_value, {_hu(_mean('discount_pct'), 1)} AS avg_discount FROM txn")
+    return sql + (" HAVING count(*) > 0" if level == ops.LEVELS[0] else f" GROUP BY {level}")
+
+
+_LEVELS_SQL = O.under_filters(O.txn_sql(" UNION ALL ".join(_level_sql(x) for x in ops.LEVELS)), _TAB_TXN, _TAB_SESS)
+
+
 def _tab(prefix: str, tab, frames: dict[str, str], filtered: bool = True) -> list[Query]:
     """A tab's frames as queries; a frame's SQL is that of the query it corresponds to, over the filtered rows."""
     out = []
@@ -529,6 +549,7 @@ def _tab(prefix: str, tab, frames: dict[str, str], filtered: bool = True) -> lis
     return out
 
 
+QUERIES += (Query("tab_overview_levels", q_tab_overview_levels, _LEVELS_SQL),)
 QUERIES += tuple(
     _tab("tab_overview", _overview, {
         "kpis": "kpi_summary", "revenue_over_time": "revenue_over_time", "revenue_by_region": "revenue_by_region",

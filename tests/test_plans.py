@@ -6,7 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from ledgerline import operators as ops
-from ledgerline.plans import registry
+from ledgerline.plans import registry, views
 from ledgerline.sources import adapters as A
 
 from paths import SF_SMALL
@@ -41,6 +41,50 @@ def test_top_products_ranks_only_the_first_rows(spark):
     assert "TakeOrderedAndProject" in window
 
 
+def scans(df, table="lineitem", **conf):
+    """How often the plan without AQE reads a table (a reused exchange reads nothing again)."""
+    conf = {"spark.sql.adaptive.enabled": "false", **conf}
+    for k, v in conf.items():
+        df.sparkSession.conf.set(k, v)
+    try:
+        text = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            df.sparkSession.conf.unset(k)
+    return len(re.findall(rf"FileScan parquet [^\n]*{table}.parquet", text)), text
+
+
+def test_top_products_read_the_lines_once(spark):
+    for conf in ({}, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        n, text = scans(registry.q_top_products(spark, SF_SMALL), **conf)
+        assert n == 1 and "ReusedExchange" in text, text
+        assert scans(registry.queries()["tab_deep_dive_top_products"](spark, SF_SMALL), **conf)[0] == 1
+
+
+def test_tab_frames_start_from_one_pass(spark):
+    """Each frame reads the lines once; stored bases leave no scan of the tables in the frames."""
+    for name, fn in registry.queries().items():
+        if name.startswith("tab_overview") or name in ("tab_trends_mom_growth", "tab_trends_mom_growth_bars"):
+            assert scans(fn(spark, SF_SMALL))[0] == 1, name
+    sess = A.sessions(spark, SF_SMALL)
+    txn = A.transactions(spark, SF_SMALL)
+    store = views.in_folder(spark)
+    tabs = (views.overview(txn, sess, share=store), views.trends(txn, sess, share=store),
+            views.deep_dive(txn, A.inventory(spark, SF_SMALL), share=store))
+    for tab in tabs:
+        assert tab["_shared"]  # stored here: the only reads of the tables
+        for name, df in tab.items():
+            if name not in ("_shared", "kpis"):
+                assert scans(df)[0] == 0 and scans(df, "events")[0] == 0, name
+    assert scans(tabs[0]["kpis"])[0] == 0 and scans(tabs[0]["kpis"], "events")[0] == 1
+
+
+def test_levels_add_up_cells_not_lines(spark):
+    """The grouping sets run over (month, region, category) cells: the partial aggregate lies below the expand."""
+    text = registry.q_tab_overview_levels(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("Expand") < text.rindex("Aggregate")  # printed top-down
+
+
 def test_heatmap_is_one_aggregate(spark):
     assert exchanges(registry.q_activity_heatmap(spark, SF_SMALL)) == ["rangepartitioning", "hashpartitioning"]
 

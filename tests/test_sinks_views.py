@@ -162,14 +162,78 @@ def test_views_on_empty_quotes(spark, tmp_root):
 def test_views_share_intermediate_frames(spark):
     txn = A.transactions(spark, SF_SMALL)
     sess = A.sessions(spark, SF_SMALL)
-    for view in (views.overview(txn, sess, share=True), views.trends(txn, sess, share=True),
-                 views.quotes_view(A.quotes(spark, SF_SMALL), share=True)):
-        assert len(view["_shared"]) == 1 and view["_shared"][0].is_cached
+    for view, bases in ((views.overview(txn, sess, share=True), 1), (views.trends(txn, sess, share=True), 2),
+                        (views.quotes_view(A.quotes(spark, SF_SMALL), share=True), 1)):
+        assert len(view["_shared"]) == bases and all(df.is_cached for df in view["_shared"])
         for df in view["_shared"]:
             df.unpersist()
     assert views.overview(txn, sess)["_shared"] == []
 
 
+def test_tabs_give_the_same_rows_however_they_share(spark):
+    """As plans, persisted, and stored; against the operators over the filtered lines themselves."""
+    txn, sess, inv = A.transactions(spark, SF_SMALL), A.sessions(spark, SF_SMALL), A.inventory(spark, SF_SMALL)
+    f = ops.Filters(start_date="1995-03-01", region="EUROPE")
+    t, s = f.apply(txn, sess)
+    want = {"kpis": ops.kpi_summary(t, s), "revenue_over_time": ops.revenue_over_time(t),
+            "revenue_by_region": ops.revenue_by_region(t), "revenue_by_category": ops.revenue_by_category(t),
+            "heatmap": ops.activity_heatmap(s), "device_trend": ops.device_trend(s, "day"),
+            "mom_growth": ops.mom_growth(t), "discount_vs_revenue": ops.discount_vs_revenue(t),
+            "top_products": ops.top_products(t, 10)}
+    for share in (False, True, views.in_folder(spark)):
+        tabs = (views.overview(txn, sess, f, share=share), views.trends(txn, sess, f, grain="day", share=share),
+                views.deep_dive(txn, inv, f, share=share))
+        for tab in tabs:
+            for name in tab:
+                if name in want:
+                    assert tab[name].columns == want[name].columns
+                    assert sorted(map(repr, tab[name].collect())) == sorted(map(repr, want[name].collect())), name
+            for df in tab["_shared"]:
+                df.unpersist()
+
+
+def test_overview_of_nothing(spark):
+    txn, sess = A.transactions(spark, SF_SMALL), A.sessions(spark, SF_SMALL)
+    tab = views.overview(txn, sess, ops.Filters(region="nowhere"))
+    row = tab["kpis"].collect()[0]
+    assert (row.total_revenue, row.total_orders, row.avg_order_value, row.total_sessions) == (None, 0, None, 0)
+    assert all(tab[n].count() == 0 for n in ("revenue_over_time", "revenue_by_region", "category_share"))
+
+
+def test_null_keys_are_groups_of_a_level(spark):
+    rows = [("T1", "2024-01-02", None, "Books", "10.00", "5.0"), ("T2", None, "EU", None, "2.50", None),
+            ("T3", "2024-01-09", "EU", "Books", None, "1.0")]
+    txn = spark.createDataFrame(rows, "transaction_id string, date string, region string, category string, "
+                                      "revenue string, discount_pct string").selectExpr(
+        "transaction_id", "CAST(date AS DATE) AS date", "region", "category",
+        "CAST(revenue AS DECIMAL(18,2)) AS revenue", "CAST(discount_pct AS DECIMAL(5,1)) AS discount_pct")
+    got = {(r.level, r.year_month or r.region or r.category): (r.revenue and float(r.revenue), r.line_count)
+           for r in ops.revenue_levels(txn).collect()}
+    assert got == {("total", None): (12.5, 3), ("year_month", "2024-01"): (10.0, 2), ("year_month", None): (2.5, 1),
+                   ("region", None): (10.0, 1), ("region", "EU"): (2.5, 2), ("category", "Books"): (10.0, 2),
+                   ("category", None): (2.5, 1)}
+
+
+def test_persisted_frames_spill_and_are_released(spark):
+    """K5: memory with spill to disk, warmed by a full read, gone after unpersist."""
+    from pyspark import StorageLevel
+
+    frames = persist_tables({"inv": A.inventory(spark, SF_SMALL), "txn": A.transactions(spark, SF_SMALL, ["revenue"])},
+                            warm=["inv"])
+    assert all(df.storageLevel == StorageLevel.MEMORY_AND_DISK for df in frames.values())
+    tab = views.trends(A.transactions(spark, SF_SMALL), A.sessions(spark, SF_SMALL), share=True)
+    held = [*frames.values(), *tab["_shared"]]
+    assert all("InMemoryTableScan" in plan(df) for df in held)
+    for df in held:
+        df.unpersist(blocking=True)
+    assert all(not df.is_cached and df.storageLevel == StorageLevel.NONE for df in held)
+    assert "InMemoryTableScan" not in plan(A.inventory(spark, SF_SMALL))
+
+
+def plan(df):
+    return df.select("*")._jdf.queryExecution().executedPlan().toString()
+
+
 def test_scratch_space_lives_under_the_sessions_checkpoint_dir(spark):
     from ledgerline.session import ensure_checkpoint_dir, scratch_dir
     configured = spark.conf.get("spark.checkpoint.dir")
