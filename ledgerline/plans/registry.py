@@ -6,6 +6,7 @@ a lazy DataFrame.  Column names and types match the oracle SQL exactly.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -18,10 +19,10 @@ from ledgerline.functions.expressions import decimals_to_double, half_up, line_r
 from ledgerline.operators.filters import Filters
 from ledgerline.plans import oracle as O, views
 from ledgerline.session import scratch_dir
-from ledgerline.sinks.writers import write_csv, write_parquet
+from ledgerline.sinks.writers import register_quotes_table, write_csv, write_parquet
 from ledgerline.sources import adapters as A
-from ledgerline.sources.files import load_inventory, load_quotes, load_sessions, load_transactions
-from ledgerline.streaming.ingest import ingest_once, ingest_time, land_batch
+from ledgerline.sources.files import load_inventory, load_quotes, load_sessions, load_transactions, reject_counts
+from ledgerline.streaming.ingest import ingest_once, ingest_time, land_batch, poll_for
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +71,49 @@ def q_csv_inventory(spark, sf):
     return decimals_to_double(load_inventory(spark, path))
 
 
+def q_csv_rejects(spark, sf):
+    """Bad values per column of an inventory CSV some of whose numbers are spoilt."""
+    spoilt = A.inventory(spark, sf).select(
+        "product_id", "category",
+        F.expr("CASE WHEN health = 'Out of Stock' THEN 'none' ELSE CAST(stock_units AS STRING) END AS stock_units"),
+        F.expr("CASE WHEN reorder_level = 12 THEN '12.5' ELSE CAST(reorder_level AS STRING) END AS reorder_level"),
+        F.expr("CASE WHEN reorder_level < 13 THEN concat('$', unit_cost) ELSE CAST(unit_cost AS STRING) END AS unit_cost"),
+        "supplier", "health")
+    path = write_csv(spoilt, scratch_dir(spark, "rejects-csv"))
+    return reject_counts(load_inventory(spark, path, on_bad="null", bad_column="bad"), "bad")
+
+
+def q_quotes_poll(spark, sf):
+    """A polling run in a checkable form: all rows stored in paced batches, one stamp a batch, stopped cleanly."""
+    landing, table = scratch_dir(spark, "feed"), scratch_dir(spark, "quotes-history")
+    land_batch(A.raw_quotes(spark, sf).repartition(4), landing)
+    others = {q.id for q in spark.streams.active}
+    ran = poll_for(spark, landing, table, scratch_dir(spark, "ingest-ckpt"), seconds=0, poll_seconds=1,
+                   max_files_per_trigger=1)
+    stored = load_quotes(spark, table)
+    return stored.agg(
+        F.count(F.lit(1)).alias("rows"), (F.count(F.lit(1)) == F.lit(ran.rows)).alias("reported"),
+        (F.countDistinct("timestamp") == F.lit(len(ran.batches) - ran.empty)).alias("stamp_per_batch"),
+        F.lit(ran.paced(1)).alias("paced"),
+        F.lit({q.id for q in spark.streams.active} <= others).alias("stopped"))
+
+
+def q_quotes_catalog(spark, sf):
+    """The history as a catalog table: made before any data, read empty with all columns, then with the data."""
+    path = scratch_dir(spark, "quotes-catalog") + "/history"
+    name = "ledgerline_quotes_" + uuid.uuid4().hex
+    empty = register_quotes_table(spark, name, path)
+    rows_before, columns_before = empty.count(), len(empty.columns)
+    write_parquet(A.quotes(spark, sf), path, mode="append")
+    spark.catalog.refreshTable(name)
+    table = spark.table(name)
+    found = table.agg(F.lit("after").alias("phase"), F.lit(len(table.columns)).alias("columns"),
+                      F.count(F.lit(1)).alias("rows"), F.countDistinct("symbol").alias("symbols"))
+    spark.sql(f"DROP TABLE {name}")  # external: its files stay
+    first = spark.createDataFrame([("before", columns_before, rows_before, 0)], found.schema)
+    return first.unionByName(found)
+
+
 def q_quotes_scan(spark, sf):
     path = write_parquet(A.quotes(spark, sf), scratch_dir(spark, "quotes"))
     return load_quotes(spark, path)
@@ -376,6 +420,15 @@ QUERIES: tuple[Query, ...] = (
     Query("csv_transactions", q_csv_transactions, O.txn_sql(f"SELECT {_TXN_ROW}, year_month, month_num, year FROM txn")),
     Query("csv_sessions", q_csv_sessions, O.sess_sql(f"SELECT {_SESS_ROW} FROM sess")),
     Query("csv_inventory", q_csv_inventory, O.inv_sql(f"SELECT {_INV_ROW} FROM inv")),
+    Query("csv_rejects", q_csv_rejects, O.inv_sql("""
+SELECT 'stock_units' AS "column", count(*) AS rejects FROM inv WHERE health = 'Out of Stock' HAVING count(*) > 0
+UNION ALL SELECT 'reorder_level', count(*) FROM inv WHERE reorder_level = 12 HAVING count(*) > 0
+UNION ALL SELECT 'unit_cost', count(*) FROM inv WHERE reorder_level < 13 HAVING count(*) > 0""")),
+    Query("quotes_poll", q_quotes_poll, O.quotes_sql(
+        "SELECT count(*) AS rows, true AS reported, true AS stamp_per_batch, true AS paced, true AS stopped FROM quotes")),
+    Query("quotes_catalog", q_quotes_catalog, O.quotes_sql(
+        "SELECT 'before' AS phase, 8 AS columns, CAST(0 AS BIGINT) AS rows, CAST(0 AS BIGINT) AS symbols "
+        "UNION ALL SELECT 'after', 8, count(*), count(DISTINCT symbol) FROM quotes")),
     Query("quotes_scan", q_quotes_scan, O.quotes_sql(
         "SELECT id, symbol, name, priceUsd, marketCapUsd, volumeUsd24Hr, changePercent24Hr, timestamp FROM quotes")),
     Query("quotes_stream_ingest", q_quotes_stream_ingest, O.quotes_sql(_QUOTE_TYPED)),

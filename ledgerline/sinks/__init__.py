@@ -1,12 +1,12 @@
-"""Sinks: CSV/Parquet writers, write-if-absent, persistence."""
+"""Sinks: CSV/Parquet writers, sets written all or nothing, persistence."""
 
 from ledgerline.sinks.writers import (
+    current_set,
     persist_tables,
     register_quotes_table,
-    write_all_if_absent,
     write_csv,
     write_parquet,
+    write_set,
 )
 
-__all__ = ["persist_tables", "register_quotes_table", "write_all_if_absent", "write_csv",
-           "write_parquet"]
+__all__ = ["current_set", "persist_tables", "register_quotes_table", "write_csv", "write_parquet", "write_set"]

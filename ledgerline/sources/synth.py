@@ -187,13 +187,9 @@ def inventory(spark: SparkSession, n_products: int = N_PRODUCTS, seed: int = DEF
 def generate_all(spark: SparkSession, out_dir: str, force: bool = False, seed: int = DEFAULT_SEED,
                  n_transactions: int = N_TRANSACTIONS, n_sessions: int = N_SESSIONS,
                  n_products: int = N_PRODUCTS) -> dict[str, str]:
-    """Write the three tables as CSV folders under ``out_dir`` unless all exist (K4)."""
-    from ledgerline.sinks.writers import write_all_if_absent
-
-    root = out_dir.rstrip("/")
-    outputs = {
-        "transactions": (transactions(spark, n_transactions, seed), f"{root}/transactions"),
-        "sessions": (sessions(spark, n_sessions, seed), f"{root}/sessions"),
-        "inventory": (inventory(spark, n_products, seed), f"{root}/inventory"),
-    }
-    return write_all_if_absent(spark, outputs, force=force, fmt="csv")
+    """Write the three tables as one set of CSV folders under ``out_dir`` unless all exist (K4); their folders."""
+    from ledgerline.sinks.writers import write_set
+
+    frames = {"transactions": transactions(spark, n_transactions, seed), "sessions": sessions(spark, n_sessions, seed),
+              "inventory": inventory(spark, n_products, seed)}
+    return write_set(spark, out_dir, frames, force=force, fmt="csv")

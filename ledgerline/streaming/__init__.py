@@ -6,9 +6,9 @@ from ledgerline.streaming.ingest import (
     land_batch,
     read_feed,
     start_ingest,
-    stored_rows,
+    poll_for,
     typed_quotes,
 )
 
 __all__ = ["feed_rows", "ingest_once", "land_batch", "read_feed", "start_ingest",
-           "stored_rows", "typed_quotes"]
+           "poll_for", "typed_quotes"]

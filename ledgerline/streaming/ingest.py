@@ -11,12 +11,15 @@ duplicate rows.
 
 from __future__ import annotations
 
+import time
+from dataclasses import dataclass
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.functions.expressions import parse_number
-from ledgerline.sources.files import load_quotes
 from ledgerline.sources.schemas import (
     QUOTE_NUMBER_FIELDS,
     QUOTE_TEXT_FIELDS,
@@ -25,6 +28,7 @@ from ledgerline.sources.schemas import (
 )
 
 POLL_SECONDS = 10
+STORED = "stored"  # name of the count that every batch reports
 
 
 def feed_rows(docs: DataFrame) -> DataFrame:
@@ -92,7 +96,8 @@ def start_ingest(spark: SparkSession, landing_dir: str, table_path: str, checkpo
     ``poll_seconds`` until stopped.
     """
     typed = typed_quotes(feed_rows(read_feed(spark, landing_dir, max_files_per_trigger)))
-    writer = (typed.writeStream.format("parquet")
+    counted = typed.observe(STORED, F.count(F.lit(1)).alias("rows"))
+    writer = (counted.writeStream.format("parquet")
               .outputMode("append")
               .option("path", table_path)
               .option("checkpointLocation", checkpoint_dir))
@@ -103,31 +108,97 @@ def start_ingest(spark: SparkSession, landing_dir: str, table_path: str, checkpo
     return writer.start()
 
 
-def stored_rows(spark: SparkSession, table_path: str) -> int:
-    """Rows in all committed batches of the history table (0 if there is none yet); read from file footers."""
-    return load_quotes(spark, table_path).count()
+def note_batches(query: StreamingQuery, seen: dict[int, int]) -> dict[int, int]:
+    """Adds the rows that each of the query's recent batches stored, by batch number, to ``seen``.
+
+    The rows are counted by the batch itself (``Dataset.observe``), so nothing
+    is read back, and rows that others add to the table do not count.  A batch
+    that the sink had already committed before a restart is not run again and
+    counts 0.
+    """
+    for progress in query.recentProgress:
+        observed = progress.observedMetrics.get(STORED)
+        rows = observed["rows"] if observed is not None else 0
+        seen[progress.batchId] = max(seen.get(progress.batchId, 0), rows)
+    return seen
 
 
 def ingest_once(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_dir: str,
                 timeout_seconds: float | None = None,
                 max_files_per_trigger: int | None = None) -> int:
-    """Process everything landed so far, then stop; return the rows stored.
+    """Process everything landed so far, then stop; return the rows stored by this run.
 
     The caller treats 0 as failure (the reference exits with status 1 when a
     test batch stores nothing).  Running it again on the same checkpoint
     stores nothing twice.  ``max_files_per_trigger`` splits a large backlog
     into several bounded micro-batches.
     """
-    before = stored_rows(spark, table_path)
     query = start_ingest(spark, landing_dir, table_path, checkpoint_dir, available_now=True,
                          max_files_per_trigger=max_files_per_trigger)
+    until = None if timeout_seconds is None else time.monotonic() + timeout_seconds
+    seen: dict[int, int] = {}
     try:
-        finished = query.awaitTermination(timeout_seconds) if timeout_seconds else query.awaitTermination()
-        if finished is False:
-            raise TimeoutError("ingest did not finish in time")
-        if query.exception() is not None:
-            raise RuntimeError(str(query.exception()))
-        return stored_rows(spark, table_path) - before
+        # Far more often than the hundred batches that a query remembers can pass.
+        while not query.awaitTermination(0.5):
+            note_batches(query, seen)
+            if until is not None and time.monotonic() > until:
+                raise TimeoutError("ingest did not finish in time")
+        return sum(note_batches(query, seen).values())
     finally:
         if query.isActive:
             query.stop()
+
+
+@dataclass(frozen=True)
+class Polled:
+    """What a polling run did: rows per batch, and the trigger times as epoch seconds."""
+
+    batches: dict[int, int]
+    started: tuple[float, ...]
+
+    @property
+    def rows(self) -> int:
+        return sum(self.batches.values())
+
+    @property
+    def empty(self) -> int:
+        """Batches that stored nothing."""
+        return sum(1 for rows in self.batches.values() if rows == 0)
+
+    def paced(self, poll_seconds: float) -> bool:
+        """Whether batches began a poll apart; the second may follow the first, which starts at once, sooner."""
+        rest = self.started[1:]
+        return all(b - a > 0.9 * poll_seconds for a, b in zip(rest, rest[1:]))
+
+
+def poll_for(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_dir: str, seconds: float,
+             poll_seconds: int = POLL_SECONDS, max_files_per_trigger: int | None = None) -> Polled:
+    """Poll every ``poll_seconds`` for about ``seconds``, take in all that had landed by then, and stop cleanly.
+
+    A poll that finds nothing new starts no batch.  A failed batch raises.
+    """
+    query = start_ingest(spark, landing_dir, table_path, checkpoint_dir, poll_seconds=poll_seconds,
+                         max_files_per_trigger=max_files_per_trigger)
+    seen: dict[int, int] = {}
+    started: dict[int, float] = {}
+
+    def note():
+        note_batches(query, seen)
+        for p in query.recentProgress:
+            if p.numInputRows:
+                started.setdefault(p.batchId, _epoch(p.timestamp))
+
+    try:
+        until = time.monotonic() + seconds
+        while time.monotonic() < until and not query.awaitTermination(min(0.5, poll_seconds)):
+            note()
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    note()
+    ran = {b: n for b, n in seen.items() if b in started}
+    return Polled(ran, tuple(started[b] for b in sorted(started)))
+
+
+def _epoch(text: str) -> float:
+    return datetime.fromisoformat(text.replace("Z", "+00:00")).timestamp()

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from ledgerline import operators as ops
 from ledgerline.plans import views
-from ledgerline.sinks.writers import persist_tables, write_csv
+from ledgerline.sinks.writers import current_set, persist_tables, write_csv, write_set
 from ledgerline.sources import adapters as A
 from ledgerline.sources import synth
-from ledgerline.sources.files import is_finished, load_inventory, load_sessions, load_transactions
+from ledgerline.sources.files import (
+    is_finished, load_inventory, load_sessions, load_transactions, reject_counts,
+)
 
 from paths import SF_SMALL
 
@@ -57,23 +59,40 @@ def test_csv_columns_match_by_name_without_loss(spark, tmp_root):
     assert str(b.unit_cost) == "99999999999999999.500000" and b.stock_units is None and b.health is None
 
 
-def test_csv_money_that_does_not_fit_fails(spark, tmp_root):
-    for i, text in enumerate(("1.2345678", "abc")):
-        path = _file(tmp_root, f"bad{i}.csv", "product_id,category,stock_units,reorder_level,unit_cost,supplier,health",
-                     f"P1,Books,1,2,{text},S,")
-        with pytest.raises(Exception, match="unit_cost"):
-            load_inventory(spark, path).collect()
+INV_HEADER = "product_id,category,stock_units,reorder_level,unit_cost,supplier,health"
+
+
+def test_bad_csv_values_fail_by_default(spark, tmp_root):
+    """One rule for numbers and dates: text that is not exactly such a value names its column."""
+    lines = {"unit_cost": ("P1,Books,1,2,1.2345678,S,", "P1,Books,1,2,abc,S,"),
+             "stock_units": ("P1,Books,1.5,2,1,S,", "P1,Books,99999999999,2,1,S,", "P1,Books,x,2,1,S,")}
+    for column, bad in lines.items():
+        for i, line in enumerate(bad):
+            path = _file(tmp_root, f"{column}{i}.csv", INV_HEADER, line)
+            with pytest.raises(Exception, match=f"{column}: not"):
+                load_inventory(spark, path).collect()
+    path = _file(tmp_root, "sess.csv", "session_id,timestamp,user_id,device,page_views,session_duration_s,converted,"
+                 "region,hour,day_of_week", "S1,2023-02-30 00:00:00,U,Mobile,3,50,1,Europe,0,Sunday")
+    with pytest.raises(Exception, match="timestamp: not"):
+        load_sessions(spark, path).collect()
+    with pytest.raises(ValueError):
+        load_sessions(spark, path, on_bad="drop")
     path = _file(tmp_root, "missing.csv", "product_id,category", "P1,Books")
     with pytest.raises(Exception, match="stock_units"):
         load_inventory(spark, path).collect()
 
 
-def test_unfinished_output_counts_as_absent(spark, tmp_root):
-    out = f"{tmp_root}/raw"
-    for name in ("transactions", "sessions", "inventory"):
-        os.makedirs(f"{out}/{name}/_temporary")
-    paths = synth.generate_all(spark, out, n_transactions=50, n_sessions=50, n_products=5)
-    assert all(is_finished(spark, p) for p in paths.values())
+def test_bad_csv_values_are_kept_as_null_and_counted(spark, tmp_root):
+    path = _file(tmp_root, "inv.csv", INV_HEADER, "P1,Books,x,2,1.25,S,", "P2,Books,7,,abc,S,", 'P3,Books,"",2.5,1,S,',
+                 "P4,Books,x, ,1e3,S,ok")
+    rows = load_inventory(spark, path, on_bad="null", bad_column="bad")
+    got = {r.product_id: (r.stock_units, r.reorder_level, r.unit_cost and float(r.unit_cost), r.bad)
+           for r in rows.collect()}
+    assert got == {"P1": (None, 2, 1.25, ["stock_units"]), "P2": (7, None, None, ["unit_cost"]),
+                   "P3": (None, None, 1.0, ["reorder_level"]), "P4": (None, None, 1000.0, ["stock_units"])}
+    assert {r["column"]: r.rejects for r in reject_counts(rows, "bad").collect()} == \
+        {"stock_units": 2, "unit_cost": 1, "reorder_level": 1}
+    assert "bad" not in load_inventory(spark, path, on_bad="null").columns
 
 
 def test_scratch_needs_a_shared_folder_off_one_machine():
@@ -91,27 +110,60 @@ def test_scratch_needs_a_shared_folder_off_one_machine():
         session.scratch_dir(Cluster(), "x")
 
 
+def _sizes(n_transactions):
+    return dict(n_transactions=n_transactions, n_sessions=50, n_products=20)
+
+
 def test_generate_all_writes_only_when_needed(spark, tmp_root):
     out = f"{tmp_root}/raw"
-    paths = synth.generate_all(spark, out, n_transactions=500, n_sessions=500, n_products=50)
-    assert set(paths) == {"transactions", "sessions", "inventory"}
+    assert current_set(spark, out) == {}
+    paths = synth.generate_all(spark, out, **_sizes(500))
+    assert set(paths) == {"transactions", "sessions", "inventory"} and paths == current_set(spark, out)
     assert all(is_finished(spark, p) for p in paths.values())
-    stamp = os.path.getmtime(paths["transactions"])
-    synth.generate_all(spark, out, n_transactions=700, n_sessions=500, n_products=50)
-    assert os.path.getmtime(paths["transactions"]) == stamp  # all present: skipped
+    assert synth.generate_all(spark, out, **_sizes(700)) == paths  # all present: skipped
     assert load_transactions(spark, paths["transactions"]).count() == 500
-    synth.generate_all(spark, out, force=True, n_transactions=700, n_sessions=500, n_products=50)
-    assert load_transactions(spark, paths["transactions"]).count() == 700
+    new = synth.generate_all(spark, out, force=True, **_sizes(700))
+    assert load_transactions(spark, new["transactions"]).count() == 700
+    assert load_transactions(spark, paths["transactions"]).count() == 500  # readers of the set before are not cut off
+    synth.generate_all(spark, out, force=True, **_sizes(10))
+    assert len(os.listdir(f"{out}/_sets")) == 2  # but the one before that is gone
 
 
 def test_generate_all_rewrites_everything_when_one_is_missing(spark, tmp_root):
     out = f"{tmp_root}/raw"
-    synth.generate_all(spark, out, n_transactions=300, n_sessions=300, n_products=20)
-    assert not is_finished(spark, f"{out}/nothing-here")
-    os.rename(f"{out}/inventory", f"{out}/inventory-old")
-    synth.generate_all(spark, out, n_transactions=400, n_sessions=300, n_products=20)
-    assert load_transactions(spark, f"{out}/transactions").count() == 400
-    assert load_inventory(spark, f"{out}/inventory").count() == 20
+    paths = synth.generate_all(spark, out, **_sizes(300))
+    os.rename(f"{paths['inventory']}/_SUCCESS", f"{paths['inventory']}/_LOST")  # an unfinished table counts as absent
+    new = synth.generate_all(spark, out, **_sizes(400))
+    assert set(new.values()).isdisjoint(paths.values())
+    assert load_transactions(spark, new["transactions"]).count() == 400
+    assert load_inventory(spark, new["inventory"]).count() == 20
+
+
+def test_a_set_that_dies_half_way_is_never_seen(spark, tmp_root):
+    good = {"a": spark.range(3), "b": spark.range(4)}
+    bad = {"a": spark.range(30), "b": spark.range(40).select(F.raise_error(F.lit("killed")).alias("id"))}
+    first = f"{tmp_root}/first"
+    with pytest.raises(Exception, match="killed"):
+        write_set(spark, first, bad, fmt="parquet")
+    assert os.path.exists(f"{first}/_sets") and current_set(spark, first) == {}  # the first table was finished
+    assert {n: spark.read.parquet(p).count() for n, p in write_set(spark, first, good, fmt="parquet").items()} == \
+        {"a": 3, "b": 4}
+    paths = current_set(spark, first)
+    with pytest.raises(Exception, match="killed"):
+        write_set(spark, first, bad, force=True, fmt="parquet")
+    assert current_set(spark, first) == paths  # the old set, whole
+    assert {n: spark.read.parquet(p).count() for n, p in paths.items()} == {"a": 3, "b": 4}
+    again = write_set(spark, first, {"a": spark.range(5), "b": spark.range(6)}, force=True, fmt="parquet")
+    assert {n: spark.read.parquet(p).count() for n, p in current_set(spark, first).items()} == {"a": 5, "b": 6}
+    assert current_set(spark, first) == again
+    assert not [f for f in os.listdir(first) if f.startswith("_current.json.")]  # nothing left beside the manifest
+
+
+def test_a_set_asked_for_more_tables_is_written_anew(spark, tmp_root):
+    write_set(spark, tmp_root, {"a": spark.range(1)}, fmt="parquet")
+    assert set(write_set(spark, tmp_root, {"a": spark.range(2), "b": spark.range(2)}, fmt="parquet")) == {"a", "b"}
+    assert list(write_set(spark, tmp_root, {"b": spark.range(9)}, fmt="parquet")) == ["b"]
+    assert spark.read.parquet(current_set(spark, tmp_root)["b"]).count() == 2
 
 
 def test_persist_tables_warms_and_is_caller_owned(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.sources import adapters as A
 from ledgerline.sources.files import load_quotes
-from ledgerline.streaming.ingest import ingest_once, land_batch, start_ingest
+from ledgerline.streaming.ingest import ingest_once, land_batch, poll_for, start_ingest
 
 from paths import SF_SMALL
 
@@ -136,3 +136,88 @@ def test_backlog_in_bounded_batches_one_stamp_per_batch(spark, tmp_root):
         stamps.setdefault(r.symbol[1], set()).add(r.timestamp)  # file index -> stamps
     assert all(len(v) == 1 for v in stamps.values())  # both rows of a batch share one stamp
     assert len({next(iter(v)) for v in stamps.values()}) >= 2  # separate batches, separate stamps
+
+
+def _quote(symbol):
+    return {"id": symbol.lower(), "symbol": symbol, "priceUsd": "1"}
+
+
+def test_status_counts_only_the_runs_own_rows(spark, tmp_root):
+    """Two ingests side by side, and rows that someone else adds: each run reports what it stored itself."""
+    import threading
+
+    roots = [f"{tmp_root}/{i}" for i in range(2)]
+    for i, root in enumerate(roots):
+        for n in range(3):
+            _land_text(spark, f"{root}/landing/b{n}", [{"data": [_quote(f"S{k}") for k in range(5 + i)]}])
+    got = {}
+
+    def run(i):
+        root = roots[i]
+        got[i] = ingest_once(spark, f"{root}/landing", f"{root}/table", f"{root}/ckpt", 300, max_files_per_trigger=1)
+
+    threads = [threading.Thread(target=run, args=(i,)) for i in range(2)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert got == {0: 15, 1: 18}
+    # Another checkpoint on the same table: the sink takes its batch 0 for the one it has, stores nothing, and 0 is said.
+    _land_text(spark, f"{tmp_root}/late/b", [{"data": [_quote("X")]}])
+    assert ingest_once(spark, f"{tmp_root}/late", f"{roots[0]}/table", f"{tmp_root}/late-ckpt", 300) == 0
+    assert load_quotes(spark, f"{roots[0]}/table").count() == 15
+
+
+def test_status_reads_nothing_back(spark, tmp_root):
+    """The history is not read for the status: an unreadable old file does not matter."""
+    landing, table, ckpt = f"{tmp_root}/landing", f"{tmp_root}/table", f"{tmp_root}/ckpt"
+    _land_text(spark, f"{landing}/b1", [{"data": [_quote("A")]}])
+    assert ingest_once(spark, landing, table, ckpt, timeout_seconds=300) == 1
+    for name in os.listdir(table):
+        if name.endswith(".parquet"):
+            with open(f"{table}/{name}", "wb") as fh:
+                fh.write(b"spoilt")
+    _land_text(spark, f"{landing}/b2", [{"data": [_quote("B"), _quote("C")]}])
+    assert ingest_once(spark, landing, table, ckpt, timeout_seconds=300) == 2
+
+
+def test_polling_keeps_its_pace_and_stops_cleanly(spark, tmp_root):
+    landing, table, ckpt = f"{tmp_root}/landing", f"{tmp_root}/table", f"{tmp_root}/ckpt"
+    for i in range(3):
+        _land_text(spark, f"{landing}/b{i}", [{"data": [_quote(f"S{i}")] if i != 1 else []}])
+    before = {q.id for q in spark.streams.active}
+    ran = poll_for(spark, landing, table, ckpt, seconds=7, poll_seconds=2, max_files_per_trigger=1)
+    assert {q.id for q in spark.streams.active} <= before
+    assert ran.rows == 2 and len(ran.batches) == 3 and ran.empty == 1  # idle polls start no batch
+    assert len(ran.started) == 3 and ran.paced(2) and not ran.paced(60)
+    assert load_quotes(spark, table).select("timestamp").distinct().count() == 2  # one stamp a batch with rows
+    again = poll_for(spark, landing, table, ckpt, seconds=1, poll_seconds=1)
+    assert again.rows == 0 and not again.batches and load_quotes(spark, table).count() == 2
+
+
+def test_reader_stays_at_its_commit_while_batches_land(spark, tmp_root):
+    landing, table, ckpt = f"{tmp_root}/landing", f"{tmp_root}/table", f"{tmp_root}/ckpt"
+    _land_text(spark, f"{landing}/b1", [{"data": [_quote("A"), _quote("B")]}])
+    ingest_once(spark, landing, table, ckpt, timeout_seconds=300)
+    pinned = load_quotes(spark, table)
+    assert pinned.count() == 2
+    _land_text(spark, f"{landing}/b2", [{"data": [_quote("C"), _quote("D"), _quote("E")]}])
+    ingest_once(spark, landing, table, ckpt, timeout_seconds=300)
+    # A file that no commit names (a batch that died) is not seen either.
+    pinned.write.parquet(f"{tmp_root}/stray")
+    for name in os.listdir(f"{tmp_root}/stray"):
+        if name.endswith(".parquet"):
+            os.rename(f"{tmp_root}/stray/{name}", f"{table}/stray-{name}")
+    assert pinned.count() == 2 and sorted(r.symbol for r in pinned.collect()) == ["A", "B"]
+    assert load_quotes(spark, table).count() == 5
+
+
+def test_history_table_before_any_data(spark, tmp_root):
+    from ledgerline import operators as ops
+    from ledgerline.sinks.writers import register_quotes_table
+    name = "quotes_empty_" + os.path.basename(tmp_root).replace("-", "_")
+    df = register_quotes_table(spark, name, f"{tmp_root}/table")
+    assert df.count() == 0 and len(df.columns) == 8
+    assert ops.latest_snapshot(df).columns == ops.latest_snapshot(A.quotes(spark, SF_SMALL)).columns
+    assert register_quotes_table(spark, name, f"{tmp_root}/table").count() == 0  # a second time: as it is
+    spark.sql(f"DROP TABLE {name}")

@@ -27,7 +27,7 @@ MODES = {
     "local": {"spark.sql.adaptive.enabled": "false"},
     "scale": {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "8k"},
 }
-WRITES_ON_CALL = {"csv_transactions", "csv_sessions", "csv_inventory", "quotes_scan",
+WRITES_ON_CALL = {"csv_rejects", "quotes_poll", "quotes_catalog", "csv_transactions", "csv_sessions", "csv_inventory", "quotes_scan",
                   "quotes_stream_ingest", "quotes_ingest_stamp"}
 
 
