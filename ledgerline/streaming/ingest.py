@@ -166,9 +166,9 @@ class Polled:
         return sum(1 for rows in self.batches.values() if rows == 0)
 
     def paced(self, poll_seconds: float) -> bool:
-        """Whether batches began a poll apart; the second may follow the first, which starts at once, sooner."""
-        rest = self.started[1:]
-        return all(b - a > 0.9 * poll_seconds for a, b in zip(rest, rest[1:]))
+        """Whether at most one batch began in each poll interval (intervals begin at multiples of the poll time)."""
+        turns = [int((t + 0.02) // poll_seconds) for t in self.started]
+        return all(a < b for a, b in zip(turns, turns[1:]))
 
 
 def poll_for(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_dir: str, seconds: float,
