@@ -54,7 +54,7 @@ def blocks(rows: DataFrame, tokenizer: str) -> DataFrame:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        enc = encoder(file.value, "byte")
+        enc = encoder(file.value, "byte", ordinary=True)
         number = TaskContext.get().partitionId() << 32
         schema = pa.schema([(n, pa.int64() if n == "block" else pa.binary())
                             for n in (f.split()[0] for f in _BLOCK.split(", "))])
@@ -84,7 +84,7 @@ def _block(part, enc) -> dict:
     distinct, first, index = np.unique(hashes, return_index=True, return_inverse=True)
     raw = flat.tobytes()
     place = np.concatenate(spans)[first] if len(first) else np.zeros((0, 2), np.int64)
-    ids = enc.lookup(distinct, raw, place[:, 0], place[:, 1], np.ones(len(distinct), np.int64))
+    ids = enc.lookup([b" " + raw[a:b] for a, b in place.tolist()])
     trained = part.column(2).to_numpy(zero_copy_only=False).astype(bool)
     seen = np.bincount(index[np.repeat(trained, counts)], minlength=len(distinct))
     keys = part.column(0)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import words
-from ledgerline.llm.common import Scratch, pick, string_bytes, text_or_empty
+from ledgerline.llm.common import Scratch, pick, release_memory, shuffle_parts, string_bytes, text_or_empty
 from ledgerline.llm.graph import components, roots
 
 SHINGLE = 5
@@ -100,8 +100,19 @@ def shingle_batches(column, k: int):
         yield start, stop, values, sizes
 
 
+def set_sums(values: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Two independent 64-bit sums over each set."""
+    ends = np.cumsum(sizes)
+    out = []
+    for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F):
+        total = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(words.mix(values ^ np.uint64(salt)), out=total[1:])
+        out.append((total[ends] - total[ends - sizes]).view(np.int64))
+    return out
+
+
 def signatures(rows: DataFrame, *, k: int, bands: int, band_rows: int) -> DataFrame:
-    """``doc_id, text`` -> ``doc_id, n_shingles, sum1, sum2, bands`` (band keys as longs)."""
+    """``doc_id, text, mark`` -> ``doc_id, mark, n_shingles, sum1, sum2, bands`` (band keys as longs)."""
     slots = bands * band_rows
 
     def sign(batches):
@@ -116,23 +127,21 @@ def signatures(rows: DataFrame, *, k: int, bands: int, band_rows: int) -> DataFr
                     for r in range(band_rows):
                         key = words.mix(key * np.uint64(0xD6E8FEB86659FD93) + h[:, b * band_rows + r])
                     keys[:, b] = key
-                sums = []
-                for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F):
-                    total = np.zeros(len(values) + 1, np.uint64)
-                    np.cumsum(words.mix(values ^ np.uint64(salt)), out=total[1:])
-                    ends = np.cumsum(sizes)
-                    sums.append((total[ends] - total[ends - sizes]).view(np.int64))
+                sums = set_sums(values, sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, stop - start), pa.array(sizes, pa.int64()), pa.array(sums[0]),
-                     pa.array(sums[1]), pa.FixedSizeListArray.from_arrays(pa.array(keys.view(np.int64).ravel()), bands)
+                    [batch.column(0).slice(start, stop - start), batch.column(2).slice(start, stop - start),
+                     pa.array(sizes, pa.int64()), pa.array(sums[0]), pa.array(sums[1]),
+                     pa.FixedSizeListArray.from_arrays(pa.array(keys.view(np.int64).ravel()), bands)
                      .cast(pa.list_(pa.int64()))],
-                    names=["doc_id", "n_shingles", "sum1", "sum2", "bands"])
+                    names=["doc_id", "mark", "n_shingles", "sum1", "sum2", "bands"])
+        release_memory()
 
-    return rows.mapInArrow(sign, "doc_id bigint, n_shingles bigint, sum1 bigint, sum2 bigint, bands array<bigint>")
+    return rows.mapInArrow(sign, "doc_id bigint, mark bigint, n_shingles bigint, sum1 bigint, sum2 bigint, "
+                                 "bands array<bigint>")
 
 
 def shingle_table(rows: DataFrame, *, k: int) -> DataFrame:
-    """``doc_id, text`` -> ``doc_id, shingles`` (sorted distinct 64-bit hashes as binary)."""
+    """``doc_id, text`` -> ``doc_id, n_shingles, sum1, sum2, shingles`` (sorted distinct 64-bit hashes as binary)."""
 
     def build(batches):
         import pyarrow as pa
@@ -141,11 +150,14 @@ def shingle_table(rows: DataFrame, *, k: int) -> DataFrame:
             for start, stop, values, sizes in shingle_batches(batch.column(1), k):
                 ends = np.cumsum(sizes)
                 sets = [values[e - n: e].tobytes() for e, n in zip(ends, sizes)]
+                sums = set_sums(values, sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, stop - start), pa.array(sets, pa.binary())],
-                    names=["doc_id", "shingles"])
+                    [batch.column(0).slice(start, stop - start), pa.array(sizes, pa.int64()), pa.array(sums[0]),
+                     pa.array(sums[1]), pa.array(sets, pa.binary())],
+                    names=["doc_id", "n_shingles", "sum1", "sum2", "shingles"])
+        release_memory()
 
-    return rows.mapInArrow(build, "doc_id bigint, shingles binary")
+    return rows.mapInArrow(build, "doc_id bigint, n_shingles bigint, sum1 bigint, sum2 bigint, shingles binary")
 
 
 def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -223,44 +235,48 @@ def _verify_block(percent: int):
     return run
 
 
-def group_documents(docs: DataFrame, *, percent: int = 85, k: int = SHINGLE, bands: int = 20, band_rows: int = 6,
-                    block: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept``: one row per input row.
+KEY = ["sum1", "sum2", "n_shingles"]
 
-    Documents link when 100 * intersection >= ``percent`` * union of their
-    shingle sets, confirmed on full sets.  With ``bands`` of ``band_rows``
-    signature rows a pair at 0.85 similarity shares no band (and is missed)
-    with probability (1 - 0.85**6)**20 < 1e-4.
 
-    A text of fewer than ``k`` words is one shingle; a text without words, or
-    NULL, links with nothing.  Rows with NULL ids link with nothing and have a
-    NULL component.  Repeated rows of one id are one document with as many
-    rows.  Empty table: no rows.
+def group_rows(docs: DataFrame, *, percent: int = 85, k: int = SHINGLE, bands: int = 20, band_rows: int = 6,
+               block: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, mark, n_shingles, class, group, component_id``: one row per input row.
+
+    ``mark`` is a checksum of the text (``text_mark``); ``class`` numbers the
+    distinct shingle sets, ascending with their smallest id, and ``group`` is
+    the smallest class reachable.  Rows are told apart by id and set, so
+    several texts of one id are documents of their own.
     """
     scratch = Scratch(docs.sparkSession, "neardup")
-    rows = pick(docs, doc_id=id_col, text=text_col).withColumn("text", text_or_empty("text"))
+    rows = pick(docs, doc_id=id_col, text=text_col).select(
+        F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"),
+        text_mark("text").alias("mark"))
     signed = scratch.save(signatures(rows, k=k, bands=bands, band_rows=band_rows), "signed")
-    key = ["sum1", "sum2", "n_shingles"]
     usable = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = usable.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
-    in_bands = classes.select(F.col("rep").alias("member"), F.explode("bands").alias("bucket"))
+    classes = usable.groupBy(*KEY).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+    classes = scratch.save(
+        classes.repartitionByRange(shuffle_parts(docs.sparkSession), "rep", *KEY).sortWithinPartitions("rep", *KEY)
+        .withColumn("class", F.monotonically_increasing_id()), "classes")
+    in_bands = classes.select(F.col("class").alias("member"), F.explode("bands").alias("bucket"))
     buckets = in_bands.groupBy("bucket").agg(F.min("member").alias("centre"), F.count(F.lit(1)).alias("members"))
     buckets = buckets.filter("members > 1")
     placed = scratch.save(in_bands.join(buckets, "bucket"), "buckets")
 
-    # Every bucket's members against its smallest one.
-    stars = scratch.save(placed.filter("member != centre").select("centre", "member").distinct(), "stars")
-    wanted = stars.select(F.col("member").alias("doc_id")).union(stars.select("centre")).distinct()
-    sets = scratch.save(shingle_table(rows.join(wanted, "doc_id", "left_semi"), k=k)
-                        .dropDuplicates(["doc_id"]), "sets")
-    # A centre of many members is dealt to several tasks, each with the centre's own set.
-    many = stars.groupBy("centre").agg(F.count(F.lit(1)).alias("n"))
-    salted = (stars.join(many, "centre")
-              .withColumn("salt", F.when(F.col("n") > 512, F.pmod(F.xxhash64("member"), F.expr("(n + 255) div 256")))
-                          .otherwise(F.lit(0).cast("long"))).drop("n"))
+    # Every bucket's members against its smallest one.  The members of a large bucket are dealt to several
+    # tasks, each with the centre's own set.
+    stars = scratch.save(placed.filter("member != centre").groupBy("centre", "member")
+                         .agg(F.max("members").alias("n")), "stars")
+    wanted = stars.select(F.col("member").alias("class")).union(stars.select("centre")).distinct()
+    wanted = classes.join(wanted, "class", "left_semi").select("class", F.col("rep").alias("doc_id"), *KEY)
+    wanted = scratch.save(wanted, "wanted")
+    texts = rows.select("doc_id", "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    sets = scratch.save(shingle_table(texts, k=k).join(wanted, ["doc_id", *KEY]).select("class", "shingles")
+                        .dropDuplicates(["class"]), "sets")
+    salted = stars.withColumn("salt", F.when(F.col("n") > 512, F.pmod(F.xxhash64("member"), F.expr("(n + 255) div 256")))
+                              .otherwise(F.lit(0).cast("long"))).drop("n")
     asked = salted.select("centre", "salt", "member").union(
         salted.select("centre", "salt", F.col("centre").alias("member")).distinct())
-    links = scratch.save(asked.join(sets, F.col("member") == F.col("doc_id")).drop("doc_id")
+    links = scratch.save(asked.join(sets, F.col("member") == F.col("class")).drop("class")
                          .groupBy("centre", "salt").applyInArrow(_verify_star(percent), "u bigint, v bigint"), "links")
     groups = components(links, scratch)
 
@@ -281,15 +297,63 @@ def group_documents(docs: DataFrame, *, percent: int = 85, k: int = SHINGLE, ban
             .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
             .select("bucket", "low", "high", "member", "component", "block"))
     rest_links = scratch.save(
-        rest.join(sets, F.col("member") == F.col("doc_id")).drop("doc_id")
+        rest.join(sets, F.col("member") == F.col("class")).drop("class")
         .groupBy("bucket", "low", "high").applyInArrow(_verify_block(percent), "u bigint, v bigint"), "rest")
     groups = components(links.union(rest_links), scratch)
     scratch.drop(sets)
 
+    # Classes ascend with their smallest ids, so the smallest class of a group has the group's smallest id.
+    smallest = classes.select(F.col("class").alias("group"), F.col("rep").alias("component_id"))
     # Saved, so that the join's two sides are plain shuffles and a class of very many copies can be split.
-    reps = scratch.save(classes.select(*key, "rep").join(groups, F.col("rep") == F.col("node"), "left")
-                        .select(*key, F.coalesce("component", "rep").alias("component_id")), "classes")
-    grouped = usable.join(reps, key).select("doc_id", "n_shingles", "component_id")
+    found = scratch.save(classes.select(*KEY, "class").join(groups, F.col("class") == F.col("node"), "left")
+                         .select(*KEY, "class", F.coalesce("component", "class").alias("group"))
+                         .join(smallest, "group"), "grouped")
+    grouped = usable.join(found, KEY).select("doc_id", "mark", "n_shingles", "class", "group", "component_id")
+    none = F.lit(None).cast("long")
     alone = signed.filter("n_shingles = 0 OR doc_id IS NULL").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return grouped.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        "doc_id", "mark", "n_shingles", none.alias("class"), none.alias("group"), F.col("doc_id").alias("component_id"))
+    return grouped.union(alone)
+
+
+def text_mark(text_col: str):
+    """A checksum of a text, NULL like empty; with the id it tells rows apart."""
+    return F.xxhash64(text_or_empty(text_col))
+
+
+def group_documents(docs: DataFrame, *, percent: int = 85, k: int = SHINGLE, bands: int = 20, band_rows: int = 6,
+                    block: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept``: one row per input row.
+
+    Documents link when 100 * intersection >= ``percent`` * union of their
+    shingle sets, confirmed on full sets.  With ``bands`` of ``band_rows``
+    signature rows a pair at 0.85 similarity shares no band (and is missed)
+    with probability (1 - 0.85**6)**20 < 1e-4.
+
+    A text of fewer than ``k`` words is one shingle; a text without words, or
+    NULL, links with nothing.  Rows with NULL ids link with nothing and have a
+    NULL component.  Repeated rows of one id are one document with as many
+    rows; several texts of one id are documents of their own.  Equal sets tie
+    to the smallest id.  Of a very long text a task holds the word and shingle
+    hashes.  Empty table: no rows.  Extra columns are not read.
+    """
+    grouped = group_rows(docs, percent=percent, k=k, bands=bands, band_rows=band_rows, block=block, id_col=id_col,
+                         text_col=text_col)
+    return grouped.select("doc_id", "n_shingles", "component_id",
+                          F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def first_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """Whole rows of ``docs``, one of each group (``group_rows``): that of the smallest id.
+
+    Rows without an id stay; of texts without words one a (id, text) stays.
+    Of several texts of one id in a group one stays (by checksum), of those in
+    different groups one each.
+    """
+    grouped = group_rows(docs, id_col=id_col, text_col=text_col, **how).filter("doc_id IS NOT NULL")
+    firsts = (grouped.filter("class = group AND doc_id = component_id")
+              .groupBy("class").agg(F.min(F.struct("doc_id", "mark")).alias("k")).select("k.doc_id", "k.mark"))
+    keep = firsts.union(grouped.filter("class IS NULL").select("doc_id", "mark")).distinct()
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text_mark(docs[text_col]).alias("mark"),
+                       F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    kept = rows.filter("doc_id IS NOT NULL").join(keep, ["doc_id", "mark"], "left_semi").dropDuplicates(["doc_id", "mark"])
+    return kept.union(rows.filter("doc_id IS NULL")).select("row.*")

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Scratch, pick
+from ledgerline.llm.common import Scratch, pick, release_memory
 from ledgerline.llm.tokens import broadcast_file, encode_batch, encoder, tokenizer_path
 
 CAPACITY = 4096
@@ -57,6 +57,7 @@ def pieces(docs: DataFrame, *, tokenizer: str, capacity: int = CAPACITY, end_id:
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                              names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        release_memory()
 
     return rows.mapInArrow(cut, _PIECE)
 

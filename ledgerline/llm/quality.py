@@ -245,6 +245,17 @@ def training_labels(labels: DataFrame, *, id_col: str = "doc_id", label_col: str
             .agg((F.avg("label") >= 0.5).cast("int").alias("label")))
 
 
+def train_on_labelled(docs: DataFrame, labels: DataFrame, scratch: Scratch, *, id_col: str = "doc_id",
+                      text_col: str = "text") -> Discriminant:
+    """The model, from the features of the labelled training rows alone."""
+    rows = pick(docs, doc_id=id_col, text=text_col).withColumn("text", text_or_empty("text"))
+    marked = training_labels(labels)
+    x = scratch.save(features(rows.join(marked.select("doc_id"), "doc_id", "left_semi")), "features")
+    model = fit(x.join(marked, "doc_id"))
+    scratch.drop(x)
+    return model
+
+
 def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text"
           ) -> tuple[Discriminant, DataFrame]:
     """(model, saved ``doc_id, x`` of all documents)."""

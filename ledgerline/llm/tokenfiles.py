@@ -28,7 +28,8 @@ class WaveletMatrix:
     On each plane the sequence is stably parted into zeros and ones, and the
     next plane holds the next bit in that order.  ``planes`` are packed bits,
     ``zeros`` the zeros of each plane, ``ranks`` the ones before every
-    ``BLOCK`` bits.
+    ``BLOCK`` bits; all three are in the shard files.  A shard holds fewer
+    than 2**32 ids.
     """
 
     BLOCK = 512
@@ -44,20 +45,20 @@ class WaveletMatrix:
         for level in range(bits - 1, -1, -1):
             one = (now & now.dtype.type(1 << level)) != 0
             planes.append(np.packbits(one))
-            low = now[~one]
+            low = np.flatnonzero(~one)  # places, not masks: several times faster to gather by
             zeros.append(len(low))
-            now = np.concatenate([low, now[one]])
+            now = np.concatenate([now[low], now[np.flatnonzero(one)]])
         return cls(len(ids), planes, zeros)
 
     @property
     def ranks(self) -> list[np.ndarray]:
         if self._ranks is None:
+            step = self.BLOCK // 8
             self._ranks = []
             for plane in self.planes:
-                per = np.bitwise_count(plane).astype(np.int64)
-                step = self.BLOCK // 8
-                sums = np.add.reduceat(per, np.arange(0, len(per), step)) if len(per) else np.zeros(0, np.int64)
-                self._ranks.append(np.concatenate([[0], np.cumsum(sums)]))
+                per = np.bitwise_count(plane)
+                sums = np.add.reduceat(per, np.arange(0, len(per), step), dtype=np.int64)
+                self._ranks.append(np.concatenate([[0], np.cumsum(sums)]).astype("<u4"))
         return self._ranks
 
     def _bit(self, level: int, at: np.ndarray) -> np.ndarray:
@@ -67,7 +68,7 @@ class WaveletMatrix:
         """Ones before each place of a plane."""
         at = np.asarray(at, np.int64)
         block = at // self.BLOCK
-        out = self.ranks[level][block].copy()
+        out = self.ranks[level][block].astype(np.int64)
         plane = self.planes[level]
         first = block * (self.BLOCK // 8)
         whole = (at >> 3) - first
@@ -109,21 +110,38 @@ class WaveletMatrix:
     def count(self, symbol: int) -> int:
         return self.rank(symbol, self.n)
 
-    def occurrences(self, symbol: int) -> np.ndarray:
-        """All places of ``symbol``, ascending (select of every occurrence)."""
+    def _select(self, level: int, bit: int, k: np.ndarray) -> np.ndarray:
+        """Places of the k-th ones (or zeros) of a plane, from 0."""
+        ones = self.ranks[level].astype(np.int64)
+        before = ones if bit else np.arange(len(ones)) * self.BLOCK - ones
+        block = np.searchsorted(before, k, side="right") - 1
+        out = np.empty(len(k), np.int64)
+        step = self.BLOCK // 8
+        plane = np.concatenate([self.planes[level], np.zeros(-len(self.planes[level]) % step, np.uint8)])
+        rows = plane.reshape(-1, step)
+        for at in range(0, len(k), 4096):
+            own = block[at: at + 4096]
+            bits = np.unpackbits(rows[own], axis=1)
+            seen = np.cumsum(bits == bit, axis=1)
+            left = (k[at: at + 4096] - before[own])[:, None]
+            out[at: at + 4096] = own * self.BLOCK + (seen == left + 1).argmax(axis=1)
+        return out
+
+    def select(self, symbol: int, k) -> np.ndarray:
+        """Places of the k-th occurrences (from 0), by select from the last plane up."""
         low, high = self._range(symbol, 0, self.n)
-        at = np.arange(low, high)
+        k = np.atleast_1d(np.asarray(k, np.int64))
+        if len(k) and (k.min() < 0 or k.max() >= high - low):
+            raise IndexError(f"{symbol} occurs {high - low} times")
+        at = low + k
         for level in range(len(self.planes) - 1, -1, -1):
-            bits = np.unpackbits(self.planes[level], count=self.n)
-            if symbol >> (len(self.planes) - 1 - level) & 1:
-                at = np.flatnonzero(bits)[at - self.zeros[level]]
-            else:
-                at = np.flatnonzero(bits == 0)[at]
+            bit = symbol >> (len(self.planes) - 1 - level) & 1
+            at = self._select(level, bit, at - self.zeros[level] if bit else at)
         return at
 
-    def select(self, symbol: int, k: int) -> int:
-        """Place of the k-th occurrence (from 0)."""
-        return int(self.occurrences(symbol)[k])
+    def occurrences(self, symbol: int) -> np.ndarray:
+        """All places of ``symbol``, ascending."""
+        return self.select(symbol, np.arange(self.count(symbol)))
 
     def tokens(self) -> np.ndarray:
         """The whole sequence: planes undone from the last to the first."""
@@ -133,14 +151,14 @@ class WaveletMatrix:
             z = self.zeros[level]
             out[z:] |= out.dtype.type(1 << i)
             back = np.empty_like(out)
-            back[~one] = out[:z]
-            back[one] = out[z:]
+            back[np.flatnonzero(~one)] = out[:z]
+            back[np.flatnonzero(one)] = out[z:]
             out = back
         return out
 
 
-_SHARD = ("part int, shard int, n_tokens bigint, bits int, doc_ids binary, starts binary, "
-          "zeros binary, planes array<binary>")
+_SHARD = ("part int, shard int, n_tokens bigint, bits int, doc_ids binary, no_id binary, starts binary, "
+          "zeros binary, planes array<binary>, ranks array<binary>")
 
 
 def _in_id_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -177,7 +195,7 @@ def _partition() -> int:
 
 def write_wavelet(docs: DataFrame, path: str, *, tokenizer: str, end_id: int, shard_tokens: int = SHARD_TOKENS,
                   id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Writes one Parquet file per shard: planes, zero counts and the documents' places.
+    """Writes one Parquet file per shard: planes, zero and rank counts, and the documents' places.
 
     Shards follow ascending ids: by ``part``, then ``shard``.  A shard ends
     with the document that reaches ``shard_tokens``.
@@ -192,19 +210,20 @@ def write_wavelet(docs: DataFrame, path: str, *, tokenizer: str, end_id: int, sh
         end = np.array([end_id], "<u4").tobytes()
         part = _partition()
         schema = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("n_tokens", pa.int64()),
-                            ("bits", pa.int32()), ("doc_ids", pa.binary()), ("starts", pa.binary()),
-                            ("zeros", pa.binary()), ("planes", pa.list_(pa.binary()))])
+                            ("bits", pa.int32()), ("doc_ids", pa.binary()), ("no_id", pa.binary()),
+                            ("starts", pa.binary()), ("zeros", pa.binary()), ("planes", pa.list_(pa.binary())),
+                            ("ranks", pa.list_(pa.binary()))])
         for shard, (ids, parts) in enumerate(_streams(batches, enc, end, shard_tokens)):
             tokens = np.frombuffer(b"".join(parts), "<u4")
             bits = max(1, int(tokens.max()).bit_length())
             wm = WaveletMatrix.build(tokens, bits)
             starts = np.cumsum([0] + [len(p) // 4 for p in parts])
-            # A NULL id is written as the smallest long.
-            keys = np.array([i if i is not None else np.iinfo(np.int64).min for i in ids], "<i8")
+            none = np.array([i is None for i in ids])
+            keys = np.array([0 if i is None else i for i in ids], "<i8")
             yield pa.RecordBatch.from_pylist([{
                 "part": part, "shard": shard, "n_tokens": wm.n, "bits": bits, "doc_ids": keys.tobytes(),
-                "starts": starts.astype("<i8").tobytes(), "zeros": np.array(wm.zeros, "<i8").tobytes(),
-                "planes": [p.tobytes() for p in wm.planes]}], schema=schema)
+                "no_id": none.tobytes(), "starts": starts.astype("<i8").tobytes(), "zeros": np.array(wm.zeros, "<i8").tobytes(),
+                "planes": [p.tobytes() for p in wm.planes], "ranks": [r.tobytes() for r in wm.ranks]}], schema=schema)
 
     (_in_id_order(docs, id_col, text_col).mapInArrow(build, _SHARD)
      .write.option("maxRecordsPerFile", 1).option("compression", "zstd").parquet(path))
@@ -212,7 +231,8 @@ def write_wavelet(docs: DataFrame, path: str, *, tokenizer: str, end_id: int, sh
 
 def open_shard(row: dict) -> WaveletMatrix:
     return WaveletMatrix(row["n_tokens"], [np.frombuffer(p, np.uint8) for p in row["planes"]],
-                         np.frombuffer(row["zeros"], "<i8").tolist())
+                         np.frombuffer(row["zeros"], "<i8").tolist(),
+                         [np.frombuffer(r, "<u4") for r in row["ranks"]])
 
 
 def read_documents(spark, path: str) -> DataFrame:
@@ -231,7 +251,7 @@ def read_documents(spark, path: str) -> DataFrame:
                 crc = [zlib.crc32(tokens[a:b]) for a, b in zip(starts[:-1], starts[1:])]
                 n = len(keys)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64(), mask=keys == np.iinfo(np.int64).min),
+                    [pa.array(keys, pa.int64(), mask=np.frombuffer(row["no_id"], bool)),
                      pa.array(np.full(n, row["part"], np.int32)), pa.array(np.full(n, row["shard"], np.int32)),
                      pa.array(starts[:-1], pa.int64()), pa.array(np.diff(starts), pa.int64()),
                      pa.array(crc, pa.int64())],
@@ -261,9 +281,11 @@ def wavelet_documents(docs: DataFrame, *, tokenizer: str | None = None, end_id:
                       shard_tokens: int = SHARD_TOKENS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes the shard files of ``docs`` and returns what they hold per document.
 
-    NULL text: empty, its end id alone.  NULL ids come first.  Repeated rows
-    are written again.  Empty table: no shard, no rows.  Extra columns are not
-    read.
+    NULL text: empty, its end id alone.  NULL ids come first, rows of one id
+    by text.  Repeated rows are written again.  A string of a special token
+    inside a text gives that token, as in a plain library call.  A very long
+    text is encoded in parts cut between words and makes one shard.  Empty
+    table: no shard, no rows.  Extra columns are not read.
     """
     spark = docs.sparkSession
     path = Scratch(spark, "wavelet").path("shards")
@@ -307,7 +329,7 @@ def write_flat(docs: DataFrame, path: str, *, tokenizer: str, end_id: int, file_
 
         import pyarrow as pa
 
-        enc = encoder(file.value, "byte")
+        enc = encoder(file.value, "byte", ordinary=True)
         end = np.array([end_id], "<u4").tobytes()
         part = _partition()
         store, folder = shared_file(path)

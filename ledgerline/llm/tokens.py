@@ -7,12 +7,14 @@ Texts are cut into words by array operations, each distinct word is encoded
 by the library, and the ids are put together again by array operations.  Cuts
 are made only where the tokenizer itself always cuts; a text where that is
 not sure goes to the library whole.  A worker remembers the ids of the words
-it has met, by a 64-bit hash of their bytes.
+it has met, by their bytes.  Inside a block words are told apart by a hash,
+and every occurrence is compared with the word whose ids it gets.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 
 import numpy as np
@@ -21,11 +23,11 @@ from ledgerline.llm import words
 from ledgerline.llm.common import string_bytes
 
 CACHE_WORDS = 1_200_000  # words a worker remembers, in two halves; the older half goes when the newer is full
-SLICE_BYTES = 1 << 22
+CACHE_BYTES = 64       # longer words are not remembered
+SLICE_BYTES = 1 << 21  # texts are encoded in slices of about this size; longer ones are cut between words
 
-_ENCODERS: dict[tuple[str, str], "Encoder"] = {}
+_ENCODERS: dict[tuple[str, str, bool], "Encoder"] = {}
 
-LEADS = ("", " ", "\n")  # what stands before a word and goes with it
 _TAILS = b".,;:!?"
 _TAIL = np.zeros(256, np.int64)
 _TAIL[list(_TAILS)] = np.arange(1, len(_TAILS) + 1)
@@ -37,13 +39,21 @@ _OTHER_SPACE[[9, 11, 12, 13]] = True
 
 def _wide_space(flat: np.ndarray) -> np.ndarray:
     """Where a white-space character outside ASCII begins."""
-    after = np.append(flat[1:], 0)
-    third = np.append(flat[2:], [0, 0])[: len(flat)]
-    out = (flat == 0xC2) & ((after == 0x85) | (after == 0xA0))
-    out |= (flat == 0xE1) & (after == 0x9A) & (third == 0x80)
-    out |= (flat == 0xE2) & (after == 0x80) & ((third <= 0x8A) | (third == 0xA8) | (third == 0xA9) | (third == 0xAF))
-    out |= (flat == 0xE2) & (after == 0x81) & (third == 0x9F)
-    return out | (flat == 0xE3) & (after == 0x80) & (third == 0x80)
+    out = np.zeros(len(flat), bool)
+    at = np.flatnonzero((flat == 0xC2) | ((flat >= 0xE1) & (flat <= 0xE3)))  # few places need a closer look
+    if not len(at):
+        return out
+    last = len(flat) - 1
+    first = flat[at]
+    after = np.where(at < last, flat[np.minimum(at + 1, last)], 0)
+    third = np.where(at + 1 < last, flat[np.minimum(at + 2, last)], 0)
+    found = (first == 0xC2) & ((after == 0x85) | (after == 0xA0))
+    found |= (first == 0xE1) & (after == 0x9A) & (third == 0x80)
+    found |= (first == 0xE2) & (after == 0x80) & ((third <= 0x8A) | (third == 0xA8) | (third == 0xA9) | (third == 0xAF))
+    found |= (first == 0xE2) & (after == 0x81) & (third == 0x9F)
+    found |= (first == 0xE3) & (after == 0x80) & (third == 0x80)
+    out[at] = found
+    return out
 
 
 class Encoder:
@@ -54,17 +64,23 @@ class Encoder:
     to the library whole.  ``word`` files (white space dropped) treat each
     white-space-separated word by itself.  A closing mark after a letter or
     digit is a token of its own in both.
+
+    Strings of special tokens inside a text give these tokens, as in a plain
+    library call (such texts go to the library whole); with ``ordinary`` they
+    are ordinary text, so that no text can yield a special id.
     """
 
-    def __init__(self, file_text: str, kind: str):
+    def __init__(self, file_text: str, kind: str, ordinary: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_str(file_text)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._tokenizer.encode_special_tokens = ordinary
+        self._special = [] if ordinary else [
+            t["content"].encode() for t in json.loads(file_text).get("added_tokens", [])]
         self._kind = kind
-        self._cache: dict[int, bytes] = {}
-        self._older: dict[int, bytes] = {}
+        self._cache: dict[bytes, bytes] = {}
+        self._older: dict[bytes, bytes] = {}
         vocabulary = self._tokenizer.get_vocab()
         self._mark = np.zeros(max(vocabulary.values()) + 1, bool)
         self._mark[[i for piece, i in vocabulary.items()
@@ -94,13 +110,11 @@ class Encoder:
             out += [raw[x:y] for x, y in zip(cuts[:-1], cuts[1:])]
         return out
 
-    def lookup(self, keys: np.ndarray, raw: bytes, starts: np.ndarray, stops: np.ndarray, heads: np.ndarray
-               ) -> list[bytes]:
-        """Ids for distinct keys; key i stands for ``LEADS[heads[i]]`` and the bytes from ``starts`` to ``stops``."""
+    def lookup(self, names: list[bytes]) -> list[bytes]:
+        """Ids of distinct words, each with the space or line feed that goes with it."""
         if len(self._cache) > CACHE_WORDS // 2:
             self._older, self._cache = self._cache, {}
         cache, older = self._cache, self._older
-        names = keys.tolist()
         found = list(map(cache.get, names))
         missing = [i for i, v in enumerate(found) if v is None]
         if older and missing:
@@ -110,22 +124,19 @@ class Encoder:
             missing = [i for i in missing if found[i] is None]
         if not missing:
             return found
-        at = np.array(missing)
-        spans = zip(starts[at].tolist(), stops[at].tolist())
-        cores = [raw[x:y].decode("utf-8", "replace") for x, y in spans]
-        lead = heads[at].tolist()
-        spaced = 1 if self._kind == "byte" else 0
-        is_stem = [h == spaced and c.isalpha() for h, c in zip(lead, cores)]
-        pieces = [LEADS[h] + c if h else c for h, c in zip(lead, cores)]
+        pieces = [names[i].decode("utf-8", "replace") for i in missing]
+        if self._kind == "byte":
+            is_stem = [p[0] == " " and p[1:].isalpha() for p in pieces]
+        else:
+            is_stem = [p.isalpha() for p in pieces]
         for stem, encode, step in ((True, self._stems_ids, 1 << 16), (False, self._ids, 1 << 12)):
             own = [j for j, x in enumerate(is_stem) if x is stem]
             for k in range(0, len(own), step):
                 part = own[k: k + step]
-                texts = [pieces[j] for j in part]
-                for j, v, p in zip(part, encode(texts), texts):
+                for j, v in zip(part, encode([pieces[j] for j in part])):
                     i = missing[j]
                     found[i] = v
-                    if len(p) <= 256:
+                    if len(names[i]) <= CACHE_BYTES:
                         cache[names[i]] = v
         return found
 
@@ -152,9 +163,18 @@ class Encoder:
             lead = np.where(previous == 32, 1, np.where(previous == 10, 2, 0))
             keys = words.mix(keys + lead.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             slow = self._unsure(flat, offsets, starts, ends)
-        distinct, first, index = np.unique(keys, return_index=True, return_inverse=True)
-        heads = lead[first] if self._kind == "byte" else np.zeros(len(first), np.int64)
-        ids = self.lookup(distinct, flat.tobytes(), starts[first], stops[first], heads)
+        froms = starts - (lead > 0) if self._kind == "byte" else starts  # with the white space that goes with it
+        _, first, index = np.unique(keys, return_index=True, return_inverse=True)
+        same = words.same_bytes(flat, froms, stops, froms[first][index], stops[first][index])
+        if not same.all():  # words that only share a hash
+            slow[np.searchsorted(offsets, starts[~same], side="right") - 1] = True
+        raw = flat.tobytes()
+        for special in self._special:
+            at = raw.find(special)
+            while at >= 0:
+                slow[np.searchsorted(offsets, at, side="right") - 1] = True
+                at = raw.find(special, at + 1)
+        ids = self.lookup([raw[x:y] for x, y in zip(froms[first].tolist(), stops[first].tolist())])
         per = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         table = np.frombuffer(b"".join(ids), "<u4")
         place = np.cumsum(per) - per
@@ -200,11 +220,11 @@ class Encoder:
         return (odd[b] > odd[a]) | closing | ((space[b] - space[a]) != np.maximum(n_words - 1, 0) + opening)
 
 
-def encoder(file_text: str, kind: str) -> Encoder:
+def encoder(file_text: str, kind: str, ordinary: bool = False) -> Encoder:
     """The worker's encoder for this file (made once per worker process)."""
-    key = (hashlib.sha1(file_text.encode()).hexdigest(), kind)
+    key = (hashlib.sha1(file_text.encode()).hexdigest(), kind, ordinary)
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(file_text, kind)
+        _ENCODERS[key] = Encoder(file_text, kind, ordinary)
     return _ENCODERS[key]
 
 
@@ -220,13 +240,41 @@ def broadcast_file(spark, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
+_VISIBLE = np.zeros(256, bool)
+_VISIBLE[33:127] = True
+
+
+def safe_cuts(flat: np.ndarray, most: int) -> list[int]:
+    """Cuts of one text into parts of about ``most`` bytes that both kinds of tokenizers encode by themselves.
+
+    A cut lies before a single space between two visible ASCII characters,
+    where every tokenizer here begins a token.
+    """
+    cuts = [0]
+    at = most
+    while at < len(flat) - 1:
+        near = flat[at - 1: at + most + 1]
+        places = np.flatnonzero((near[1:-1] == 32) & _VISIBLE[near[:-2]] & _VISIBLE[near[2:]])
+        if len(places):
+            cuts.append(at + int(places[0]))
+            at = cuts[-1] + most
+        else:
+            at += most
+    return cuts + [len(flat)]
+
+
 def encode_batch(enc: Encoder, column):
     """(row, ids as bytes) of an Arrow string column, in slices of about ``SLICE_BYTES``; NULL is empty."""
     flat, offsets = string_bytes(column.fill_null(""))
     start, n = 0, len(offsets) - 1
     while start < n:
         stop = int(np.searchsorted(offsets, offsets[start] + SLICE_BYTES, side="right")) - 1
-        stop = min(n, max(stop, start + 1))
         base = offsets[start]
-        yield from enumerate(enc.encode(flat[base: offsets[stop]], offsets[start: stop + 1] - base), start)
-        start = stop
+        if stop > start:
+            yield from enumerate(enc.encode(flat[base: offsets[stop]], offsets[start: stop + 1] - base), start)
+            start = stop
+            continue
+        text = flat[base: offsets[start + 1]]
+        cuts = safe_cuts(text, SLICE_BYTES)
+        yield start, b"".join([enc.encode(text[a:b], np.array([0, b - a]))[0] for a, b in zip(cuts[:-1], cuts[1:])])
+        start += 1

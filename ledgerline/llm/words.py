@@ -6,27 +6,17 @@ a-z.  Hashes are 64 bits wide and depend on the word's bytes alone.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
-_BASE = 0x9E3779B97F4A7C15 | 1
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
-_POWERS: list[np.ndarray] = []
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n of the base and of its inverse modulo 2**64."""
-    if not _POWERS or len(_POWERS[0]) <= n:
-        size = max(n + 1, 1 << 16)
-        out = []
-        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            p = np.full(size, base, np.uint64)
-            p[0] = 1
-            out.append(np.cumprod(p, dtype=np.uint64))
-        _POWERS[:] = out
-    return _POWERS[0], _POWERS[1]
+LONG = 256  # bytes; longer words are hashed one by one
+PIECE_BYTES = 1 << 20  # a longer text is hashed in pieces cut at white space
+_KEEP = np.array([(1 << 8 * n) - 1 for n in range(8)] + [(1 << 64) - 1], np.uint64)  # the lowest n bytes
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -60,22 +50,82 @@ def word_spans(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, counts
 
 
+def _eights(flat: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on as one number (zeros after the end); a view of a padded copy."""
+    padded = np.zeros(len(flat) + 8, np.uint8)
+    padded[: len(flat)] = flat
+    return np.ndarray((len(flat) + 1,), "<u8", padded, strides=(1,))
+
+
 def span_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of the bytes of every span."""
+    """64-bit hash of the bytes of every span: its pieces of eight bytes, mixed in one after another."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    up, down = _powers(len(flat))
-    terms = flat.astype(np.uint64)
-    terms += np.uint64(1)
-    terms *= up[: len(flat)]
-    total = np.empty(len(flat) + 1, np.uint64)
-    total[0] = 0
-    np.cumsum(terms, out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts])
+    eights = _eights(flat)
+    size = ends - starts
+    h = size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    rest = np.minimum(size, 8)
+    h = mix(h ^ (eights[starts] & _KEEP[rest]))
+    going = np.flatnonzero((size > 8) & (size <= LONG))
+    at = 8
+    while len(going):
+        rest = np.minimum(size[going] - at, 8)
+        h[going] = mix(h[going] * np.uint64(0xD6E8FEB86659FD93) ^ (eights[starts[going] + at] & _KEEP[rest]))
+        at += 8
+        going = going[size[going] > at]
+    for i in np.flatnonzero(size > LONG).tolist():
+        digest = hashlib.blake2b(flat[starts[i]: ends[i]].tobytes(), digest_size=8).digest()
+        h[i] = int.from_bytes(digest, "little")
+    return h
+
+
+def same_bytes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, as_starts: np.ndarray, as_ends: np.ndarray
+               ) -> np.ndarray:
+    """Whether each span holds the same bytes as the span beside it."""
+    size = ends - starts
+    same = size == as_ends - as_starts
+    eights = _eights(flat)
+    going = np.flatnonzero(same & (size <= LONG))
+    at = 0
+    while len(going):
+        rest = np.minimum(size[going] - at, 8)
+        differ = ((eights[starts[going] + at] ^ eights[as_starts[going] + at]) & _KEEP[np.maximum(rest, 0)]) != 0
+        same[going[differ]] = False
+        at += 8
+        going = going[(size[going] > at) & ~differ]
+    for i in np.flatnonzero(same & (size > LONG)).tolist():
+        same[i] = np.array_equal(flat[starts[i]: ends[i]], flat[as_starts[i]: as_ends[i]])
+    return same
+
+
+def pieces(flat: np.ndarray, most: int) -> list[int]:
+    """Cuts of one text into pieces of about ``most`` bytes, at white space; only a single word may be longer."""
+    cuts = [0]
+    while len(flat) - cuts[-1] > most:
+        at = cuts[-1] + most
+        while at < len(flat):
+            gap = np.flatnonzero(_SPACE[flat[at: at + most]])
+            if len(gap):
+                at += int(gap[0])
+                break
+            at += most
+        if at >= len(flat):
+            break
+        cuts.append(at)
+    return cuts + [len(flat)]
 
 
 def word_hashes(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit hash of every lower-cased word, words per text)."""
+    if len(offsets) == 2 and len(flat) > PIECE_BYTES:  # one long text: only its hashes are held whole
+        cuts = pieces(flat, PIECE_BYTES)
+        found = []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            part = LOWER[flat[a:b]]
+            starts, ends, _ = word_spans(part, np.array([0, b - a]))
+            found.append(span_hashes(part, starts, ends))
+        hashes = np.concatenate(found)
+        return hashes, np.array([len(hashes)])
     starts, ends, counts = word_spans(flat, offsets)
     return span_hashes(LOWER[flat], starts, ends), counts
 

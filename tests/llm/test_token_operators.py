@@ -7,7 +7,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from llm.helpers import DOCS, SF, edge_docs, edge_rows, no_docs
-from ledgerline.llm import packing, queries, tokenfiles
+from ledgerline.llm import packing, queries, tokenfiles, tokens, words
+from ledgerline.llm.common import Scratch
 from ledgerline.llm.tokens import Encoder, encode_batch, tokenizer_path
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -17,20 +18,53 @@ ODD = ["", " ", "a  b", "x\n\ny", " lead", "\nlead", "trail ", "trail\n", "don't
        "日本語。 テスト", "a　b", "a b  c", "'s 's. t's", "\u0085 x", "word, Word. WORD! word", "a" * 5000]
 
 
-def whole(name, texts, end):
+def whole(name, texts, end, ordinary=False):
+    """Ids by plain library calls; ``ordinary``: special strings in a text are ordinary text."""
     t = tokenizers.Tokenizer.from_file(tokenizer_path(name))
-    t.encode_special_tokens = True
+    t.encode_special_tokens = ordinary
     return [np.array(e.ids + [end], "<u4") for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
 @pytest.mark.parametrize("name,kind", [("byte_bpe_50k.json", "byte"), ("word_bpe_49k.json", "word")])
 def test_pieces_give_the_ids_of_whole_texts(spark, name, kind):
     texts = ODD + [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    with open(tokenizer_path(name), encoding="utf-8") as f:
+        raw = f.read()
+    for ordinary in (False, True):
+        enc = Encoder(raw, kind, ordinary)
+        for _ in range(2):  # the second time from memory
+            got = [np.frombuffer(ids, "<u4").tolist() for _, ids in encode_batch(enc, pa.array(texts))]
+            assert got == [ids[:-1].tolist() for ids in whole(name, texts, 0, ordinary)]
+
+
+def morse(first, second, n):
+    """Two words that a polynomial hash modulo 2**64 can not tell apart, whatever its base."""
+    return "".join(first if bin(i).count("1") % 2 else second for i in range(n))
+
+
+@pytest.mark.parametrize("name,kind", [("byte_bpe_50k.json", "byte"), ("word_bpe_49k.json", "word")])
+def test_words_are_told_apart_by_their_bytes(name, kind, monkeypatch):
+    texts = [f"x {morse('a', 'b', 1024)} y", f"x {morse('b', 'a', 1024)} y", "one two", "two one three."]
+    with open(tokenizer_path(name), encoding="utf-8") as f:
+        raw = f.read()
+    want = [ids[:-1].tolist() for ids in whole(name, texts, 0)]
+    assert [np.frombuffer(x, "<u4").tolist() for _, x in encode_batch(Encoder(raw, kind), pa.array(texts))] == want
+    hashes, _ = words.word_hashes(np.frombuffer(" ".join(texts[:2]).encode(), np.uint8), np.array([0, 2057]))
+    assert len(set(hashes.tolist())) == 4
+    # Even a hash that takes all words for the same gives the right ids.
+    monkeypatch.setattr(words, "span_hashes", lambda flat, starts, ends: np.zeros(len(starts), np.uint64))
+    assert [np.frombuffer(x, "<u4").tolist() for _, x in encode_batch(Encoder(raw, kind), pa.array(texts))] == want
+
+
+@pytest.mark.parametrize("name,kind", [("byte_bpe_50k.json", "byte"), ("word_bpe_49k.json", "word")])
+def test_long_texts_are_cut_where_it_does_not_matter(name, kind, monkeypatch):
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 40)
+    texts = ["it's one two three " * 9, "a" * 200, "x  y \n z   " * 12, "日本語 の 文 です 。" * 8, "<|endoftext|> hi " * 9,
+             "no-space" * 20 + " end", "tail " * 30 + " ", "é è\u00a0 ü'll " * 12, "1 2 3 " * 20]
     with open(tokenizer_path(name), encoding="utf-8") as f:
         enc = Encoder(f.read(), kind)
-    for _ in range(2):  # the second time from memory
-        got = [np.frombuffer(ids, "<u4").tolist() for _, ids in encode_batch(enc, pa.array(texts))]
-        assert got == [ids[:-1].tolist() for ids in whole(name, texts, 0)]
+    got = [np.frombuffer(x, "<u4").tolist() for _, x in encode_batch(enc, pa.array(texts))]
+    assert got == [ids[:-1].tolist() for ids in whole(name, texts, 0)]
 
 
 def expected_places(rows, end):
@@ -62,7 +96,8 @@ def check_counts(rows, docs):
     for r in rows:
         assert r.start == at
         at += r.n_tokens
-    want = Counter((d, len(ids)) for (d, _), ids in zip(docs, whole("byte_bpe_50k.json", [t or "" for _, t in docs], 0)))
+    ids = whole("byte_bpe_50k.json", [t or "" for _, t in docs], 0, ordinary=True)
+    want = Counter((d, len(own)) for (d, _), own in zip(docs, ids))
     assert Counter((r.doc_id, r.n_tokens) for r in rows) == want
 
 
@@ -88,6 +123,8 @@ def test_wavelet_matrix_against_the_plain_array():
             own = np.flatnonzero(ids == symbol)
             assert wm.occurrences(symbol).tolist() == own.tolist() and wm.count(symbol) == len(own)
             assert wm.select(symbol, len(own) // 2) == own[len(own) // 2]
+            with pytest.raises(IndexError):
+                wm.select(symbol, len(own))
             stop = int(rng.integers(0, n + 1))
             assert wm.rank(symbol, stop) == int((ids[:stop] == symbol).sum())
 
@@ -165,6 +202,29 @@ def test_sum_of_squares_choices():
         assert level[b] <= capacity and cost(level) == min(options)
 
 
+def test_any_long_is_an_id_and_special_strings_are_tokens(spark):
+    rows = [(None, "none"), (-2**63, "least"), (2**63 - 1, "most <|endoftext|> x"), (0, "<|endoftext|>")]
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    queries.importable(spark)
+    assert places(tokenfiles.wavelet_documents(df)) == expected_places(rows, 2)
+    check_packing(packing.pack_documents(df, capacity=8).collect(), rows, 8)
+
+
+def test_shard_files_answer_queries(spark):
+    """Access, rank and select from a file as it was written."""
+    df = spark.createDataFrame([(1, "one two one two one", None, None, None)], DOCS)
+    queries.importable(spark)
+    path = Scratch(spark, "test").path("shards")
+    tokenfiles.write_wavelet(df, path, tokenizer=tokenizer_path("byte_bpe_50k.json"), end_id=2)
+    row = spark.read.parquet(path).collect()[0].asDict()
+    wm = tokenfiles.open_shard(row)
+    ids = whole("byte_bpe_50k.json", ["one two one two one"], 2)[0]
+    assert wm.access(np.arange(wm.n)).tolist() == ids.tolist() and wm.tokens().tolist() == ids.tolist()
+    two = int(ids[1])
+    assert wm.count(two) == 2 and wm.select(two, [0, 1]).tolist() == [1, 3] and wm.rank(two, 2) == 1
+    assert wm.count(7) == 0 and wm.occurrences(7).tolist() == []
+
+
 def test_documents_longer_than_a_shard(spark):
     long = " ".join(f"word{i}" for i in range(5000))
     df = spark.createDataFrame([(2, long, None, None, None), (1, "short", None, None, None)], DOCS)
