@@ -8,7 +8,6 @@ last return the columns of the documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerline.llm import mixing, neardup, packing, quality
 from ledgerline.llm.common import Scratch, documents, importable
@@ -18,21 +17,18 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Keeps the documents that the discriminant, fitted on the labelled training rows among them, predicts as good."""
     importable(spark)
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
-    scratch = Scratch(spark, "pipeline-quality")
-    model, features = quality.train(docs, labels, scratch)
-    scratch.drop(features)
+    model = quality.train_on_labelled(docs, labels, Scratch(spark, "pipeline-quality"))
     return docs.filter(quality.score_column(model) >= 0.5)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document (the smallest id) of each group of five-word-shingle similarity 0.8 or more.
 
-    Repeated rows of one id are one document; rows without an id stay.
+    Repeated rows of one id and text are one document, several texts of one id
+    are documents of their own; rows without an id stay.
     """
     importable(spark)
-    kept = neardup.group_documents(docs, percent=80, bands=24, band_rows=5).filter("kept").select("doc_id")
-    with_id = docs.join(kept.filter("doc_id IS NOT NULL").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return with_id.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    return neardup.first_documents(docs, percent=80, bands=24, band_rows=5)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
