@@ -25,14 +25,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import attention, words
-from ledgerline.llm.common import Scratch, crc_mod, pick, shuffle_parts, string_bytes, text_or_empty
+from ledgerline.llm.common import (
+    Scratch, crc_mod, pick, shuffle_parts, string_bytes, string_offsets, text_or_empty,
+)
 from ledgerline.llm.neardup import slices
 from ledgerline.llm.tokens import broadcast_file, encoder, tokenizer_path
 
 VOCABULARY = "byte_bpe_50k.json"
 IDS = 50257
 END = 50256           # also the start mark
-BLOCK_ROWS = 2048     # documents of a block
+BLOCK_ROWS = 2048     # documents of a block, at most
+BLOCK_BYTES = 1 << 24  # text bytes of a block, at most (one document at least)
+RANGE_WORDS = 1 << 20  # entries (distinct words of a block) of a hash range, about
 TOP, NEIGHBOURS = 2048, 64
 SINGLES, CLUSTERS = 12, 8   # classes: frequent ids alone; clusters of the ids that start a word, and of the others
 INPUTS = 16
@@ -59,10 +63,15 @@ def blocks(rows: DataFrame, tokenizer: str) -> DataFrame:
         schema = pa.schema([(n, pa.int64() if n == "block" else pa.binary())
                             for n in (f.split()[0] for f in _BLOCK.split(", "))])
         for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK_ROWS):
-                part = batch.slice(at, BLOCK_ROWS)
+            offsets = string_offsets(batch.column(1))
+            at = 0
+            while at < batch.num_rows:
+                fits = int(np.searchsorted(offsets, offsets[at] + BLOCK_BYTES, side="right")) - 1
+                stop = min(at + BLOCK_ROWS, max(fits, at + 1))
+                part = batch.slice(at, stop - at)
                 yield pa.RecordBatch.from_pylist([{"block": number, **_block(part, enc)}], schema=schema)
                 number += 1
+                at = stop
 
     return rows.mapInArrow(build, _BLOCK)
 
@@ -101,9 +110,11 @@ def _block(part, enc) -> dict:
 def word_totals(saved: DataFrame, scratch: Scratch) -> tuple[DataFrame, int, int]:
     """(``block, totals`` aligned with the block's words, training tokens N, distinct training tokens V without ends).
 
-    Words meet by hash range; a range holds about as many entries as a block.
+    Words meet by hash range; there are as many ranges as the entries counted
+    ask for, about ``RANGE_WORDS`` each.
     """
-    ranges = 4 * shuffle_parts(saved.sparkSession)
+    entries = (saved.agg(F.sum(F.length("train_counts"))).head()[0] or 0) // 8
+    ranges = max(4 * shuffle_parts(saved.sparkSession), -(-entries // RANGE_WORDS))
 
     def deal(batches):
         import pyarrow as pa
@@ -322,13 +333,14 @@ def classes_and_vectors(counts: np.ndarray, top: np.ndarray, pairs: np.ndarray,
     rng = np.random.default_rng(3)
     near = np.concatenate([pairs[:NEIGHBOURS, :TOP].T, pairs[:TOP, :NEIGHBOURS]], axis=1)
     rows = near[: len(top)] + 0.1
-    share = rows / rows.sum(axis=1, keepdims=True)
-    usual = rows.sum(axis=0) / rows.sum()
-    info = np.maximum(np.log(share / usual), 0) if len(top) else rows
-    basis = np.linalg.svd(info - info.mean(axis=0), full_matrices=False)[2] if len(top) else np.eye(near.shape[1])
     dims = INPUTS - 2
-    low = (info - info.mean(axis=0)) @ basis[:dims].T if len(top) else np.zeros((0, dims))
-    low = low / (low.std(axis=0) + 1e-9)
+    low = np.zeros((0, dims))
+    if len(top):
+        share = rows / rows.sum(axis=1, keepdims=True)
+        info = np.maximum(np.log(share / (rows.sum(axis=0) / rows.sum())), 0)
+        basis = np.linalg.svd(info - info.mean(axis=0), full_matrices=False)[2]
+        low = (info - info.mean(axis=0)) @ basis[:dims].T
+        low = low / (low.std(axis=0) + 1e-9)
     # Classes: the commonest ids and the end alone, then clusters, then two for all rarer ids.
     out = np.where(starts_word, 0, 1).astype(np.int64)
     at = 2
@@ -451,8 +463,10 @@ def score_documents(docs: DataFrame, *, tokenizer: str | None = None, id_col: st
     Scores are log10 probabilities of the whole text, its end included.
     Training documents are those whose crc32(id as text) modulo 5 is not 1.
     NULL text: empty, the end alone.  NULL ids are kept (as empty id text).
-    Repeated rows count and score each time.  No training tokens: base scores
-    come from the smoothing alone.  Empty table: no rows.
+    Repeated rows count and score each time; ties do not matter.  No training
+    tokens: base scores come from the smoothing alone.  A block of rows holds
+    up to ``BLOCK_BYTES`` of text; of a longer text a task holds all ids.
+    Empty table: no rows.  Extra columns are not read.
     """
     spark = docs.sparkSession
     tokenizer = tokenizer or tokenizer_path(VOCABULARY)

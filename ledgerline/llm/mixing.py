@@ -6,7 +6,10 @@ by weight.  Targets become whole blocks of ``block_words`` words: seats go to
 the sources with the highest quotients target / (2k + 1).  Seats are cut in
 quotient order into ``n_shards`` runs, which gives each shard whole quotas
 per source.  A source's documents, in seeded random order, form a ring of
-words; from a seeded block on, its quota of consecutive blocks is taken.
+words; from a seeded block on, each shard in turn takes its quota of
+consecutive blocks.  Last, a source gets the words by which its blocks fall
+short of its target, if these are fewer than a block, so that sources smaller
+than a block are not left out.
 """
 
 from __future__ import annotations
@@ -89,18 +92,20 @@ def quotas(sized: DataFrame, *, block_words: int, n_shards: int, max_repeats: in
 def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = 3, block_words: int = 16,
         n_shards: int = 8, seed: int = 29, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", cell_digits: int = 2) -> DataFrame:
-    """One row per input row: ``doc_id, source, size, source_size, target, taken, copies, weight, blocks``.
+    """One row per input row: ``doc_id, source, size, source_size, target, taken, copies, shards, weight, blocks``.
 
     ``taken`` counts the words the mix takes of the document, repeats
     included (never over ``max_repeats`` times its size); ``copies`` counts
     how often its first word is taken, which is the whole number of times to
-    write the document.  ``blocks`` is the quota of the source.
+    write the document, and ``shards`` names the shard of each copy: that in
+    whose quota its first word lies.  ``blocks`` is the quota of the source.
 
     NULL text: size 0, taken 0.  NULL source: a source of its own, last.
     NULL ids and repeated rows are kept; rows that tie in hash, id and size
     are equal but for their place in the ring.  Empty table: no rows.  Extra
-    columns are not read.  The windows over sources hold one row per source
-    (times shards), not documents.
+    columns are not read, and of a very long text only its words are counted.
+    The windows over sources hold one row per source (times shards), not
+    documents.
     """
     rows = pick(docs, id=id_col, source=source_col, text=text_col).select(
         "id", "source", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("stratum"),
@@ -114,7 +119,8 @@ def repeat_documents(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, max
                      block_words: int = 16, n_shards: int = 8, seed: int = 29, id_col: str = "doc_id",
                      text_col: str = "text", source_col: str = "source", cell_digits: int = 2) -> DataFrame:
     """The mix as documents: every row of ``docs``, all its columns, as many times as ``mix`` says (0 to
-    ``max_repeats``).  Documents without words are not taken.
+    ``max_repeats``).  Documents without words are not taken.  NULLs, ties and
+    repeated rows as in ``mix``; very long texts are only counted and carried.
     """
     rows = docs.select(docs[id_col].alias("id"), docs[source_col].alias("source"),
                        F.coalesce(F.concat(F.lit("s"), docs[source_col]), F.lit("n")).alias("stratum"),
@@ -132,14 +138,20 @@ def mix_sized(rows: DataFrame, *, weights, max_repeats, block_words, n_shards, s
     cells = rows.groupBy("stratum", "source", "cell").agg(F.sum("size").alias("cell_size"))
     sized = targets(cells.groupBy("stratum", "source").agg(F.sum("cell_size").alias("source_size")),
                     weights=weights, max_repeats=max_repeats)
+    # Per source: its blocks, and where each shard's run of them ends, counted from the first.
     blocks = (quotas(sized, block_words=block_words, n_shards=n_shards, max_repeats=max_repeats)
-              .groupBy("stratum").agg(F.sum("blocks").alias("blocks")))
+              .groupBy("stratum").agg(F.sum("blocks").alias("blocks"), F.sort_array(F.collect_list(
+                  F.struct("shard", (F.col("blocks_before") + F.col("blocks")).alias("upto")))).alias("runs")))
     first = F.conv(F.substring(seeded(seed, "stratum"), 1, 8), 16, 10).cast("long")
     plan = (sized.join(blocks, "stratum")
             .withColumn("ring_from", F.pmod(first, F.greatest(F.expr(f"source_size div {block_words}"), F.lit(1)))
                         * block_words)
-            .withColumn("ring_to", F.col("ring_from") + F.col("blocks") * block_words)
-            .select("stratum", "source_size", "target", "weight", "blocks", "ring_from", "ring_to"))
+            .withColumn("rest", F.greatest(F.lit(0), F.least(
+                F.lit(block_words - 1),
+                F.floor(F.col("target") + 1e-6).cast("long") - F.col("blocks") * block_words)))
+            .withColumn("ring_to", F.col("ring_from") + F.col("blocks") * block_words + F.col("rest"))
+            .withColumn("runs", F.expr(f"transform(runs, r -> ring_from + r.upto * {block_words})"))
+            .select("stratum", "source_size", "target", "weight", "blocks", "ring_from", "ring_to", "runs"))
     starts = (cells.withColumn("cell_start", F.sum("cell_size").over(
         Window.partitionBy("stratum").orderBy("cell")) - F.col("cell_size"))
         .select("stratum", "cell", "cell_start").join(plan, "stratum"))
@@ -156,5 +168,10 @@ def mix_sized(rows: DataFrame, *, weights, max_repeats, block_words, n_shards, s
 
     taken = (f"CASE WHEN size = 0 THEN 0L ELSE {covered('ring_to', 'size')} - ({covered('ring_from', 'size')}) END")
     copies = (f"CASE WHEN size = 0 THEN 0L ELSE {covered('ring_to', '1L')} - ({covered('ring_from', '1L')}) END")
-    return placed.withColumn("taken", F.expr(taken)).withColumn("copies", F.expr(copies)).drop(
-        "cell", "upto", "cell_start", "at", "ring_from", "ring_to", "h", "stratum")
+    # The k-th copy's first word on the unrolled ring; a run's end belongs to the next shard, the rest to the last.
+    first = "(at + CASE WHEN at < ring_from THEN source_size ELSE 0L END)"
+    shards = (f"CASE WHEN copies = 0 THEN array() ELSE transform(sequence(0L, copies - 1), k -> least({n_shards - 1}, "
+              f"CAST(size(filter(runs, e -> e <= {first} + k * source_size)) AS INT))) END")
+    return (placed.withColumn("taken", F.expr(taken)).withColumn("copies", F.expr(copies))
+            .withColumn("shards", F.expr(shards).cast("array<int>"))
+            .drop("cell", "upto", "cell_start", "at", "ring_from", "ring_to", "runs", "h", "stratum"))

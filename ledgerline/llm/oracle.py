@@ -54,8 +54,11 @@ SELECT doc_id, size, crc AS text_crc32, 'rows' AS law, CAST(place * {n_shards} /
 FROM placed"""
 
 
-def mixing(block: int = 16, seed: int = 29, most: int = 3) -> str:
-    """Targets by water level; one row per possible seat, the highest quotients win; ring arithmetic per document."""
+def mixing(block: int = 16, seed: int = 29, most: int = 3, n_shards: int = 8) -> str:
+    """Targets by water level; one row per possible seat, the highest quotients win; ring arithmetic per document.
+
+    A copy's shard: of the seats its source won, in turn, that which holds the copy's first word.
+    """
     def covered(ring: str, width: str) -> str:
         return f"({ring} // source_size) * {width} + least({width}, greatest(0, {ring} % source_size - begins))"
 
@@ -85,19 +88,26 @@ sized AS (
 seats AS (
   SELECT stratum, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, idx, k) AS turn
   FROM (SELECT stratum, idx, target, unnest(range({most} * source_size // {block})) AS k FROM sized)),
-won AS (
-  SELECT stratum, count(*) AS blocks FROM seats
-  WHERE turn <= (SELECT sum(source_size) // {block} FROM sources) GROUP BY stratum),
+counted AS (SELECT CAST(sum(source_size) // {block} AS BIGINT) AS n FROM sources),
+-- The first shard whose seats, of all in turn, reach a seat's turn.
+winners AS (
+  SELECT stratum, turn, (SELECT min(c) - 1 FROM range(1, {n_shards + 1}) cuts(c) WHERE turn <= n * c // {n_shards}) AS shard,
+         row_number() OVER (PARTITION BY stratum ORDER BY turn) - 1 AS place
+  FROM seats, counted WHERE turn <= n),
+won AS (SELECT stratum, count(*) AS blocks FROM winners GROUP BY stratum),
 plan AS (
-  SELECT sized.*, coalesce(blocks, 0) AS blocks,
-         ({_number(_seeded(seed, 'sized.stratum'))} % greatest(source_size // {block}, 1)) * {block} AS ring_from
-  FROM sized LEFT JOIN won USING (stratum)),
+  SELECT *, ring_from + blocks * {block}
+         + least({block - 1}, greatest(0, CAST(floor(target + 1e-6) AS BIGINT) - blocks * {block})) AS ring_to
+  FROM (SELECT sized.*, coalesce(blocks, 0) AS blocks,
+               ({_number(_seeded(seed, 'sized.stratum'))} % greatest(source_size // {block}, 1)) * {block} AS ring_from
+        FROM sized LEFT JOIN won USING (stratum)) p),
 placed AS (
-  SELECT d.doc_id, d.source, d.size, p.source_size, p.target, p.weight, p.blocks, p.ring_from,
-         p.ring_from + p.blocks * {block} AS ring_to,
+  SELECT d.doc_id, d.source, d.stratum, d.size, p.source_size, p.target, p.weight, p.blocks, p.ring_from, p.ring_to,
          sum(d.size) OVER (PARTITION BY d.stratum ORDER BY d.h, d.doc_id NULLS FIRST, d.size
                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS begins
   FROM docs d JOIN plan p USING (stratum))
-SELECT doc_id, source, size, source_size, target, weight, CAST(blocks AS BIGINT) AS blocks,
-       {share('size')} AS taken, {share('1')} AS copies
-FROM placed"""
+SELECT doc_id, source, size, source_size, target, weight, CAST(placed.blocks AS BIGINT) AS blocks,
+       {share('size')} AS taken, {share('1')} AS copies,
+       CAST(CASE WHEN {share('1')} = 0 THEN NULL ELSE coalesce(winners.shard, {n_shards - 1}) END AS INTEGER) AS first_shard
+FROM placed LEFT JOIN winners ON winners.stratum = placed.stratum AND winners.place =
+     (begins + CASE WHEN begins < ring_from THEN source_size ELSE 0 END - ring_from) // {block}"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.llm import (
     bpe, embeddings, fingerprints, lm, mixing, neardup, oracle, packing, quality, repair, resample, sharding,
@@ -46,7 +47,8 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(documents(spark, sf_dir))
+    mixed = mixing.mix(documents(spark, sf_dir))
+    return mixed.withColumn("first_shard", F.get("shards", F.lit(0))).drop("shards")
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

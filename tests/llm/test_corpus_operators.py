@@ -93,6 +93,38 @@ def test_mix_meets_targets(spark):
     assert [(r.size, r.target, r.taken) for r in empty] == [(0, 0.0, 0)] * 3
 
 
+def test_sources_below_a_block_are_taken(spark):
+    five, many = "a b c d e", " ".join(f"w{i}" for i in range(700))
+    alone = mixing.mix(spark.createDataFrame([(1, five, None, "s", None)], DOCS)).collect()
+    assert [(r.target, r.taken, r.copies, r.shards) for r in alone] == [(5.0, 5, 1, [7])]
+    rows = [(1, five, None, "a", None), (2, "one", None, "b", None), *[(i, many, None, "c", None) for i in range(3, 9)]]
+    got = mixing.mix(spark.createDataFrame(rows, DOCS)).collect()
+    for source, size in (("a", 5), ("b", 1)):  # weights 5 and 2 ask for far more than three times these
+        own, = [r for r in got if r.source == source]
+        assert (own.target, own.taken, own.copies, len(own.shards)) == (3.0 * size, 3 * size, 3, 3)
+    kept = mixing.repeat_documents(spark.createDataFrame(rows, DOCS)).collect()
+    assert Counter(r.doc_id for r in kept)[1] == 3
+
+
+def test_shards_follow_their_quotas(spark):
+    """Words of the copies that begin in a shard, against the shard's quota of blocks: at most a document off at each end."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = mixing.mix(docs, n_shards=4).collect()
+    sizes = {r.source: r.source_size for r in rows}
+    df = spark.createDataFrame([(f"s{s}" if s is not None else "n", s, n) for s, n in sizes.items()],
+                               "stratum string, source string, source_size bigint")
+    quota = {(r.stratum, r.shard): 16 * r.blocks for r in
+             mixing.quotas(mixing.targets(df), block_words=16, n_shards=4).collect()}
+    for source in sizes:
+        own = [r for r in rows if r.source == source]
+        longest = max(r.size for r in own)
+        name = f"s{source}" if source is not None else "n"
+        for shard in range(4):
+            got = sum(r.size for r in own for s in r.shards if s == shard)
+            assert abs(got - quota[name, shard]) <= 2 * longest + 16
+        assert all(len(r.shards) == r.copies for r in own)
+
+
 def test_quotas_are_sainte_lague_seats(spark):
     rng = np.random.default_rng(6)
     sizes = {f"s{i:02d}": int(n) for i, n in enumerate(rng.integers(1, 4000, 17))} | {"s17": 3, "s18": 0, None: 700}
@@ -321,8 +353,8 @@ def test_training_lowers_the_loss():
 
 
 def test_pipeline_stages_against_brute_force(spark, tmp_path):
-    import test_text_operators as text
-    import test_token_operators as tok
+    from llm import test_text_operators as text
+    from llm import test_token_operators as tok
 
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
