@@ -25,6 +25,7 @@ from ledgerline.llm.tokens import broadcast_file, encode_batch, encoder, tokeniz
 CAPACITY = 4096
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
+MEMORY = 700_000  # words a worker remembers
 
 _PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -42,7 +43,7 @@ def pieces(docs: DataFrame, *, tokenizer: str, capacity: int = CAPACITY, end_id:
     def cut(batches):
         import pyarrow as pa
 
-        enc = encoder(file.value, "word")
+        enc = encoder(file.value, "word", memory=MEMORY)
         end = np.array([end_id], "<u4").tobytes()
         width = 4 * capacity
         for batch in batches:
@@ -158,7 +159,12 @@ def pack(parts: DataFrame, scratch: Scratch, *, capacity: int = CAPACITY, group_
 
 def pack_documents(docs: DataFrame, *, tokenizer: str | None = None, capacity: int = CAPACITY,
                    end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Whole documents as pieces in sequences: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
+    """Whole documents as pieces in sequences: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
+
+    NULL text: empty, its end id alone; NULL ids, repeated rows and ties are
+    kept and packed each by itself.  A very long text is encoded in parts cut
+    between words.  Empty table: no rows.  Extra columns are not read.
+    """
     scratch = Scratch(docs.sparkSession, "packing")
     found = pieces(docs, tokenizer=tokenizer or tokenizer_path(VOCABULARY), capacity=capacity, end_id=end_id,
                    id_col=id_col, text_col=text_col)

@@ -70,7 +70,7 @@ class Encoder:
     are ordinary text, so that no text can yield a special id.
     """
 
-    def __init__(self, file_text: str, kind: str, ordinary: bool = False):
+    def __init__(self, file_text: str, kind: str, ordinary: bool = False, memory: int = CACHE_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -79,6 +79,7 @@ class Encoder:
         self._special = [] if ordinary else [
             t["content"].encode() for t in json.loads(file_text).get("added_tokens", [])]
         self._kind = kind
+        self._half = memory // 2
         self._cache: dict[bytes, bytes] = {}
         self._older: dict[bytes, bytes] = {}
         vocabulary = self._tokenizer.get_vocab()
@@ -110,9 +111,39 @@ class Encoder:
             out += [raw[x:y] for x, y in zip(cuts[:-1], cuts[1:])]
         return out
 
+    def _how(self, piece: str) -> int:
+        """How a word can be encoded: 0 by its letters, 1 beside others, 2 alone."""
+        core = piece[1:] if self._kind == "byte" else piece
+        if self._kind == "byte" and piece[0] != " ":
+            return 2
+        if core.isalpha():
+            return 0
+        return 1 if "!" <= core[:1] <= "~" and "!" <= core[-1:] <= "~" and len(core) <= CACHE_BYTES else 2
+
+    def _joined_ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of words that begin and end with visible ASCII characters, many in one call, cut by the ids' places.
+
+        Such words are encoded by themselves wherever a single space stands before them.
+        """
+        out: list[bytes] = []
+        between = "" if self._kind == "byte" else " "
+        lines = [pieces[i: i + 256] for i in range(0, len(pieces), 256)]
+        done = self._tokenizer.encode_batch([between.join(x) for x in lines], add_special_tokens=False)
+        for line, e in zip(lines, done):
+            ids = np.array(e.ids, "<u4")
+            places = np.fromiter((a for a, _ in e.offsets), np.int64, len(ids))
+            size = np.fromiter(map(len, line), np.int64, len(line)) + len(between)
+            cuts = np.searchsorted(places, np.concatenate([[0], np.cumsum(size)]))
+            if not len(ids) or (np.diff(places) < 0).any() or (np.diff(cuts) <= 0).any():
+                out += self._ids(line)
+                continue
+            raw, cuts = ids.tobytes(), (4 * cuts).tolist()
+            out += [raw[x:y] for x, y in zip(cuts[:-1], cuts[1:])]
+        return out
+
     def lookup(self, names: list[bytes]) -> list[bytes]:
         """Ids of distinct words, each with the space or line feed that goes with it."""
-        if len(self._cache) > CACHE_WORDS // 2:
+        if len(self._cache) > self._half:
             self._older, self._cache = self._cache, {}
         cache, older = self._cache, self._older
         found = list(map(cache.get, names))
@@ -125,12 +156,10 @@ class Encoder:
         if not missing:
             return found
         pieces = [names[i].decode("utf-8", "replace") for i in missing]
-        if self._kind == "byte":
-            is_stem = [p[0] == " " and p[1:].isalpha() for p in pieces]
-        else:
-            is_stem = [p.isalpha() for p in pieces]
-        for stem, encode, step in ((True, self._stems_ids, 1 << 16), (False, self._ids, 1 << 12)):
-            own = [j for j, x in enumerate(is_stem) if x is stem]
+        kinds = [self._how(p) for p in pieces]
+        for how, (encode, step) in enumerate(((self._stems_ids, 1 << 16), (self._joined_ids, 1 << 14),
+                                              (self._ids, 1 << 12))):
+            own = [j for j, x in enumerate(kinds) if x == how]
             for k in range(0, len(own), step):
                 part = own[k: k + step]
                 for j, v in zip(part, encode([pieces[j] for j in part])):
@@ -220,11 +249,11 @@ class Encoder:
         return (odd[b] > odd[a]) | closing | ((space[b] - space[a]) != np.maximum(n_words - 1, 0) + opening)
 
 
-def encoder(file_text: str, kind: str, ordinary: bool = False) -> Encoder:
-    """The worker's encoder for this file (made once per worker process)."""
+def encoder(file_text: str, kind: str, ordinary: bool = False, memory: int = CACHE_WORDS) -> Encoder:
+    """The worker's encoder for this file (made once per worker process), which remembers ``memory`` words."""
     key = (hashlib.sha1(file_text.encode()).hexdigest(), kind, ordinary)
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(file_text, kind, ordinary)
+        _ENCODERS[key] = Encoder(file_text, kind, ordinary, memory)
     return _ENCODERS[key]
 
 
