@@ -387,6 +387,16 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
         Counter((r.doc_id, r.piece, r.ids_crc32) for r in packed)
 
 
+def test_two_texts_of_one_id_both_stay(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, base, None, "a", None), (1, "another text of the same id " * 3, None, "a", None),
+            (2, base + " end", None, "a", None), (2, base, None, "b", None), (3, "", None, "a", None),
+            (3, "", None, "a", None), (1, base, None, "a", None), (None, base, None, "a", None)]
+    df = spark.createDataFrame(rows, DOCS)
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, df, SF).collect())
+    assert got == Counter([(1, base), (1, rows[1][1]), (3, ""), (None, base)])
+
+
 def test_pipeline_on_edge_rows(spark):
     docs = edge_docs(spark, clash=True)
     for name, stage in corpus_pipeline.STAGES[1:]:
