@@ -1,86 +1,103 @@
 """Document fingerprints by winnowing (DataFrame operations only).
 
-A text's words (A-Z as a-z) give rolling hashes of every ``k`` consecutive
-words; from every ``window`` consecutive hashes the smallest is kept, the
-rightmost one on ties, with its position.  Any passage of
-``k + window - 1`` words that two texts share therefore leaves the same hash
-in both fingerprints.
-
-The minimum over a window is built by doubling: the minimum over 2, 4, 8 ...
-positions, then two overlapping spans.  Hash and position travel in one long
-(hash above, reversed position below), so ``least`` is also the tie rule.
+A text's words (lower-cased) are hashed once each; from these come rolling
+hashes of every ``k`` consecutive words; from every ``window`` consecutive
+hashes the smallest is kept, the rightmost one on ties, with its position.
+Any passage of ``k + window - 1`` words that two texts share therefore leaves
+the same hash in both fingerprints.
+
+The rolling hash is the cyclic polynomial: a run's hash is its words' hashes,
+each rotated by the number of words after it, joined by xor.  The hash of a
+run so follows from those of its two parts, and runs of 2, 4, 8 ... words are
+built from one another for all places at once, whatever ``k``.  The minimum
+over a window is built by the same doubling, on the places of the hashes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import pick, range_bounds, range_number, shuffle_parts, text_or_empty
 
 K = 5
 WINDOW = 8
-POSITION_BITS = 26  # 67 million words a text; a longer one raises an error
+
+
+def _rotated(x: str, by: int) -> str:
+    """SQL: the long ``x`` rotated left."""
+    by %= 64
+    return f"(shiftleft({x}, {by}) | shiftrightunsigned({x}, {64 - by}))" if by else x
+
+
+def _with_rolling(df: DataFrame, words: str, out: str, k: int) -> DataFrame:
+    """Adds ``out``: the hash of the ``k`` words from every place of ``words`` on (too near the end: NULL)."""
+    power, spare = f"{out}_p", f"{out}_s"
+    df = df.withColumn(power, F.col(words))
+    length, done = 1, 0  # words in a run of ``power``; words in a run of ``out`` so far
+    while True:
+        if k & length:
+            if done:  # the words of ``out``, then a run of ``power`` after them
+                df = df.withColumn(spare, F.expr(
+                    f"zip_with({out}, slice({power}, {done + 1}, size({power})), (x, y) -> {_rotated('x', length)} ^ y)"))
+                df = df.drop(out).withColumnRenamed(spare, out)
+            else:
+                df = df.withColumn(out, F.col(power))
+            done += length
+        if done == k:
+            return df.drop(power)
+        df = df.withColumn(power, F.expr(
+            f"transform({power}, (x, i) -> {_rotated('x', length)} ^ get({power}, i + {length}))"))
+        length *= 2
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str, *, k: int = K, window: int = WINDOW) -> DataFrame:
-    """Adds ``out``: the kept (hash, position) pairs of ``text`` as an array of packed longs, by position.
+    """Adds ``out``: the kept hashes of ``text`` and their word positions, two arrays of one struct, by position.
 
     A text of fewer than ``k`` words has its whole sequence as its only hash;
     a text without words has an empty fingerprint, a NULL text counts as
-    empty.
+    empty.  Texts of any length are taken whole.
     """
     w, g, m = f"__{out}_w", f"__{out}_g", f"__{out}_m"
-    mask = (1 << POSITION_BITS) - 1
-    limit = 1 << POSITION_BITS
-    # No lambda of one array looks into itself: each step adds one column.
+    # An array that a lambda looks into stands twice in its step, or the optimizer would put the array's own
+    # expression into the lambda and work it out again for every element.
     out_df = df.withColumn(w, F.transform(F.filter(
         F.split(F.lower(text_or_empty(text)), r"[\x20\x09-\x0D]+"), lambda x: x != ""), lambda x: F.xxhash64(x)))
-    grams = ", ".join(f"element_at({w}, i + {j})" for j in range(k))
+    out_df = _with_rolling(out_df, w, g, k)
     out_df = out_df.withColumn(g, F.expr(
-        f"CASE WHEN size({w}) = 0 THEN array()"
-        f" WHEN size({w}) < {k} THEN array(xxhash64({w}))"
-        f" WHEN size({w}) >= {limit} THEN CAST(raise_error('text has too many words') AS array<bigint>)"
-        f" ELSE transform(sequence(1, size({w}) - {k - 1}), i -> xxhash64({grams})) END"))
-    # Packed: the hash's upper bits, then the position counted from the end, so that least() takes the rightmost.
-    out_df = out_df.withColumn(m, F.expr(
-        f"transform({g}, (x, i) -> (shiftleft(shiftright(x, {POSITION_BITS}), {POSITION_BITS}) | ({mask} - i)))"))
+        f"CASE WHEN size({w}) = 0 THEN array() WHEN size({w}) < {k} THEN array(xxhash64({w}))"
+        f" ELSE slice({g}, 1, greatest(1, size({w}) - {k - 1})) END"))
+    # Place of each window's smallest hash; a later place wins a tie; beyond the end there is nothing to win.
+    out_df = out_df.withColumn(m, F.expr(f"transform({g}, (x, i) -> i)"))
     span = 1
-    while span * 2 <= window:
-        out_df = out_df.withColumn(m, _min_with_shift(m, span))
-        span *= 2
-    if span < window:
-        out_df = out_df.withColumn(m, _min_with_shift(m, window - span))
+    while span < window:
+        shift = min(span, window - span)
+        later = f"get({m}, i + {shift})"
+        out_df = out_df.withColumn(m, F.expr(
+            f"transform({m}, (p, i) -> if(get({g}, {later}) <= get({g}, p), {later}, p))"))
+        span += shift
     # Short texts: fewer hashes than a window give the one minimum of all.
-    full = f"size({g}) - {window - 1}"
+    out_df = out_df.withColumn(m, F.expr(
+        f"array_distinct(slice({m}, 1, greatest(1, size({g}) - {window - 1})))"))
     out_df = out_df.withColumn(out, F.expr(
-        f"CASE WHEN size({g}) = 0 THEN CAST(array() AS array<bigint>)"
-        f" ELSE array_distinct(slice({m}, 1, greatest(1, {full}))) END"))
+        f"named_struct('hashes', transform({m}, p -> get({g}, p)), 'positions', {m})"))
     return out_df.drop(w, g, m)
 
 
-def _min_with_shift(column: str, shift: int) -> Column:
-    """Each element's minimum with the one ``shift`` places on (itself beyond the end)."""
-    return F.expr(f"transform({column}, (x, i) -> least(x, coalesce(get({column}, i + {shift}), x)))")
-
-
 def hashes(fingerprint: str) -> str:
-    """SQL: the distinct hashes of a packed fingerprint, without positions."""
-    return f"array_distinct(transform({fingerprint}, x -> shiftright(x, {POSITION_BITS})))"
+    """SQL: the distinct hashes of a fingerprint, without positions."""
+    return f"array_distinct({fingerprint}.hashes)"
 
 
 def positions(fingerprint: str) -> str:
-    """SQL: the kept word positions of a packed fingerprint."""
-    mask = (1 << POSITION_BITS) - 1
-    return f"transform({fingerprint}, x -> {mask} - (x & {mask}))"
+    """SQL: the kept word positions of a fingerprint."""
+    return f"{fingerprint}.positions"
 
 
 def as_text(fingerprint: str) -> str:
     """SQL: ``hash@position`` items in position order; the hash in hex."""
-    mask = (1 << POSITION_BITS) - 1
-    return (f"concat_ws(' ', transform({fingerprint}, x -> concat("
-            f"lower(hex(shiftright(x, {POSITION_BITS}) & {(1 << (64 - POSITION_BITS)) - 1})), '@',"
-            f" {mask} - (x & {mask}))))")
+    return (f"concat_ws(' ', zip_with({fingerprint}.hashes, {fingerprint}.positions,"
+            f" (x, p) -> concat(lower(hex(x)), '@', p)))")
 
 
 def likeness(a: str, b: str) -> str:
@@ -128,7 +145,7 @@ def with_next(df: DataFrame, key: str, columns: list[str], tie: str, n_ranges: i
 
 def fingerprint_documents(docs: DataFrame, *, k: int = K, window: int = WINDOW, id_col: str = "doc_id",
                           text_col: str = "text") -> DataFrame:
-    """``doc_id, n_chars, text, fingerprint`` (packed array) of every document.
+    """``doc_id, n_chars, text, fingerprint`` (kept hashes and positions) of every document.
 
     NULL text: empty, with an empty fingerprint.  Equal texts have equal
     fingerprints.  Repeated rows are kept.  Extra columns are not read.
@@ -149,18 +166,17 @@ def compare_edited(docs: DataFrame, *, k: int = K, window: int = WINDOW, id_col:
     kept hashes.  A table of one row has itself as next; no rows give none.
     """
     own = fingerprint_documents(docs, k=k, window=window, id_col=id_col, text_col=text_col)
-    paired = with_next(own, "doc_id", ["text", "fingerprint"], tie="text")
+    own = own.withColumn("kept", F.expr(hashes("fingerprint")))
+    paired = with_next(own, "doc_id", ["text", "kept"], tie="text")
     # A single range with a single row follows itself.
     paired = paired.withColumn("edited", F.expr(
         "concat(substring(text, 1, CAST(n_chars - n_chars div 2 AS INT)),"
         " substring(next_text, 1, CAST(n_chars div 2 AS INT)))")).drop("text", "next_text")
     paired = with_fingerprint(paired, "edited", "edited_fp", k=k, window=window)
-    paired = (paired.withColumn("__a", F.expr(hashes("fingerprint")))
-              .withColumn("__e", F.expr(hashes("edited_fp")))
-              .withColumn("__n", F.expr(hashes("next_fingerprint"))))
+    paired = paired.withColumn("__e", F.expr(hashes("edited_fp")))
     return paired.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         F.expr(as_text("fingerprint")).alias("fingerprint"),
         F.expr(as_text("edited_fp")).alias("edited_fingerprint"),
-        F.expr(likeness("__a", "__e")).alias("near_edited"),
-        F.expr(likeness("__a", "__n")).alias("near_next"))
+        F.expr(likeness("kept", "__e")).alias("near_edited"),
+        F.expr(likeness("kept", "next_kept")).alias("near_next"))

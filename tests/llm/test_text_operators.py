@@ -25,16 +25,32 @@ def _hash_longs(values):
     return _long(seed)
 
 
+def _rotated(x, by):
+    by %= 64
+    return (x << by | x >> 64 - by) % M
+
+
+def _rolled(h, k):
+    """Cyclic polynomial: each word leaves and enters the running hash."""
+    now = 0
+    for x in h[:k]:
+        now = _rotated(now, 1) ^ x
+    out = [now]
+    for gone, new in zip(h, h[k:]):
+        now = _rotated(now, 1) ^ _rotated(gone, k) ^ new
+        out.append(now)
+    return out
+
+
 def winnow(text, k=5, window=8):
-    """Brute force: (hash, position) of every window's rightmost minimum; hash as its upper 38 bits."""
+    """Brute force: (hash, position) of every window's rightmost minimum; hashes rolled on one word at a time."""
     import re
 
     w = [x for x in re.split(r"[\x20\x09-\x0D]+", text.lower()) if x]
     h = [_long(xxhash.xxh64_intdigest(x.encode(), seed=42)) for x in w]
     if not h:
         return []
-    g = [_hash_longs(h[i: i + k]) for i in range(len(h) - k + 1)] if len(h) >= k else [_hash_longs(h)]
-    g = [x >> 26 for x in g]
+    g = [_long(x) for x in _rolled([x % M for x in h], k)] if len(h) >= k else [_hash_longs(h)]
     kept = []
     for i in range(max(1, len(g) - window + 1)):
         span = range(i, min(i + window, len(g)))
@@ -50,7 +66,7 @@ def _likeness(a, b):
 
 
 def _as_text(kept):
-    return " ".join(f"{h % (1 << 38):x}@{p}" for h, p in kept)
+    return " ".join(f"{h % M:x}@{p}" for h, p in kept)
 
 
 def check_edited(rows, docs):
@@ -89,6 +105,16 @@ def test_fingerprints_of_edge_rows(spark):
     assert fingerprints.compare_edited(single).collect()[0].near_next == 1.0
 
 
+@pytest.mark.parametrize("k, window", [(1, 1), (2, 3), (3, 6), (7, 12), (8, 8), (66, 5)])
+def test_runs_and_windows_of_other_lengths(spark, k, window):
+    texts = [" ".join(f"w{i * i % m}" for i in range(n)) for n, m in ((k, 7), (k + window, 5), (300, 11), (300, 97))]
+    texts += ["same " * 90, "one", "", " ".join(["tie", "tie", "break"] * 60)]
+    docs = spark.createDataFrame([(i, x, None, None, None) for i, x in enumerate(texts)], DOCS)
+    rows = fingerprints.fingerprint_documents(docs, k=k, window=window).collect()
+    assert {r.doc_id: list(zip(r.fingerprint.hashes, r.fingerprint.positions)) for r in rows} == {
+        i: winnow(x, k, window) for i, x in enumerate(texts)}
+
+
 def test_shared_passage_leaves_a_shared_hash(spark):
     passage = " ".join(BASE[:12])  # k + window - 1 words
     rows = [(i, f"{'p%d ' % i * i}{passage} {'q%d ' % i * (9 - i)}", None, None, None) for i in range(8)]
