@@ -100,6 +100,14 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def cell_digits_for(rows: int, per_cell: int = 1 << 16) -> int:
+    """Hex digits of a seeded hash (2 at least) that cut ``rows`` rows into cells of about ``per_cell`` or fewer."""
+    digits = 2
+    while rows > per_cell * 16 ** digits:
+        digits += 1
+    return digits
+
+
 def range_bounds(ids: DataFrame, key: str, n_ranges: int) -> list[int]:
     """At most ``n_ranges - 1`` ascending cut points that split ``key`` into ranges of near equal count.
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import WORD, pick, text_or_empty
+from ledgerline.llm.common import WORD, cell_digits_for, pick, text_or_empty
 from ledgerline.llm.sharding import seeded
 
 WEIGHTS = (5, 2, 1)
@@ -91,7 +91,7 @@ def quotas(sized: DataFrame, *, block_words: int, n_shards: int, max_repeats: in
 
 def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = 3, block_words: int = 16,
         n_shards: int = 8, seed: int = 29, id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source", cell_digits: int = 2) -> DataFrame:
+        source_col: str = "source", cell_digits: int | None = None) -> DataFrame:
     """One row per input row: ``doc_id, source, size, source_size, target, taken, copies, shards, weight, blocks``.
 
     ``taken`` counts the words the mix takes of the document, repeats
@@ -105,19 +105,20 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, max_repeats: int
     are equal but for their place in the ring.  Empty table: no rows.  Extra
     columns are not read, and of a very long text only its words are counted.
     The windows over sources hold one row per source (times shards), not
-    documents.
+    documents.  ``cell_digits`` hex digits of the seeded hash cut a source into
+    cells, which bound the rows one task sorts; from the row count if not given.
     """
     rows = pick(docs, id=id_col, source=source_col, text=text_col).select(
         "id", "source", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("stratum"),
         word_count("text").alias("size"), seeded(seed, "id").alias("h"))
     mixed = mix_sized(rows, weights=weights, max_repeats=max_repeats, block_words=block_words,
-                      n_shards=n_shards, seed=seed, cell_digits=cell_digits)
+                      n_shards=n_shards, seed=seed, cell_digits=cell_digits or cell_digits_for(docs.count()))
     return mixed.withColumnRenamed("id", "doc_id")
 
 
 def repeat_documents(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = 3,
                      block_words: int = 16, n_shards: int = 8, seed: int = 29, id_col: str = "doc_id",
-                     text_col: str = "text", source_col: str = "source", cell_digits: int = 2) -> DataFrame:
+                     text_col: str = "text", source_col: str = "source", cell_digits: int | None = None) -> DataFrame:
     """The mix as documents: every row of ``docs``, all its columns, as many times as ``mix`` says (0 to
     ``max_repeats``).  Documents without words are not taken.  NULLs, ties and
     repeated rows as in ``mix``; very long texts are only counted and carried.
@@ -127,7 +128,7 @@ def repeat_documents(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, max
                        word_count(docs[text_col]).alias("size"),
                        F.struct(*[docs[c] for c in docs.columns]).alias("row")).withColumn("h", seeded(seed, "id"))
     mixed = mix_sized(rows, weights=weights, max_repeats=max_repeats, block_words=block_words, n_shards=n_shards,
-                      seed=seed, cell_digits=cell_digits)
+                      seed=seed, cell_digits=cell_digits or cell_digits_for(docs.count()))
     return (mixed.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
             .select("row.*"))
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import pick, text_or_empty
+from ledgerline.llm.common import cell_digits_for, pick, text_or_empty
 
 LAW = "rows"
 
@@ -27,19 +27,24 @@ def seeded(seed: int, *cols: str):
 
 
 def interleave(docs: DataFrame, *, n_shards: int = 24, seed: int = 17, id_col: str = "doc_id",
-               text_col: str = "text", source_col: str = "source", cell_digits: int = 2,
-               cuts: int = 4096) -> DataFrame:
+               text_col: str = "text", source_col: str = "source", cell_digits: int | None = None,
+               cuts: int | None = None) -> DataFrame:
     """One row per input row: ``doc_id, size, text_crc32, law, shard, slot, grown_shard, source``.
 
     ``size`` is the text's UTF-8 bytes (NULL: none) plus 8.  ``cell_digits``
     hex digits split each source into 16**digits cells and ``cuts`` splits the
-    sorted order; both only bound how many rows one task sorts.
+    sorted order; both only bound how many rows one task sorts, and follow from
+    the row count (65,536 rows a cell or cut, about) if not given.
 
     NULL source: a source of its own.  NULL id or text: kept (text counts as
     empty).  Ties and repeated rows: ordered by hash, id, size and checksum,
     so rows that still tie are equal.  Empty table: no rows.  Extra columns
     are not read.
     """
+    if cell_digits is None or cuts is None:
+        n = docs.count()
+        cell_digits = cell_digits or cell_digits_for(n)
+        cuts = cuts or max(4096, n >> 16)
     rows = pick(docs, id=id_col, source=source_col, text=text_col).select(
         "id", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("stratum"), "source",
         (F.octet_length(text_or_empty("text")).cast("long") + 8).alias("size"),
@@ -59,9 +64,9 @@ def interleave(docs: DataFrame, *, n_shards: int = 24, seed: int = 17, id_col: s
               .join(cells, ["stratum", "cell"])
               .withColumn("fraction", ((F.col("cell_start") + F.col("rn")).cast("double") + lag)
                           / F.col("stratum_rows").cast("double"))
-              .withColumn("cut", F.least(F.floor(F.col("fraction") * cuts), F.lit(cuts - 1)).cast("int")))
+              .withColumn("cut", F.least(F.floor(F.col("fraction") * cuts), F.lit(cuts - 1)).cast("long")))
 
-    per_cut = (ranked.groupBy("cut").agg(F.count(F.lit(1)).alias("n"))  # at most `cuts` rows
+    per_cut = (ranked.groupBy("cut").agg(F.count(F.lit(1)).alias("n"))  # one row a cut
                .withColumn("cut_start", F.sum("n").over(Window.orderBy("cut")) - F.col("n"))
                .withColumn("total", F.sum("n").over(Window.partitionBy()))
                .drop("n"))
