@@ -37,6 +37,16 @@ _OTHER_SPACE = np.zeros(256, bool)
 _OTHER_SPACE[[9, 11, 12, 13]] = True
 
 
+_LEAD = np.zeros(256, np.uint8)
+_LEAD[32], _LEAD[10] = 1, 2
+
+
+def _per_text(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many places of each text are set."""
+    at = np.flatnonzero(mask)
+    return np.diff(np.searchsorted(at, offsets))
+
+
 def _wide_space(flat: np.ndarray) -> np.ndarray:
     """Where a white-space character outside ASCII begins."""
     out = np.zeros(len(flat), bool)
@@ -187,13 +197,14 @@ class Encoder:
         keys = words.span_hashes(flat, starts, stops)
         slow = np.zeros(texts, bool)
         if self._kind == "byte":
-            inner = np.isin(starts, offsets[:-1], invert=True)
-            previous = np.where(inner, flat[np.maximum(starts - 1, 0)], 0)
-            lead = np.where(previous == 32, 1, np.where(previous == 10, 2, 0))
+            lead = _LEAD[flat[np.maximum(starts - 1, 0)]]
+            firsts = np.searchsorted(starts, offsets[:-1])
+            firsts = firsts[firsts < len(starts)]
+            lead[firsts[np.isin(starts[firsts], offsets[:-1])]] = 0  # words that open their text
             keys = words.mix(keys + lead.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             slow = self._unsure(flat, offsets, starts, ends)
         froms = starts - (lead > 0) if self._kind == "byte" else starts  # with the white space that goes with it
-        _, first, index = np.unique(keys, return_index=True, return_inverse=True)
+        first, index = words.distinct(keys)
         same = words.same_bytes(flat, froms, stops, froms[first][index], stops[first][index])
         if not same.all():  # words that only share a hash
             slow[np.searchsorted(offsets, starts[~same], side="right") - 1] = True
@@ -235,18 +246,16 @@ class Encoder:
     @staticmethod
     def _unsure(flat, offsets, starts, ends) -> np.ndarray:
         """Texts whose white space is more than single spaces and line feeds between words."""
-        space = np.zeros(len(flat) + 1, np.int64)
-        np.cumsum((flat == 32) | (flat == 10), out=space[1:])
-        odd = np.zeros(len(flat) + 1, np.int64)
-        np.cumsum(_OTHER_SPACE[flat] | _wide_space(flat), out=odd[1:])
         a, b = offsets[:-1], offsets[1:]
+        space = _per_text((flat == 32) | (flat == 10), offsets)
+        odd = _per_text(_OTHER_SPACE[flat] | _wide_space(flat), offsets)
         n_words = np.searchsorted(starts, b) - np.searchsorted(starts, a)
         full = b > a
         first, last = flat[np.minimum(a, len(flat) - 1)], flat[np.maximum(b - 1, 0)]
         opening = full & ((first == 32) | (first == 10))
         closing = full & ((last == 32) | (last == 10))
         # One separator before each word but the first (or before all, if the text opens with one).
-        return (odd[b] > odd[a]) | closing | ((space[b] - space[a]) != np.maximum(n_words - 1, 0) + opening)
+        return (odd > 0) | closing | (space != np.maximum(n_words - 1, 0) + opening)
 
 
 def encoder(file_text: str, kind: str, ordinary: bool = False, memory: int = CACHE_WORDS) -> Encoder:

@@ -79,6 +79,17 @@ def span_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return h
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of each distinct key's first occurrence, number of its key for every place), in order of appearance."""
+    import pyarrow as pa
+
+    index = pa.array(keys).dictionary_encode().indices.to_numpy()
+    if not len(index):
+        return np.zeros(0, np.int64), index
+    upto = np.maximum.accumulate(index)
+    return np.concatenate([[0], np.flatnonzero(np.diff(upto)) + 1]), index
+
+
 def same_bytes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, as_starts: np.ndarray, as_ends: np.ndarray
                ) -> np.ndarray:
     """Whether each span holds the same bytes as the span beside it."""
