@@ -33,6 +33,9 @@ def quantise(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 def linked_pairs(x: np.ndarray, rows: np.ndarray, cols: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """All pairs (i of ``rows``, j of ``cols``) of vectors ``x`` with cosine >= threshold, by bounded products."""
+    # Scaled by a power of two near the largest component, which changes no cosine: squares of very large or small
+    # components neither overflow nor vanish.
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
     norms = np.sqrt(np.einsum("ij,ij->i", x, x))
     unit = x / norms[:, None]
     q, scale, error, size = quantise(unit)

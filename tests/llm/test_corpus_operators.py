@@ -171,6 +171,17 @@ def brute_vectors(rows, threshold):
     return links, groups(len(rows), pairs)
 
 
+def test_vectors_of_very_large_and_small_size_link(spark):
+    way = np.random.default_rng(8).normal(size=12)
+    near, far = way + 0.01, way[::-1].copy()
+    rows = [(i, 1, [float(c) for c in v * size]) for i, (v, size) in enumerate(
+        [(way, 1e300), (near, 1e-300), (way, 1.0), (far, 1e300), (near, 1e200)])]
+    rows.append((9, 1, [5e-324] + [0.0] * 11))
+    df = spark.createDataFrame(rows, "vec_id long, label long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(df).collect()}
+    assert got == {0: (3, 0), 1: (3, 0), 2: (3, 0), 3: (0, 3), 4: (3, 0), 9: (0, 9)}
+
+
 def test_vectors_match_brute_force(spark):
     rng = np.random.default_rng(7)
     rows = []
