@@ -90,7 +90,12 @@ def _block(part, enc) -> dict:
         spans.append(np.column_stack([s + base, e + base]))
     hashes = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
     counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-    distinct, first, index = np.unique(hashes, return_index=True, return_inverse=True)
+    first, index = words.distinct(hashes)
+    ascending = np.argsort(hashes[first])
+    first, distinct = first[ascending], hashes[first[ascending]]
+    place_of = np.empty(len(first), np.int64)
+    place_of[ascending] = np.arange(len(first))
+    index = place_of[index]
     raw = flat.tobytes()
     place = np.concatenate(spans)[first] if len(first) else np.zeros((0, 2), np.int64)
     ids = enc.lookup([b" " + raw[a:b] for a, b in place.tolist()])
