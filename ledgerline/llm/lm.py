@@ -36,6 +36,7 @@ IDS = 50257
 END = 50256           # also the start mark
 BLOCK_ROWS = 2048     # documents of a block, at most
 BLOCK_BYTES = 1 << 24  # text bytes of a block, at most (one document at least)
+HASHED = 1 << 18       # words hashed at once
 RANGE_WORDS = 1 << 20  # entries (distinct words of a block) of a hash range, about
 TOP, NEIGHBOURS = 2048, 64
 SINGLES, CLUSTERS = 12, 8   # classes: frequent ids alone; clusters of the ids that start a word, and of the others
@@ -83,9 +84,10 @@ def _block(part, enc) -> dict:
     for a, b in slices(offsets):
         base = offsets[a]
         piece = flat[base: offsets[b]]
-        h, n = words.word_hashes(piece, offsets[a: b + 1] - base)
-        s, e, _ = words.word_spans(piece, offsets[a: b + 1] - base)
-        hashes.append(h)
+        s, e, n = words.word_spans(piece, offsets[a: b + 1] - base)
+        for k in range(0, len(s), HASHED):
+            own_s, own_e = s[k: k + HASHED], e[k: k + HASHED]
+            hashes.append(words.span_hashes(piece[own_s[0]: own_e[-1]], own_s - own_s[0], own_e - own_s[0]))
         counts.append(n)
         spans.append(np.column_stack([s + base, e + base]))
     hashes = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
@@ -96,9 +98,8 @@ def _block(part, enc) -> dict:
     place_of = np.empty(len(first), np.int64)
     place_of[ascending] = np.arange(len(first))
     index = place_of[index]
-    raw = flat.tobytes()
     place = np.concatenate(spans)[first] if len(first) else np.zeros((0, 2), np.int64)
-    ids = enc.lookup([b" " + raw[a:b] for a, b in place.tolist()])
+    per, ids = enc.spaced(flat, place[:, 0], place[:, 1])
     trained = part.column(2).to_numpy(zero_copy_only=False).astype(bool)
     seen = np.bincount(index[np.repeat(trained, counts)], minlength=len(distinct))
     keys = part.column(0)
@@ -107,8 +108,7 @@ def _block(part, enc) -> dict:
         "no_id": keys.is_null().to_numpy(zero_copy_only=False).tobytes(),
         "trained": trained.tobytes(), "counts": counts.astype("<i8").tobytes(),
         "words": index.astype("<u4").tobytes(), "hashes": distinct.tobytes(),
-        "id_counts": np.array([len(x) // 4 for x in ids], "<u4").tobytes(),
-        "ids": np.frombuffer(b"".join(ids), "<u4").astype("<u2").tobytes(),
+        "id_counts": per.astype("<u4").tobytes(), "ids": ids.astype("<u2").tobytes(),
         "train_counts": seen.astype("<i8").tobytes()}
 
 

@@ -50,8 +50,13 @@ def word_spans(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, counts
 
 
-def _eights(flat: np.ndarray) -> np.ndarray:
-    """The eight bytes from every place on as one number (zeros after the end); a view of a padded copy."""
+def _eights(flat: np.ndarray, padded: bool = False) -> np.ndarray:
+    """The eight bytes from every place on as one number (zeros after the end).
+
+    A view of a padded copy, or of ``flat`` itself if that has eight bytes of padding.
+    """
+    if padded:
+        return np.ndarray((len(flat) - 7,), "<u8", flat, strides=(1,))
     padded = np.zeros(len(flat) + 8, np.uint8)
     padded[: len(flat)] = flat
     return np.ndarray((len(flat) + 1,), "<u8", padded, strides=(1,))
@@ -90,22 +95,24 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([[0], np.flatnonzero(np.diff(upto)) + 1]), index
 
 
-def same_bytes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, as_starts: np.ndarray, as_ends: np.ndarray
-               ) -> np.ndarray:
-    """Whether each span holds the same bytes as the span beside it."""
+def same_bytes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, as_starts: np.ndarray, as_ends: np.ndarray,
+               other: np.ndarray | None = None) -> np.ndarray:
+    """Whether each span holds the same bytes as the span beside it (of ``other``, which ends with padding)."""
     size = ends - starts
     same = size == as_ends - as_starts
     eights = _eights(flat)
+    as_eights = eights if other is None else _eights(other, padded=True)
+    other = flat if other is None else other
     going = np.flatnonzero(same & (size <= LONG))
     at = 0
     while len(going):
         rest = np.minimum(size[going] - at, 8)
-        differ = ((eights[starts[going] + at] ^ eights[as_starts[going] + at]) & _KEEP[np.maximum(rest, 0)]) != 0
+        differ = ((eights[starts[going] + at] ^ as_eights[as_starts[going] + at]) & _KEEP[np.maximum(rest, 0)]) != 0
         same[going[differ]] = False
         at += 8
         going = going[(size[going] > at) & ~differ]
     for i in np.flatnonzero(same & (size > LONG)).tolist():
-        same[i] = np.array_equal(flat[starts[i]: ends[i]], flat[as_starts[i]: as_ends[i]])
+        same[i] = np.array_equal(flat[starts[i]: ends[i]], other[as_starts[i]: as_ends[i]])
     return same
 
 

@@ -67,6 +67,57 @@ def test_long_texts_are_cut_where_it_does_not_matter(name, kind, monkeypatch):
     assert got == [ids[:-1].tolist() for ids in whole(name, texts, 0)]
 
 
+class Watched:
+    """A library tokenizer that notes what it is asked to encode."""
+
+    def __init__(self, tokenizer, seen):
+        self._tokenizer, self._seen = tokenizer, seen
+
+    def __getattr__(self, name):
+        return getattr(self._tokenizer, name)
+
+    def encode_batch(self, texts, **how):
+        self._seen.extend(texts)
+        return self._tokenizer.encode_batch(texts, **how)
+
+    def encode_batch_fast(self, texts, **how):
+        self._seen.extend(texts)
+        return self._tokenizer.encode_batch_fast(texts, **how)
+
+
+def watched(name, kind, **how):
+    with open(tokenizer_path(name), encoding="utf-8") as f:
+        enc = Encoder(f.read(), kind, **how)
+    seen = []
+    for part in ("_tokenizer", "_beside"):
+        setattr(enc, part, Watched(getattr(enc, part, None), seen))
+    return enc, seen
+
+
+def test_words_of_all_kinds_go_to_the_library_in_long_lines():
+    numbers = [f"w{i}" for i in range(1000)]
+    letters = ["".join(chr(97 + int(c)) for c in str(i)) + "é" for i in range(1000)]
+    texts = ["\n".join(["x", *numbers]), "\n".join(["x", *letters]), " ".join(["x", *numbers, *letters])]
+    enc, seen = watched("byte_bpe_50k.json", "byte")
+    got = [np.frombuffer(ids, "<u4").tolist() for _, ids in encode_batch(enc, pa.array(texts))]
+    assert got == [ids[:-1].tolist() for ids in whole("byte_bpe_50k.json", texts, 0)]
+    assert len(seen) < 40
+
+
+@pytest.mark.parametrize("name,kind", [("byte_bpe_50k.json", "byte"), ("word_bpe_49k.json", "word")])
+def test_a_full_memory_forgets_the_older_half(name, kind, monkeypatch):
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 300)
+    texts = [" ".join(f"word{i % n}x, {i}. é{i % n}ü\nИ{i % n}" for i in range(60)) for n in (3, 50, 7, 60, 5)] * 3
+    want = [ids[:-1].tolist() for ids in whole(name, texts, 0)]
+    with open(tokenizer_path(name), encoding="utf-8") as f:
+        enc = Encoder(f.read(), kind, memory=100)
+    assert [np.frombuffer(x, "<u4").tolist() for _, x in encode_batch(enc, pa.array(texts))] == want
+    assert 0 < enc._newer.n < 400 and enc._older.n > 0
+    # Words of one hash, met in different slices.
+    monkeypatch.setattr(words, "span_hashes", lambda flat, starts, ends: np.zeros(len(starts), np.uint64))
+    assert [np.frombuffer(x, "<u4").tolist() for _, x in encode_batch(enc, pa.array(texts))] == want
+
+
 def expected_places(rows, end):
     rows = sorted(((d is not None, d or 0, t or "", d) for d, t in rows))
     ids = whole("byte_bpe_50k.json", [t for _, _, t, _ in rows], end)
