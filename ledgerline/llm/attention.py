@@ -8,6 +8,8 @@ the id inside its class comes from corpus counts.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 
 WIDTH = 32   # ids a window sees
@@ -26,7 +28,7 @@ def shapes(inputs: int, classes: int) -> dict[str, tuple[int, ...]]:
 def unpack(flat: np.ndarray, inputs: int, classes: int) -> dict[str, np.ndarray]:
     out, at = {}, 0
     for name, shape in shapes(inputs, classes).items():
-        n = int(np.prod(shape))
+        n = math.prod(shape)
         out[name] = flat[at: at + n].reshape(shape)
         at += n
     return out
@@ -62,63 +64,77 @@ def loss_and_gradient(flat: np.ndarray, x: np.ndarray, target: np.ndarray, valid
     with ones, several times faster than sums along the last axis.
     """
     p = unpack(flat, x.shape[2], classes)
-    windows = x.shape[0]
+    windows, kind = x.shape[0], flat.dtype
     x = x.reshape(-1, x.shape[2])  # flat rows: one large product instead of one per window
-    heads = np.concatenate([p["wq"], p["wk"], p["wv"]], axis=1)
+    scale = np.float32(1 / np.sqrt(HEAD))
+    heads = np.concatenate([p["wq"] * scale, p["wk"], p["wv"]], axis=1)
     h0 = x @ p["win"]
     h0 += p["bin"]
     both = (h0 @ heads).reshape(windows, WIDTH, 3 * HEAD)
-    q, k, v = (np.ascontiguousarray(both[:, :, i: i + HEAD]) for i in (0, HEAD, 2 * HEAD))
-    scale = np.float32(1 / np.sqrt(HEAD))
-    ones = np.ones((WIDTH, 1), flat.dtype)
-    a = (q * scale) @ k.transpose(0, 2, 1)
-    a += p["bias"][_DISTANCE]
+    q, k = (np.ascontiguousarray(both[:, :, i: i + HEAD]) for i in (0, HEAD))
+    v = np.ones((windows, WIDTH, HEAD + 1), kind)  # beside the value a 1, which adds up the weights
+    v[:, :, :HEAD] = both[:, :, 2 * HEAD:]
+    turned = np.ascontiguousarray(both[:, :, HEAD:].transpose(0, 2, 1))  # keys and values by column
+    a = q @ turned[:, :HEAD]
     np.clip(a, -LIMIT, LIMIT, out=a)
     np.exp(a, out=a)
-    a *= _SEEN
+    a *= np.exp(p["bias"])[_DISTANCE] * _SEEN
     if not valid.all():
         a *= valid[:, None, :]
         a[:, 0, 0] += 1e-30        # a window without any input still divides by more than 0
-    a /= (a.reshape(-1, WIDTH) @ ones).reshape(windows, WIDTH, 1)
-    mixed = (a @ v).reshape(-1, HEAD)
-    h = mixed @ p["wo"]
-    h += h0
-    z = h @ p["w1"]
-    z += p["b1"]
-    f = np.concatenate([h, np.maximum(z, 0)], axis=1)
-    g = f @ p["wc"]
-    g += p["bc"]
+    mixed = (a @ v).reshape(-1, HEAD + 1)
+    share = 1 / mixed[:, HEAD:]    # the weights are divided by their sum only where they are used up
+    mixed = mixed[:, :HEAD] * share
+    f = np.empty((len(x), 1 + D + HIDDEN), kind)  # a 1, whose weights are the biases, state and hidden layer
+    f[:, 0] = 1
+    np.add(mixed @ p["wo"], h0, out=f[:, 1: 1 + D])
+    h = f[:, : 1 + D]
+    z = h @ np.concatenate([p["b1"][None], p["w1"]])
+    np.maximum(z, 0, out=f[:, 1 + D:])
+    # Classes that fill a row up to whole vectors have no share: products of even width are faster.
+    wide = -(-classes // 16) * 16
+    wc = np.zeros((1 + D + HIDDEN, wide), kind)
+    wc[0, :classes], wc[1:, :classes] = p["bc"], p["wc"]
+    g = f @ wc
     np.clip(g, -LIMIT, LIMIT, out=g)
     np.exp(g, out=g)
-    g /= g @ np.ones((classes, 1), flat.dtype)
+    g[:, classes:] = 0
+    total = g @ np.ones((wide, 1), kind)
     own = (np.arange(len(g)), target.ravel())
     used = valid.ravel()
     n = max(1, int(valid.sum()))
-    loss = float(-(np.log(g[own] + 1e-30) * used).sum() / n)
-    g[own] -= 1
-    g *= (used / np.float32(n)).astype(g.dtype)[:, None]
-    rows = np.ones((1, len(g)), flat.dtype)
-    out = {"wc": f.T @ g, "bc": rows @ g}
-    df = g @ p["wc"].T
+    loss = float(-(np.log(g[own] / total[:, 0] + 1e-30) * used).sum() / n)
+    weight = (used / np.float32(n)).astype(kind)
+    g *= weight[:, None] / total
+    g[own] -= weight
+    dw = f.T @ g
+    out = {"wc": dw[1:, :classes], "bc": dw[0, :classes]}
+    df = g @ wc[1:].T
     dz = df[:, D:] * (z > 0)
-    out["w1"], out["b1"] = h.T @ dz, rows @ dz
+    dw = h.T @ dz
+    out["w1"], out["b1"] = dw[1:], dw[0]
     dh = dz @ p["w1"].T
     dh += df[:, :D]
     out["wo"] = mixed.T @ dh
-    dmixed = (dh @ p["wo"].T).reshape(windows, WIDTH, HEAD)
-    ds = dmixed @ v.transpose(0, 2, 1)
+    dmixed = dh @ p["wo"].T
+    dmixed *= share
     # The sum over a row of a * ds is the row of mixed times that of dmixed.
-    ds -= ((mixed * dmixed.reshape(-1, HEAD)) @ ones[:HEAD]).reshape(windows, WIDTH, 1)
+    over = (mixed * dmixed) @ np.ones((HEAD, 1), kind)
+    dmixed = dmixed.reshape(windows, WIDTH, HEAD)
+    ds = dmixed @ turned[:, HEAD:]
+    ds -= over.reshape(windows, WIDTH, 1)
     ds *= a                        # 0 where blocked, as the weight is
     out["bias"] = np.bincount(_DISTANCE.ravel(), weights=ds.sum(axis=0).ravel(), minlength=WIDTH)
-    ds *= scale
-    dheads = np.concatenate([ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dmixed],
-                            axis=2).reshape(-1, 3 * HEAD)
+    dheads = np.empty((windows, WIDTH, 3 * HEAD), kind)
+    np.matmul(ds, k, out=dheads[:, :, :HEAD])
+    np.matmul(ds.transpose(0, 2, 1), q, out=dheads[:, :, HEAD: 2 * HEAD])
+    np.matmul(a.transpose(0, 2, 1), dmixed, out=dheads[:, :, 2 * HEAD:])
+    dheads = dheads.reshape(-1, 3 * HEAD)
     dh0 = dheads @ heads.T
     dh0 += dh
     dw = h0.T @ dheads
-    out["wq"], out["wk"], out["wv"] = dw[:, :HEAD], dw[:, HEAD: 2 * HEAD], dw[:, 2 * HEAD:]
-    out["win"], out["bin"] = x.T @ dh0, rows @ dh0
+    out["wq"], out["wk"], out["wv"] = dw[:, :HEAD] * scale, dw[:, HEAD: 2 * HEAD], dw[:, 2 * HEAD:]
+    out["win"], out["bin"] = x.T @ dh0, np.ones((1, len(g)), kind) @ dh0
     names = shapes(x.shape[1], classes)
     return loss, np.concatenate([out[name].ravel() for name in names]).astype(np.float32)
 
@@ -140,7 +156,7 @@ def train(flat: np.ndarray, tokens: np.ndarray, vectors: np.ndarray, classes_of:
         at += batch
         valid = rows[:, 1:] != MISSING
         rows = np.where(rows == MISSING, 0, rows)
-        x, y = vectors[rows[:, :-1]], classes_of[rows[:, 1:]]
+        x, y = vectors.take(rows[:, :-1], axis=0), classes_of.take(rows[:, 1:])
         g = np.zeros_like(flat)
         for a in range(0, len(rows), PIECE):
             own = slice(a, a + PIECE)
@@ -175,7 +191,7 @@ def score(flat: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, vectors: np
     owner = np.repeat(np.arange(len(lengths)), windows)
     number = np.arange(total) - np.repeat(np.cumsum(windows) - windows, windows)
     first = begins[owner] + number * STRIDE          # place of the first scoring input
-    text_from, text_to = begins[owner], begins[owner] + lengths[owner]
+    text_to = begins[owner] + lengths[owner]
     table = vectors @ p["win"] + p["bin"]            # one row per id: state, key and value side by side
     scale = np.float32(1 / np.sqrt(HEAD))
     table = np.concatenate([table, (table @ p["wq"]) * scale, table @ p["wk"], table @ p["wv"],
@@ -183,36 +199,39 @@ def score(flat: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, vectors: np
     table = np.ascontiguousarray(table, np.float32)
     bias = np.exp(p["bias"][_DISTANCE][WIDTH - STRIDE:]).astype(np.float32)
     bias[_FUTURE[WIDTH - STRIDE:]] = 0
-    span = np.arange(-(WIDTH - STRIDE), STRIDE)
+    w1 = np.concatenate([p["b1"][None], p["w1"]])
+    wc = np.concatenate([p["bc"][None], p["wc"]])
+    span = np.arange(STRIDE)
     late = WIDTH - STRIDE
+    ahead = late // STRIDE  # a window's earlier inputs are the scoring inputs of the windows before it
     last = len(tokens) - 1
+    goals = classes_of.take(tokens)
     ones = np.ones((classes, 1), np.float32)
     for at in range(0, total, step):
-        sl = slice(at, at + step)
-        place = first[sl, None] + span
-        outside = (place < text_from[sl, None]) | (place >= text_to[sl, None])
-        state = table.take(tokens[np.clip(place, 0, last)], axis=0)
-        k, v = state[:, :, D + HEAD: D + 2 * HEAD], state[:, :, D + 2 * HEAD:]  # v ends with the 1
-        s = state[:, late:, D: D + HEAD] @ k.transpose(0, 2, 1)
+        sl = slice(at, min(at + step, total))
+        n = sl.stop - at
+        place = first[np.maximum(np.arange(at - ahead, sl.stop), 0), None] + span
+        state = table.take(tokens[np.minimum(place, last)].ravel(), axis=0)
+        row, item = state.strides
+        seen = np.lib.stride_tricks.as_strided(state, (n, WIDTH, state.shape[1]), (STRIDE * row, row, item))
+        place, state = place[ahead:], state[late:]
+        k, v = seen[:, :, D + HEAD: D + 2 * HEAD], seen[:, :, D + 2 * HEAD:]  # v ends with the 1
+        s = seen[:, late:, D: D + HEAD] @ np.ascontiguousarray(k.transpose(0, 2, 1))
         np.clip(s, -LIMIT, LIMIT, out=s)
         np.exp(s, out=s)
         s *= bias
-        edge = np.flatnonzero(outside.any(axis=1))
-        if len(edge):
-            s[edge] *= ~outside[edge][:, None, :]
+        for j in range(ahead):  # windows with less than that before them in their text
+            s[number[sl] < ahead - j, :, j * STRIDE: (j + 1) * STRIDE] = 0
         mixed = s @ v
         mixed = mixed[:, :, :HEAD] / (mixed[:, :, HEAD:] + np.float32(1e-30))
-        h = mixed.reshape(-1, HEAD) @ p["wo"]
-        h += state[:, late:, :D].reshape(-1, D)
-        z = h @ p["w1"]
-        z += p["b1"]
-        np.maximum(z, 0, out=z)
-        logit = h @ p["wc"][:D]
-        logit += z @ p["wc"][D:]
-        logit += p["bc"]
-        goal = (place[:, late:] + 1).ravel()
+        f = np.empty((n * STRIDE, 1 + D + HIDDEN), np.float32)  # a 1, whose weights are the biases, state, hidden layer
+        f[:, 0] = 1
+        np.add(mixed.reshape(-1, HEAD) @ p["wo"], state[:, :D], out=f[:, 1: 1 + D])
+        np.maximum(f[:, : 1 + D] @ w1, 0, out=f[:, 1 + D:])
+        logit = f @ wc
+        goal = (place + 1).ravel()
         use = goal < np.repeat(text_to[sl], STRIDE)
-        picked = logit[np.arange(len(goal)), classes_of[tokens[np.minimum(goal, last)]]]
+        picked = logit.ravel().take(goals[np.minimum(goal, last)] + np.arange(0, logit.size, classes))
         np.clip(logit, -LIMIT, LIMIT, out=logit)
         np.exp(logit, out=logit)
         value = picked - np.log((logit @ ones).ravel())

@@ -142,7 +142,7 @@ def word_totals(saved: DataFrame, scratch: Scratch) -> tuple[DataFrame, int, int
 
         h = [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
         c = np.concatenate([np.frombuffer(x, "<i8") for x in table.column("counts").to_pylist()])
-        _, index = np.unique(np.concatenate(h), return_inverse=True)
+        _, index = words.distinct(np.concatenate(h))
         total = np.bincount(index, weights=c).astype(np.int64)
         mine = np.split(total[index], np.cumsum([len(x) for x in h])[:-1])
         n = len(h)
@@ -172,22 +172,24 @@ def word_totals(saved: DataFrame, scratch: Scratch) -> tuple[DataFrame, int, int
 def _texts(row: dict, only_trained: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(ids of all texts with start and end marks, ids per text, words per text, ids per word)."""
     counts = np.frombuffer(row["counts"], "<i8")
-    index = np.frombuffer(row["words"], "<u4").astype(np.int64)
+    index = np.frombuffer(row["words"], "<u4")
     if only_trained:
         trained = np.frombuffer(row["trained"], bool)
         index, counts = index[np.repeat(trained, counts)], counts[trained]
     per = np.frombuffer(row["id_counts"], "<u4").astype(np.int64)
     ids = np.frombuffer(row["ids"], "<u2")
-    starts = np.cumsum(per) - per
     n = per[index]
     word_end = np.cumsum(n)
-    owner = np.repeat(np.arange(len(counts)), counts)
-    lengths = np.bincount(owner, weights=n, minlength=len(counts)).astype(np.int64)
-    out = np.full(int(lengths.sum()) + 2 * len(counts), END, np.uint16)
-    # Ids of text t lie after 2 t + 1 marks.
-    move = np.repeat(2 * owner + 1, n)
-    source = np.repeat(starts[index] - (word_end - n), n) + np.arange(len(move))
-    out[np.arange(len(move)) + move] = ids[source]
+    total = int(word_end[-1]) if len(n) else 0
+    kind = np.int32 if max(total, len(ids)) < 1 << 31 else np.int64  # places, in as few bytes as hold them
+    source = np.repeat(((np.cumsum(per) - per)[index] - (word_end - n)).astype(kind), n)
+    source += np.arange(total, dtype=kind)
+    lengths = np.diff(np.concatenate([[0], word_end])[np.cumsum(counts)], prepend=0)
+    ends = np.cumsum(lengths + 2)
+    inside = np.ones(total + 2 * len(counts), bool)
+    inside[ends - lengths - 2] = inside[ends - 1] = False
+    out = np.full(len(inside), END, np.uint16)
+    out[inside] = ids[source]
     return out, lengths + 2, counts, n
 
 
@@ -271,8 +273,7 @@ def pair_counts(saved: DataFrame, rank: np.ndarray) -> np.ndarray:
                 inside = np.ones(len(tokens), bool)
                 inside[(np.cumsum(lengths) - lengths)] = False  # a text's start mark follows nothing
                 to = np.flatnonzero(inside)
-                cells, n = np.unique(r[to - 1] * (TOP + 1) + r[to], return_counts=True)
-                pairs.ravel()[cells] += n.astype(np.float32)
+                pairs += np.bincount(r[to - 1] * (TOP + 1) + r[to], minlength=pairs.size).reshape(pairs.shape)
         some = np.flatnonzero(pairs.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([pairs[i].tobytes() for i in some],
                                                                    pa.binary())], names=["id", "value"])
@@ -432,7 +433,9 @@ def _score_block(model: Model, row: dict, totals: np.ndarray, n_train: int, dist
     log_p = attention.score(model.parameters, tokens, lengths, model.vectors, model.classes_of, model.classes)
     r = model.rank[tokens]
     before = np.concatenate([[model.rank[END]], r[:-1]]) if len(r) else r
-    log_p += np.where(r < TOP, model.log_after[before, r], model.log_inside[tokens])
+    before *= TOP + 1
+    before += r
+    log_p += np.where(r < TOP, model.log_after.ravel().take(before), model.log_inside[tokens])
     begins = np.cumsum(lengths) - lengths
     log_p[begins] = 0
     index = np.frombuffer(row["words"], "<u4").astype(np.int64)
@@ -442,12 +445,14 @@ def _score_block(model: Model, row: dict, totals: np.ndarray, n_train: int, dist
     def base(c):
         return np.log((c + 0.5) / whole)
 
+    share_of = base(totals.astype(np.float64))  # of the block's distinct words
+
     # Sums of ids' log probabilities per word: all ids but marks, in order.
     running = np.concatenate([[0.0], np.cumsum(log_p, dtype=np.float64)])
     word_end = np.cumsum(per_word) + 2 * owner + 1
     local = running[word_end] - running[word_end - per_word]
     c = totals[index]
-    shares = base(c.astype(np.float64))
+    shares = share_of[index]
     mixed = np.where(c > 0, np.logaddexp(np.log(LOCAL) + local, np.log(1 - LOCAL) + shares),
                      np.log(LOCAL) + local)
     last = log_p[begins + lengths - 1].astype(np.float64)

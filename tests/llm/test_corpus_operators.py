@@ -6,6 +6,7 @@ from collections import Counter
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm.helpers import DOCS, SF, edge_docs, edge_rows, groups, no_docs, words
 from ledgerline.llm import attention, embeddings, lm, mixing, queries, sharding
@@ -253,6 +254,23 @@ def test_scores_of_a_word_of_many_ids(spark):
     check_scores(lm.score_documents(spark.createDataFrame(rows, DOCS)).collect(), [(r[0], r[1]) for r in rows])
 
 
+def test_a_word_is_encoded_once_whatever_closes_it():
+    from llm.test_token_operators import watched, whole
+
+    texts = ["Alpha beta. gamma, alpha! alpha; BETA, 12. 12 é. x's ... !", "alpha. gamma 日本語。 日本語", "", "beta?"]
+    enc, seen = watched(lm.VOCABULARY, "byte", ordinary=True)
+    part = pa.RecordBatch.from_pydict({"doc_id": list(range(4)), "text": texts, "trained": [True, False, True, True]})
+    row = lm._block(part, enc)
+    asked = " ".join(seen).split()
+    assert all(asked.count(w) == 1 for w in ("alpha", "beta", "gamma", "12", "é")) and "alpha." not in asked
+    tokens, lengths, counts, per_word = lm._texts(row)
+    # Each word as it is after a space.
+    want = [[int(i) for w in words(t) for i in whole(lm.VOCABULARY, [" " + w], 0, ordinary=True)[0][:-1]] for t in texts]
+    assert tokens.tolist() == [i for ids in want for i in (lm.END, *ids, lm.END)]
+    assert lengths.tolist() == [len(ids) + 2 for ids in want] and per_word.sum() == sum(map(len, want))
+    assert counts.tolist() == [len(words(t)) for t in texts]
+
+
 def test_training_windows_hold_all_training_text(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").withColumn(
         "trained", F.col("doc_id") % 5 != 1)
