@@ -16,7 +16,7 @@ WIDTH = 32   # ids a window sees
 STRIDE = 16  # ids a window scores: its last ones
 D, HEAD, HIDDEN = 16, 16, 16
 BATCH = 128  # training windows of a step
-PIECE = 64   # windows of one gradient
+PIECE = 128  # windows of one gradient
 MISSING = 65535  # stands in training windows where a text's last window has no id
 
 
@@ -52,91 +52,128 @@ def initial(inputs: int, class_counts: np.ndarray, seed: int = 5) -> np.ndarray:
 _DISTANCE = np.clip(np.arange(WIDTH)[:, None] - np.arange(WIDTH)[None, :], 0, WIDTH - 1)
 _FUTURE = np.triu(np.ones((WIDTH, WIDTH), bool), 1)
 _SEEN = (~_FUTURE).astype(np.float32)
-LIMIT = np.float32(60)  # scores and logits stay far inside; keeps exp finite
+LIMIT = np.float32(60)  # of attention scores, where exp would not stay finite
+
+
+def _by_window(rows: np.ndarray) -> np.ndarray:
+    """(features, windows * n) as (windows, features, n), without a copy."""
+    return rows.reshape(len(rows), -1, WIDTH).transpose(1, 0, 2)
+
+
+def _class_weights(p: dict[str, np.ndarray]) -> np.ndarray:
+    """Biases above the class weights, a row per class; rows without a share fill up to whole vectors (faster)."""
+    classes = len(p["bc"])
+    out = np.zeros((-(-classes // 4) * 4, 1 + D + HIDDEN), p["wc"].dtype)
+    out[:classes, 0], out[:classes, 1:] = p["bc"], p["wc"].T
+    out[classes:, 0] = -1e30
+    return out
+
+
+def _in_range(total: np.ndarray) -> bool:
+    """Whether sums of unclipped exponentials (and what they divide) stay far inside a float; not for NaN."""
+    return bool(total.max() < 1e30 and total.min() > 1e-30)
+
+
+def _weights(score: np.ndarray, factor: np.ndarray, valid: np.ndarray | None, clip: bool) -> np.ndarray:
+    """exp(score) * factor, in place of the scores; 0 for inputs that do not exist."""
+    if clip:
+        np.clip(score, -LIMIT, LIMIT, out=score)
+    np.exp(score, out=score)
+    score *= factor
+    if valid is not None:
+        score *= valid[:, None, :]
+        score[:, 0, 0] += 1e-30    # a window without any input still divides by more than 0
+    return score
 
 
 def loss_and_gradient(flat: np.ndarray, x: np.ndarray, target: np.ndarray, valid: np.ndarray, classes: int
                       ) -> tuple[float, np.ndarray]:
     """Mean negative log likelihood of ``target`` classes and its gradient.
 
-    ``x`` (windows, WIDTH, inputs), ``target`` (windows, WIDTH), ``valid``
-    (windows, WIDTH): inputs that exist.  Sums over short rows are products
-    with ones, several times faster than sums along the last axis.
+    ``x`` (windows, WIDTH, inputs, or inputs and a 1), ``target`` (windows,
+    WIDTH), ``valid`` (windows, WIDTH): inputs that exist.  Arrays hold a row
+    per feature and all places side by side: whatever is done to a feature
+    or with one number per place runs along whole rows.
     """
-    p = unpack(flat, x.shape[2], classes)
-    windows, kind = x.shape[0], flat.dtype
-    x = x.reshape(-1, x.shape[2])  # flat rows: one large product instead of one per window
-    scale = np.float32(1 / np.sqrt(HEAD))
-    heads = np.concatenate([p["wq"] * scale, p["wk"], p["wv"]], axis=1)
-    h0 = x @ p["win"]
-    h0 += p["bin"]
-    both = (h0 @ heads).reshape(windows, WIDTH, 3 * HEAD)
-    q, k = (np.ascontiguousarray(both[:, :, i: i + HEAD]) for i in (0, HEAD))
-    v = np.ones((windows, WIDTH, HEAD + 1), kind)  # beside the value a 1, which adds up the weights
-    v[:, :, :HEAD] = both[:, :, 2 * HEAD:]
-    turned = np.ascontiguousarray(both[:, :, HEAD:].transpose(0, 2, 1))  # keys and values by column
-    a = q @ turned[:, :HEAD]
-    np.clip(a, -LIMIT, LIMIT, out=a)
-    np.exp(a, out=a)
-    a *= np.exp(p["bias"])[_DISTANCE] * _SEEN
-    if not valid.all():
-        a *= valid[:, None, :]
-        a[:, 0, 0] += 1e-30        # a window without any input still divides by more than 0
-    mixed = (a @ v).reshape(-1, HEAD + 1)
-    share = 1 / mixed[:, HEAD:]    # the weights are divided by their sum only where they are used up
-    mixed = mixed[:, :HEAD] * share
-    f = np.empty((len(x), 1 + D + HIDDEN), kind)  # a 1, whose weights are the biases, state and hidden layer
-    f[:, 0] = 1
-    np.add(mixed @ p["wo"], h0, out=f[:, 1: 1 + D])
-    h = f[:, : 1 + D]
-    z = h @ np.concatenate([p["b1"][None], p["w1"]])
-    np.maximum(z, 0, out=f[:, 1 + D:])
-    # Classes that fill a row up to whole vectors have no share: products of even width are faster.
-    wide = -(-classes // 16) * 16
-    wc = np.zeros((1 + D + HIDDEN, wide), kind)
-    wc[0, :classes], wc[1:, :classes] = p["bc"], p["wc"]
-    g = f @ wc
-    np.clip(g, -LIMIT, LIMIT, out=g)
-    np.exp(g, out=g)
-    g[:, classes:] = 0
-    total = g @ np.ones((wide, 1), kind)
-    own = (np.arange(len(g)), target.ravel())
-    used = valid.ravel()
-    n = max(1, int(valid.sum()))
-    loss = float(-(np.log(g[own] / total[:, 0] + 1e-30) * used).sum() / n)
-    weight = (used / np.float32(n)).astype(kind)
-    g *= weight[:, None] / total
-    g[own] -= weight
-    dw = f.T @ g
-    out = {"wc": dw[1:, :classes], "bc": dw[0, :classes]}
-    df = g @ wc[1:].T
-    dz = df[:, D:] * (z > 0)
-    dw = h.T @ dz
-    out["w1"], out["b1"] = dw[1:], dw[0]
-    dh = dz @ p["w1"].T
-    dh += df[:, :D]
-    out["wo"] = mixed.T @ dh
-    dmixed = dh @ p["wo"].T
-    dmixed *= share
-    # The sum over a row of a * ds is the row of mixed times that of dmixed.
-    over = (mixed * dmixed) @ np.ones((HEAD, 1), kind)
-    dmixed = dmixed.reshape(windows, WIDTH, HEAD)
-    ds = dmixed @ turned[:, HEAD:]
-    ds -= over.reshape(windows, WIDTH, 1)
-    ds *= a                        # 0 where blocked, as the weight is
-    out["bias"] = np.bincount(_DISTANCE.ravel(), weights=ds.sum(axis=0).ravel(), minlength=WIDTH)
-    dheads = np.empty((windows, WIDTH, 3 * HEAD), kind)
-    np.matmul(ds, k, out=dheads[:, :, :HEAD])
-    np.matmul(ds.transpose(0, 2, 1), q, out=dheads[:, :, HEAD: 2 * HEAD])
-    np.matmul(a.transpose(0, 2, 1), dmixed, out=dheads[:, :, 2 * HEAD:])
-    dheads = dheads.reshape(-1, 3 * HEAD)
-    dh0 = dheads @ heads.T
-    dh0 += dh
-    dw = h0.T @ dheads
-    out["wq"], out["wk"], out["wv"] = dw[:, :HEAD] * scale, dw[:, HEAD: 2 * HEAD], dw[:, 2 * HEAD:]
-    out["win"], out["bin"] = x.T @ dh0, np.ones((1, len(g)), kind) @ dh0
-    names = shapes(x.shape[1], classes)
-    return loss, np.concatenate([out[name].ravel() for name in names]).astype(np.float32)
+    with np.errstate(over="ignore", invalid="ignore"):  # found by _in_range
+        inputs = (len(flat) - sum(map(math.prod, shapes(0, classes).values()))) // D
+        p = unpack(flat, inputs, classes)
+        windows, kind = x.shape[0], flat.dtype
+        if x.shape[2] == inputs:
+            x = np.concatenate([x, np.ones((*x.shape[:2], 1), x.dtype)], axis=2)
+        x = x.reshape(-1, inputs + 1)
+        scale = np.float32(1 / np.sqrt(HEAD))
+        # State, query, key and value are one product; beside the value a 1, which adds up the weights.
+        enter = np.concatenate([p["win"], p["bin"][None]])
+        heads = np.concatenate([p["wq"] * scale, p["wk"], p["wv"]], axis=1)
+        into = np.concatenate([enter, enter @ heads, np.zeros((inputs + 1, 1), kind)], axis=1)
+        into[-1, -1] = 1
+        side = into.T @ x.T
+        q, k, v = (_by_window(side[a:b]) for a, b in ((D, D + HEAD), (D + HEAD, D + 2 * HEAD), (D + 2 * HEAD, None)))
+        factor = np.exp(p["bias"])[_DISTANCE] * _SEEN
+        missing = None if valid.all() else valid
+        mixed = np.empty((HEAD + 1, len(x)), kind)
+        for clip in (False, True):
+            a = _weights(q.transpose(0, 2, 1) @ k, factor, missing, clip)
+            np.matmul(v, a.transpose(0, 2, 1), out=_by_window(mixed))
+            if _in_range(mixed[HEAD]):
+                break
+        share, mixed = 1 / mixed[HEAD], mixed[:HEAD]  # weights are divided by their sum only where they are used up
+        mixed *= share
+        f = np.empty((1 + D + HIDDEN, len(x)), kind)  # a 1, whose weights are the biases, state and hidden layer
+        h, z = f[: 1 + D], f[1 + D:]
+        f[0] = 1
+        np.matmul(p["wo"].T, mixed, out=h[1:])
+        h[1:] += side[:D]
+        np.matmul(np.concatenate([p["b1"][None], p["w1"]]).T, h, out=z)
+        np.maximum(z, 0, out=z)
+        wc = _class_weights(p)
+        for shift in (False, True):
+            g = wc @ f
+            if shift:
+                g -= g.max(axis=0)
+            np.exp(g, out=g)
+            total = g.sum(axis=0)
+            if _in_range(total):
+                break
+        own = target.ravel() * g.shape[1] + np.arange(g.shape[1])
+        used = valid.ravel()
+        n = max(1, int(valid.sum()))
+        loss = float(-(np.log(g.ravel().take(own) / total + 1e-30) * used).sum() / n)
+        weight = (used / np.float32(n)).astype(kind)
+        g *= weight / total
+        g.ravel()[own] -= weight
+        dw = f @ g.T
+        out = {"wc": dw[1:, :classes], "bc": dw[0, :classes]}
+        df = wc.T[1:] @ g
+        dh, dz = df[:D], df[D:]
+        dz *= np.sign(z)
+        dw = h @ dz.T
+        out["w1"], out["b1"] = dw[1:], dw[0]
+        dh += p["w1"] @ dz
+        out["wo"] = mixed @ dh.T
+        # Beside the value's gradient what a row of a * ds would add up to: mixed times dmixed.
+        dmixed = np.empty((HEAD + 1, len(x)), kind)
+        np.matmul(p["wo"], dh, out=dmixed[:HEAD])
+        dmixed[:HEAD] *= share
+        np.negative((mixed * dmixed[:HEAD]).sum(axis=0), out=dmixed[HEAD])
+        ds = _by_window(dmixed).transpose(0, 2, 1) @ v
+        ds *= a                        # 0 where blocked, as the weight is
+        by_place = np.ones((1, windows), kind) @ ds.reshape(windows, -1)
+        out["bias"] = np.bincount(_DISTANCE.ravel(), weights=by_place[0], minlength=WIDTH)
+        # Gradients take the places of state, query, key and value.
+        dq = np.empty((HEAD, len(x)), kind)
+        np.matmul(k, ds.transpose(0, 2, 1), out=_by_window(dq))
+        np.matmul(q, ds, out=k)
+        np.matmul(_by_window(dmixed[:HEAD]), a, out=v[:, :HEAD])
+        side[:D], side[D: D + HEAD] = dh, dq
+        dw = (side[:-1] @ x).T
+        dheads = dw[:, D:]
+        denter = dw[:, :D] + dheads @ heads.T
+        out["win"], out["bin"] = denter[:-1], denter[-1]
+        dw = enter.T @ dheads
+        out["wq"], out["wk"], out["wv"] = dw[:, :HEAD] * scale, dw[:, HEAD: 2 * HEAD], dw[:, 2 * HEAD:]
+        return loss, np.concatenate([out[name].ravel() for name in shapes(inputs, classes)]).astype(np.float32)
 
 
 def train(flat: np.ndarray, tokens: np.ndarray, vectors: np.ndarray, classes_of: np.ndarray, classes: int, *,
@@ -148,6 +185,7 @@ def train(flat: np.ndarray, tokens: np.ndarray, vectors: np.ndarray, classes_of:
     rng = np.random.default_rng(seed)
     m, v = np.zeros_like(flat), np.zeros_like(flat)
     flat = flat.copy()
+    vectors = np.concatenate([vectors, np.ones((len(vectors), 1), vectors.dtype)], axis=1)  # the biases' input
     order, at = rng.permutation(len(tokens)), 0
     for step in range(1, steps + 1):
         if at >= len(order):
@@ -170,15 +208,23 @@ def train(flat: np.ndarray, tokens: np.ndarray, vectors: np.ndarray, classes_of:
     return flat
 
 
+def entries(flat: np.ndarray, vectors: np.ndarray, classes: int) -> np.ndarray:
+    """One row per id: state, query, key and what its value adds to the state side by side, and a 1."""
+    p = unpack(flat, vectors.shape[1], classes)
+    state = vectors @ p["win"] + p["bin"]
+    return np.concatenate([state, (state @ p["wq"]) * np.float32(1 / np.sqrt(HEAD)), state @ p["wk"],
+                           state @ (p["wv"] @ p["wo"]), np.ones((len(state), 1))], axis=1).astype(np.float32)
+
+
 def score(flat: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, vectors: np.ndarray, classes_of: np.ndarray,
-          classes: int, step: int = 96) -> np.ndarray:
+          classes: int, step: int = 96, table: np.ndarray | None = None) -> np.ndarray:
     """log p(class) of every token given those before it; ``tokens`` are texts laid end to end.
 
     Each text is a run of ``lengths[i]`` tokens; the first is its start mark
     and gets 0.  A text is cut into windows of WIDTH inputs that overlap by
     WIDTH - STRIDE; each window scores the STRIDE tokens after its last
     inputs, so each token is scored once, with 17 to 32 tokens before it
-    (fewer only at the start of the text).
+    (fewer only at the start of the text).  ``table``: ``entries``, if made before.
     """
     p = unpack(flat, vectors.shape[1], classes)
     out = np.zeros(len(tokens), np.float32)
@@ -187,53 +233,61 @@ def score(flat: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, vectors: np
     total = int(windows.sum())
     if total == 0:
         return out
+    if table is None:
+        table = entries(flat, vectors, classes)
+    late = WIDTH - STRIDE
+    ahead = late // STRIDE  # a window's earlier inputs are the scoring inputs of the windows before it
     begins = np.cumsum(lengths) - lengths
-    owner = np.repeat(np.arange(len(lengths)), windows)
     number = np.arange(total) - np.repeat(np.cumsum(windows) - windows, windows)
-    first = begins[owner] + number * STRIDE          # place of the first scoring input
-    text_to = begins[owner] + lengths[owner]
-    table = vectors @ p["win"] + p["bin"]            # one row per id: state, key and value side by side
-    scale = np.float32(1 / np.sqrt(HEAD))
-    table = np.concatenate([table, (table @ p["wq"]) * scale, table @ p["wk"], table @ p["wv"],
-                            np.ones((len(table), 1))], axis=1)  # beside the value a 1, which adds up the weights
-    table = np.ascontiguousarray(table, np.float32)
+    place = (np.repeat(begins, windows) + number * STRIDE)[:, None] + np.arange(STRIDE)  # of the scoring inputs
+    used = place < np.repeat(begins + targets, windows)[:, None]  # a text's last window scores less
+    np.minimum(place, len(tokens) - 2, out=place)
+    inputs = np.concatenate([np.full((ahead, STRIDE), tokens[0]), tokens[place]])
+    goals = classes_of.astype(np.int32)[tokens[1:][place]]
+    del place
+    value = np.empty((total, STRIDE), np.float32)
     bias = np.exp(p["bias"][_DISTANCE][WIDTH - STRIDE:]).astype(np.float32)
     bias[_FUTURE[WIDTH - STRIDE:]] = 0
-    w1 = np.concatenate([p["b1"][None], p["w1"]])
-    wc = np.concatenate([p["bc"][None], p["wc"]])
-    span = np.arange(STRIDE)
-    late = WIDTH - STRIDE
-    ahead = late // STRIDE  # a window's earlier inputs are the scoring inputs of the windows before it
-    last = len(tokens) - 1
-    goals = classes_of.take(tokens)
-    ones = np.ones((classes, 1), np.float32)
-    for at in range(0, total, step):
-        sl = slice(at, min(at + step, total))
-        n = sl.stop - at
-        place = first[np.maximum(np.arange(at - ahead, sl.stop), 0), None] + span
-        state = table.take(tokens[np.minimum(place, last)].ravel(), axis=0)
-        row, item = state.strides
-        seen = np.lib.stride_tricks.as_strided(state, (n, WIDTH, state.shape[1]), (STRIDE * row, row, item))
-        place, state = place[ahead:], state[late:]
-        k, v = seen[:, :, D + HEAD: D + 2 * HEAD], seen[:, :, D + 2 * HEAD:]  # v ends with the 1
-        s = seen[:, late:, D: D + HEAD] @ np.ascontiguousarray(k.transpose(0, 2, 1))
-        np.clip(s, -LIMIT, LIMIT, out=s)
-        np.exp(s, out=s)
-        s *= bias
-        for j in range(ahead):  # windows with less than that before them in their text
-            s[number[sl] < ahead - j, :, j * STRIDE: (j + 1) * STRIDE] = 0
-        mixed = s @ v
-        mixed = mixed[:, :, :HEAD] / (mixed[:, :, HEAD:] + np.float32(1e-30))
-        f = np.empty((n * STRIDE, 1 + D + HIDDEN), np.float32)  # a 1, whose weights are the biases, state, hidden layer
-        f[:, 0] = 1
-        np.add(mixed.reshape(-1, HEAD) @ p["wo"], state[:, :D], out=f[:, 1: 1 + D])
-        np.maximum(f[:, : 1 + D] @ w1, 0, out=f[:, 1 + D:])
-        logit = f @ wc
-        goal = (place + 1).ravel()
-        use = goal < np.repeat(text_to[sl], STRIDE)
-        picked = logit.ravel().take(goals[np.minimum(goal, last)] + np.arange(0, logit.size, classes))
-        np.clip(logit, -LIMIT, LIMIT, out=logit)
-        np.exp(logit, out=logit)
-        value = picked - np.log((logit @ ones).ravel())
-        out[goal[use]] = value[use]
+    w1 = np.concatenate([p["b1"][None], p["w1"]]).T
+    wc = _class_weights(p)
+    with np.errstate(over="ignore", invalid="ignore"):  # found by _in_range
+        for at in range(0, total, step):
+            sl = slice(at, min(at + step, total))
+            n = sl.stop - at
+            state = table.take(inputs[at: sl.stop + ahead].ravel(), axis=0)
+            row, item = state.strides
+            seen = np.ndarray((n, WIDTH, state.shape[1]), state.dtype, state, strides=(STRIDE * row, row, item))
+            q, k, v = seen[:, late:, D: D + HEAD], seen[:, :, D + HEAD: D + 2 * HEAD], seen[:, :, D + 2 * HEAD:]
+            early = number[sl]
+            early = early if early.min() < ahead else None
+            mixed = np.empty((D + 1, n * STRIDE), np.float32)  # from here on a row per feature, places side by side
+            for clip in (False, True):
+                s = _weights(q @ k.transpose(0, 2, 1), bias, None, clip)
+                for j in range(ahead if early is not None else 0):  # windows with less than that before them in their text
+                    s[early < ahead - j, :, j * STRIDE: (j + 1) * STRIDE] = 0
+                np.matmul(v.transpose(0, 2, 1), s.transpose(0, 2, 1),
+                          out=mixed.reshape(D + 1, n, STRIDE).transpose(1, 0, 2))
+                if _in_range(mixed[D]):
+                    break
+            f = np.empty((1 + D + HIDDEN, n * STRIDE), np.float32)  # a 1, whose weights are the biases, state, hidden
+            h, z = f[: 1 + D], f[1 + D:]
+            f[0] = 1
+            np.multiply(mixed[:D], 1 / mixed[D], out=h[1:])
+            h[1:] += state[late:, :D].T
+            np.matmul(w1, h, out=z)
+            np.maximum(z, 0, out=z)
+            own = goals[sl].ravel() * z.shape[1] + np.arange(z.shape[1])
+            for shift in (False, True):
+                logit = wc @ f
+                if shift:
+                    logit -= logit.max(axis=0)
+                picked = logit.ravel().take(own)
+                np.exp(logit, out=logit)
+                sums = logit.sum(axis=0)
+                if _in_range(sums):
+                    break
+            np.subtract(picked, np.log(sums), out=value[sl].reshape(-1))
+    marks = np.zeros(len(tokens), bool)
+    marks[begins[lengths > 0]] = True
+    out[~marks] = value[used]
     return out

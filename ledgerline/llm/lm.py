@@ -80,7 +80,7 @@ def blocks(rows: DataFrame, tokenizer: str) -> DataFrame:
 def _block(part, enc) -> dict:
     flat, offsets = string_bytes(part.column(1))
     flat = words.LOWER[flat]
-    hashes, counts, spans = [], [], []
+    hashes, counts, starts, stops = [], [], [], []
     for a, b in slices(offsets):
         base = offsets[a]
         piece = flat[base: offsets[b]]
@@ -89,7 +89,8 @@ def _block(part, enc) -> dict:
             own_s, own_e = s[k: k + HASHED], e[k: k + HASHED]
             hashes.append(words.span_hashes(piece[own_s[0]: own_e[-1]], own_s - own_s[0], own_e - own_s[0]))
         counts.append(n)
-        spans.append(np.column_stack([s + base, e + base]))
+        starts.append(s + base)
+        stops.append(e + base)
     hashes = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
     counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)
     first, index = words.distinct(hashes)
@@ -98,8 +99,8 @@ def _block(part, enc) -> dict:
     place_of = np.empty(len(first), np.int64)
     place_of[ascending] = np.arange(len(first))
     index = place_of[index]
-    place = np.concatenate(spans)[first] if len(first) else np.zeros((0, 2), np.int64)
-    per, ids = enc.spaced(flat, place[:, 0], place[:, 1])
+    none = np.zeros(0, np.int64)
+    per, ids = enc.spaced(flat, np.concatenate([none, *starts])[first], np.concatenate([none, *stops])[first])
     trained = part.column(2).to_numpy(zero_copy_only=False).astype(bool)
     seen = np.bincount(index[np.repeat(trained, counts)], minlength=len(distinct))
     keys = part.column(0)
@@ -176,21 +177,21 @@ def _texts(row: dict, only_trained: bool = False) -> tuple[np.ndarray, np.ndarra
     if only_trained:
         trained = np.frombuffer(row["trained"], bool)
         index, counts = index[np.repeat(trained, counts)], counts[trained]
-    per = np.frombuffer(row["id_counts"], "<u4").astype(np.int64)
-    ids = np.frombuffer(row["ids"], "<u2")
-    n = per[index]
+    # The marks are two more words of one id each, before the first and after the last word of every text.
+    per = np.append(np.frombuffer(row["id_counts"], "<u4").astype(np.int64), 1)
+    ids = np.append(np.frombuffer(row["ids"], "<u2"), np.uint16(END))
+    ends = np.cumsum(counts + 2)
+    inside = np.ones(len(index) + 2 * len(counts), bool)
+    inside[ends - counts - 2] = inside[ends - 1] = False
+    every = np.full(len(inside), len(per) - 1, np.uint32)
+    every[inside] = index
+    n = per[every]
     word_end = np.cumsum(n)
     total = int(word_end[-1]) if len(n) else 0
     kind = np.int32 if max(total, len(ids)) < 1 << 31 else np.int64  # places, in as few bytes as hold them
-    source = np.repeat(((np.cumsum(per) - per)[index] - (word_end - n)).astype(kind), n)
+    source = np.repeat(((np.cumsum(per) - per)[every] - (word_end - n)).astype(kind), n)
     source += np.arange(total, dtype=kind)
-    lengths = np.diff(np.concatenate([[0], word_end])[np.cumsum(counts)], prepend=0)
-    ends = np.cumsum(lengths + 2)
-    inside = np.ones(total + 2 * len(counts), bool)
-    inside[ends - lengths - 2] = inside[ends - 1] = False
-    out = np.full(len(inside), END, np.uint16)
-    out[inside] = ids[source]
-    return out, lengths + 2, counts, n
+    return ids.take(source), np.diff(word_end[ends - 1], prepend=0), counts, n[inside]
 
 
 def _sum_vectors(table):
@@ -270,10 +271,11 @@ def pair_counts(saved: DataFrame, rank: np.ndarray) -> np.ndarray:
             for row in batch.to_pylist():
                 tokens, lengths, _, _ = _texts(row, only_trained=True)
                 r = rank[tokens]
-                inside = np.ones(len(tokens), bool)
-                inside[(np.cumsum(lengths) - lengths)] = False  # a text's start mark follows nothing
-                to = np.flatnonzero(inside)
-                pairs += np.bincount(r[to - 1] * (TOP + 1) + r[to], minlength=pairs.size).reshape(pairs.shape)
+                keys = r[:-1] * (TOP + 1)
+                keys += r[1:]
+                pairs += np.bincount(keys, minlength=pairs.size).reshape(pairs.shape)
+                # A text's start mark follows nothing: between texts are an end and a start mark, which are one id.
+                pairs[rank[END], rank[END]] -= max(len(lengths) - 1, 0)
         some = np.flatnonzero(pairs.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([pairs[i].tobytes() for i in some],
                                                                    pa.binary())], names=["id", "value"])
@@ -428,9 +430,11 @@ def fit(saved: DataFrame, tokenizer: str) -> Model:
     return Model(flat, classes_of, log_inside, vectors, rank, log_after)
 
 
-def _score_block(model: Model, row: dict, totals: np.ndarray, n_train: int, distinct: int, ends: int):
+def _score_block(model: Model, row: dict, totals: np.ndarray, n_train: int, distinct: int, ends: int,
+                 table: np.ndarray | None = None):
     tokens, lengths, counts, per_word = _texts(row)
-    log_p = attention.score(model.parameters, tokens, lengths, model.vectors, model.classes_of, model.classes)
+    log_p = attention.score(model.parameters, tokens, lengths, model.vectors, model.classes_of, model.classes,
+                            table=table)
     r = model.rank[tokens]
     before = np.concatenate([[model.rank[END]], r[:-1]]) if len(r) else r
     before *= TOP + 1
@@ -448,7 +452,8 @@ def _score_block(model: Model, row: dict, totals: np.ndarray, n_train: int, dist
     share_of = base(totals.astype(np.float64))  # of the block's distinct words
 
     # Sums of ids' log probabilities per word: all ids but marks, in order.
-    running = np.concatenate([[0.0], np.cumsum(log_p, dtype=np.float64)])
+    running = np.zeros(len(log_p) + 1)
+    np.cumsum(log_p, out=running[1:])
     word_end = np.cumsum(per_word) + 2 * owner + 1
     local = running[word_end] - running[word_end - per_word]
     c = totals[index]
@@ -500,11 +505,13 @@ def score_documents(docs: DataFrame, *, tokenizer: str | None = None, id_col: st
     def score(batches):
         import pyarrow as pa
 
+        m = model.value
+        table = attention.entries(m.parameters, m.vectors, m.classes)  # once for all blocks of the task
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 total = np.frombuffer(row["totals"], "<i8") if row["totals"] is not None else np.zeros(0, np.int64)
-                n, known, base_score, value = _score_block(model.value, row, total, n_train, distinct, ends)
+                n, known, base_score, value = _score_block(m, row, total, n_train, distinct, ends, table)
                 texts = len(n)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.frombuffer(row["doc_ids"], "<i8"), pa.int64(),

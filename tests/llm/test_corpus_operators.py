@@ -369,6 +369,37 @@ def test_windows_score_each_token_once_and_see_only_the_past():
         at += n
 
 
+def test_scores_with_entries_made_before(monkeypatch):
+    rng, vectors, classes_of, flat = _tiny()
+    lengths = np.array([1, 2, 40, 17, 100])
+    tokens = rng.integers(0, 50, lengths.sum()).astype(np.uint16)
+    want = attention.score(flat, tokens, lengths, vectors, classes_of, 7)
+    table = attention.entries(flat, vectors, 7)
+    monkeypatch.setattr(attention, "entries", None)  # a task makes them once for all its blocks
+    got = attention.score(flat, tokens, lengths, vectors, classes_of, 7, step=4, table=table)
+    assert got == pytest.approx(want, abs=1e-5) and (got != 0).sum() == lengths.sum() - len(lengths)
+
+
+def test_large_scores_and_logits():
+    rng, vectors, classes_of, flat = _tiny()
+    tokens = rng.integers(0, 50, 40).astype(np.uint16)
+    x, y = vectors[tokens[None, :32]], classes_of[tokens[None, 1:33]]
+    valid = np.ones(y.shape, bool)
+    for factor in (1, 100):
+        large = flat.copy()
+        attention.unpack(large, 4, 7)["wc"][:] *= factor
+        likely = []
+        for c in range(7):  # id c is of class c
+            tokens[-1] = c
+            likely.append(attention.score(large, tokens, np.array([40]), vectors, classes_of, 7)[-1])
+        assert np.exp(np.array(likely, float)).sum() == pytest.approx(1, abs=1e-4)
+        assert np.isfinite(attention.loss_and_gradient(large, x, y, valid, 7)[1]).all()
+    for factor in (5, 20):  # attention scores
+        large = flat * np.float32(factor)
+        assert np.isfinite(attention.loss_and_gradient(large, x, y, valid, 7)[1]).all()
+        assert (attention.score(large, tokens, np.array([40]), vectors, classes_of, 7) <= 0).all()
+
+
 def test_training_lowers_the_loss():
     rng, vectors, classes_of, _ = _tiny()
     tokens = np.cumsum(np.ones((64, attention.WIDTH + 1), int), axis=1) + rng.integers(0, 50, (64, 1))
